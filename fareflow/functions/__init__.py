@@ -6,7 +6,6 @@ from fareflow.functions.columns import (
     moment,
     percent_of,
     round_stable,
-    seconds_after,
 )
 
 __all__ = [
@@ -15,5 +14,4 @@ __all__ = [
     "moment",
     "percent_of",
     "round_stable",
-    "seconds_after",
 ]

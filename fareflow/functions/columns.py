@@ -15,11 +15,6 @@ def duration_minutes(start: str | Column, end: str | Column) -> Column:
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60)
 
 
-def seconds_after(instant: str | Column, seconds: Column) -> Column:
-    """``instant`` moved by a whole number of seconds, keeping its time-zone flavour."""
-    return F.timestamp_add("SECOND", seconds, instant)
-
-
 def round_stable(value: Column, digits: int) -> Column:
     """Round half up, giving the same answer whatever order the sum was taken in.
 
@@ -46,8 +41,10 @@ def moment(value: Column | datetime | None) -> Column:
 def in_split(keys: Sequence[str | Column], percent: int) -> Column:
     """True for a fixed ``percent`` of all keys, whatever the partitioning.
 
-    The bucket is the leading 32 bits of the key's MD5, so a row lands on the same
-    side in every run and equal keys never straddle the split.
+    A key's MD5 is compared, as text, with the same share of the hash range, so a row
+    lands on the same side in every run and equal keys never straddle the split.
     """
-    digest = F.md5(F.concat_ws("-", *keys).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100 < percent
+    if not 0 < percent < 100:
+        raise ValueError(f"percent must lie between 0 and 100, not {percent}")
+    bound = f"{round(2**32 * percent / 100):08x}"
+    return F.md5(F.concat_ws("-", *keys).cast("binary")) < bound

@@ -43,20 +43,20 @@ def unzoned(df: DataFrame) -> DataFrame:
 
 
 def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.daily_stats(trips_from_tables(spark, sf_dir), load_time())
+    return unzoned(stats.daily_stats(trips_from_tables(spark, sf_dir), load_time()))
 
 
 def daily_stats_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.daily_stats_full(trips_from_tables(spark, sf_dir), load_time())
+    return unzoned(stats.daily_stats_full(trips_from_tables(spark, sf_dir), load_time()))
 
 
 def first_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = stats.daily_stats_full(trips_from_tables(spark, sf_dir), load_time())
-    return stats.first_days(full.select(*DAILY_REPORT))
+    return unzoned(stats.first_days(full.select(*DAILY_REPORT)))
 
 
 def monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.monthly_counts(trips.enrich_trips(trips_from_tables(spark, sf_dir), load_time()))
+    return stats.monthly_counts(_enriched(spark, sf_dir))
 
 
 def fare_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,16 +70,21 @@ def dataset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- rows -----------------------------------------------------------------------
 
 
-def enrich_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.enrich_trips(trips_from_tables(spark, sf_dir), load_time())
 
 
+def enrich_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unzoned(_enriched(spark, sf_dir))
+
+
 def trip_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.with_duration(trips_from_tables(spark, sf_dir)).select("trip_id", "duration_min")
 
 
 def valid_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.valid_trips(trips.with_duration(trips_from_tables(spark, sf_dir)))
+    timed = trips.with_duration(trips_from_tables(spark, sf_dir))
+    return unzoned(trips.valid_trips(timed))
 
 
 def normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,20 +250,20 @@ def csv_strict_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
-    lake.write_lake(enrich_trips(spark, sf_dir), root)
-    return lake.read_lake(spark, root)
+    lake.write_lake(_enriched(spark, sf_dir), root)
+    return unzoned(lake.read_lake(spark, root))
 
 
 def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
-    lake.write_lake(enrich_trips(spark, sf_dir), root)
+    lake.write_lake(_enriched(spark, sf_dir), root)
     months = lake.read_lake(spark, root, since=(1996, 11), until=(1999, 3))
     return stats.monthly_counts(months)
 
 
 def stats_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
-    return refresh_daily_report(trips_from_tables(spark, sf_dir), path, load_time())
+    return unzoned(refresh_daily_report(trips_from_tables(spark, sf_dir), path, load_time()))
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +343,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily report as a stream over the lake keeps it."""
     root, path = scratch_path(spark, "lake"), scratch_path(spark, "report")
-    rows = enrich_trips(spark, sf_dir)
+    rows = _enriched(spark, sf_dir)
     lake.write_lake(rows, root)
     source = stream_lake(spark, root, rows.schema, files_per_trigger=None)
     kept = stream_daily_stats(source).drop("calculated_at")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.functions import seconds_after
-
 TRIP_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -38,18 +36,22 @@ def fares_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with pickup and drop-off times, which hang on the order's date.
 
+    Times are seconds until the last step; the calendar is consulted once per order.
+
     The join is left to Spark: it broadcasts the orders while their size is under
     its threshold, and beyond that sorts and merges with AQE splitting a hot order.
     """
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("midnight")
+    )
     into_day = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 3571) % 86400
-    start = seconds_after("o_orderdate", into_day)
+    start = F.col("midnight") + into_day
     length = (F.col("l_quantity") * 75 - 150).cast("bigint")
     columns = {
         **_columns(),
-        "tpep_pickup_datetime": F.when(F.col("l_partkey") % 101 != 0, start),
-        "tpep_dropoff_datetime": seconds_after("o_orderdate", into_day + length),
+        "tpep_pickup_datetime": F.when(F.col("l_partkey") % 101 != 0, F.timestamp_seconds(start)),
+        "tpep_dropoff_datetime": F.timestamp_seconds(start + length),
     }
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
         *[column.alias(name) for name, column in columns.items()]
