@@ -14,16 +14,21 @@ from fareflow.schema import DAILY_REPORT, PICKUP
 
 
 def daily_measures() -> dict[str, Column]:
-    """The daily aggregates by output name. Tip share and speed are ratios of sums."""
+    """The daily aggregates over valid trips, by output name.
+
+    Tip share and speed are ratios of sums. Distance, duration and cost are positive
+    in every valid trip, so their means share the sums and the row count.
+    """
+    trips = F.count(F.lit(1))
     revenue, miles, minutes = F.sum("total_amount"), F.sum("trip_distance"), F.sum("duration_min")
     tips, fares = F.sum("tip_amount"), F.sum("fare_amount")
     return {
-        "total_trips": F.count(F.lit(1)),
+        "total_trips": trips,
         "total_revenue": round_stable(revenue, 2),
         "total_distance_miles": round_stable(miles, 2),
-        "avg_cost_per_trip": round_stable(F.avg("total_amount"), 2),
-        "avg_distance_miles": round_stable(F.avg("trip_distance"), 2),
-        "avg_duration_min": round_stable(F.avg("duration_min"), 1),
+        "avg_cost_per_trip": round_stable(revenue / trips, 2),
+        "avg_distance_miles": round_stable(miles / trips, 2),
+        "avg_duration_min": round_stable(minutes / trips, 1),
         "avg_tip_amount": round_stable(F.avg("tip_amount"), 2),
         "avg_tip_percent": round_stable(percent_of(tips, fares), 2),
         "avg_speed_mph": round_stable(F.try_divide(miles, minutes / 60), 2),
@@ -38,15 +43,18 @@ def daily_stats_full(
 ) -> DataFrame:
     """One row per day with trips, every measure, in no particular order.
 
-    Days are one-day windows cut at UTC midnight, on batch and streaming input alike.
-    ``local_days`` cuts at midnight of the session's time zone instead (batch only).
+    Days are one-day windows cut at UTC midnight. ``local_days`` cuts at midnight of
+    the session's time zone instead (batch only).
     """
     usable = valid_trips(with_duration(trips, pickup=pickup))
-    if local_days:
-        usable = usable.where(F.col(pickup).isNotNull())
-        bucket, date = F.date_trunc("day", F.col(pickup)).alias("bucket"), F.col("bucket")
-    else:
+    if trips.isStreaming:
+        # The watermark travels with the whole window.
         bucket, date = F.window(pickup, "1 day").alias("bucket"), F.col("bucket.start")
+    else:
+        usable = usable.where(F.col(pickup).isNotNull())
+        day = F.date_trunc("day", pickup) if local_days else F.window(pickup, "1 day")["start"]
+        # A plain timestamp is a cheaper key to hash than a window.
+        usable, bucket, date = usable.withColumn("bucket", day), F.col("bucket"), F.col("bucket")
     measures = {name: column.alias(name) for name, column in daily_measures().items()}
     return (
         usable.groupBy(bucket)

@@ -1,0 +1,31 @@
+from datetime import datetime
+
+from fareflow.schema import TRIP_COLUMNS
+
+NOON = datetime(2015, 1, 15, 12, 0, 0)
+
+DEFAULTS = {
+    "vendorid": "1",
+    "tpep_pickup_datetime": NOON,
+    "tpep_dropoff_datetime": datetime(2015, 1, 15, 12, 10, 0),
+    "passenger_count": 1,
+    "trip_distance": 2.0,
+    "fare_amount": 8.0,
+    "tip_amount": 1.0,
+    "total_amount": 10.0,
+}
+NAMES = [line.split()[0] for line in TRIP_COLUMNS.strip().splitlines()]
+
+
+def make_trips(spark, *changes):
+    """One trip per dict of changes to an ordinary trip."""
+    rows = [tuple({**DEFAULTS, **change}.get(name) for name in NAMES) for change in changes]
+    return spark.createDataFrame(rows, TRIP_COLUMNS)
+
+
+def collected(df, *columns):
+    return sorted(tuple(row) for row in df.select(*columns).collect())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
