@@ -1,0 +1,47 @@
+"""What the strict scan keeps, drops and refuses."""
+
+import pytest
+
+from fareflow.sources.trip_csv import read_trip_csv
+
+SCHEMA = "vendorid STRING, pu TIMESTAMP, pc INT, d DOUBLE"
+LINES = """VendorID,d,pu,pc
+ok,2015-01-15 19:05:39,1,1.5
+short,2015-01-15 19:05:39
+long,2015-01-15 19:05:39,1,1.5,9
+badint,2015-01-15 19:05:39,1.0,1.5
+badts,notatime,1,1.5
+nullts,,1,1.5
+emptyd,2015-01-15 19:05:39,1,
+"""
+
+
+@pytest.fixture
+def path(tmp_path):
+    (tmp_path / "trips.csv").write_text(LINES)
+    return str(tmp_path / "trips.csv")
+
+
+def test_malformed_rows_are_dropped(spark, path):
+    rows = {r.vendorid: r for r in read_trip_csv(spark, path, SCHEMA).collect()}
+    assert set(rows) == {"ok", "nullts", "emptyd"}
+    assert rows["nullts"].pu is None and rows["emptyd"].d is None
+    assert (rows["ok"].pc, rows["ok"].d) == (1, 1.5)
+
+
+def test_count_is_right_once_all_columns_are_written(spark, path, tmp_path):
+    out = str(tmp_path / "out")
+    read_trip_csv(spark, path, SCHEMA).write.parquet(out)
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_columns_bind_by_position_unless_header_must_match(spark, path):
+    assert read_trip_csv(spark, path, SCHEMA).columns == ["vendorid", "pu", "pc", "d"]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_trip_csv(spark, path, SCHEMA, match_header=True).collect()
+
+
+def test_several_paths(spark, path, tmp_path):
+    other = tmp_path / "more.csv"
+    other.write_text("VendorID,d,pu,pc\nb,2015-01-16 00:00:00,2,3.5\n")
+    assert len(read_trip_csv(spark, [path, str(other)], SCHEMA).collect()) == 4
