@@ -14,6 +14,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
