@@ -2,6 +2,7 @@
 
 from fareflow.functions.columns import (
     duration_minutes,
+    in_hash_split,
     in_split,
     moment,
     percent_of,
@@ -10,6 +11,7 @@ from fareflow.functions.columns import (
 
 __all__ = [
     "duration_minutes",
+    "in_hash_split",
     "in_split",
     "moment",
     "percent_of",

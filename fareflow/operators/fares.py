@@ -5,7 +5,7 @@ One pass over the data to fit and one to evaluate; nothing is cached by default.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -91,10 +91,16 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 
 def stable_split(
-    df: DataFrame, keys: Sequence[str], percent: int = TRAIN_PERCENT
+    df: DataFrame,
+    keys: Sequence[str],
+    percent: int = TRAIN_PERCENT,
+    chooser: Callable[[Sequence[str], int], Column] = in_split,
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of their key: the same rows on every run."""
-    chosen = in_split(keys, percent)
+    """Train and test rows by a hash of their key: the same rows on every run.
+
+    ``chooser`` may be ``in_hash_split``, the cheaper hash.
+    """
+    chosen = chooser(keys, percent)
     return df.where(chosen), df.where(~chosen)
 
 

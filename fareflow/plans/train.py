@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, Row
 
+from fareflow.functions import in_hash_split
 from fareflow.operators.fares import (
     describe_model,
     example_trips,
@@ -54,21 +55,19 @@ def train_fares(
     The two passes read a handful of columns each, which beats storing the cleaned
     rows unless the cluster's memory holds them: then pass ``keep_in_memory``.
     """
-    usable = training_set(trips, keep=_split_columns(trips, split_keys))
-    if keep_in_memory:
-        with persisted(usable) as kept:
-            return _train(kept, model_path)
-    return _train(usable, model_path)
+    # Named apart from the features, which are cast to double on the way.
+    keys = [trips[name].alias(f"key_{name}") for name in split_keys]
+    usable = training_set(trips, keep=keys)
+    names = [f"key_{name}" for name in split_keys]
+    if not keep_in_memory:
+        return _train(usable, names, model_path)
+    with persisted(usable) as kept:
+        return _train(kept, names, model_path)
 
 
-def _split_columns(trips: DataFrame, keys: Sequence[str]):
-    return [trips[key].cast("string").alias(f"key_{i}") for i, key in enumerate(keys)]
-
-
-def _train(usable: DataFrame, model_path: str) -> TrainReport:
+def _train(usable: DataFrame, keys: Sequence[str], model_path: str) -> TrainReport:
     spark = usable.sparkSession
-    keys = [name for name in usable.columns if name.startswith("key_")]
-    train, test = stable_split(usable, keys)
+    train, test = stable_split(usable, keys, chooser=in_hash_split)
     model = fit_fares(train)
     model.write().overwrite().save(model_path)
     return TrainReport(

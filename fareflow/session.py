@@ -15,6 +15,19 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
+# Days and months are cut in UTC. Parquet times are INT64, which carry statistics.
+SESSION_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings the library counts on to a running session."""
+    for key, value in SESSION_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def object_store_conf(
     endpoint: str,
@@ -49,7 +62,7 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str
     """
     start = min(max(-(-shuffle_bytes // partition_bytes), 200), 100_000)
     return {
-        "spark.sql.session.timeZone": "UTC",
+        **SESSION_CONF,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -32,6 +32,8 @@ def stream_to_lake(
     Tasks write the months they read, without a shuffle, which suits files of one
     month each. For files of mixed months set ``writers_per_month``: rows are then
     gathered by month, each month split over that many tasks by a hash of the row.
+
+    The sink goes by the session's settings while it runs; see ``session.prepare``.
     """
     rows = enrich_trips(normalize_columns(raw), loaded_at)
     if writers_per_month:

@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from fareflow.session import prepare
+
 DATA = "/root/testdata"
 
 
@@ -15,10 +17,10 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.maxMetadataStringLength", "5000")
-        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
+    prepare(session)
     yield session
     session.stop()
 

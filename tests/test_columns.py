@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from fareflow.functions import in_split, percent_of, round_stable
+from fareflow.functions import in_hash_split, in_split, percent_of, round_stable
 
 
 @pytest.mark.parametrize(
@@ -35,10 +35,29 @@ def test_percent_of_zero_is_null(spark):
     assert [r[0] for r in df.select(percent_of(F.col("a"), F.col("b"))).collect()] == [None, 25.0]
 
 
-def test_split_bound_is_exact_share(spark):
+@pytest.mark.parametrize("chooser", [in_split, in_hash_split])
+def test_split_takes_the_asked_share(spark, chooser):
     keys = spark.range(20000)
     for percent in (1, 50, 80, 99):
-        share = keys.where(in_split(["id"], percent)).count() / 20000
+        share = keys.where(chooser(["id"], percent)).count() / 20000
         assert abs(share - percent / 100) < 0.02
     with pytest.raises(ValueError):
-        in_split(["id"], 100)
+        chooser(["id"], 100)
+
+
+@pytest.mark.parametrize("chooser", [in_split, in_hash_split])
+def test_split_puts_a_key_with_nulls_somewhere(spark, chooser):
+    df = spark.createDataFrame([(None, 1.5), (None, None)], "a string, b double")
+    chosen = chooser(["a", "b"], 50)
+    assert df.where(chosen).count() + df.where(~chosen).count() == 2
+
+
+def test_hash_split_ignores_the_time_zone(spark):
+    df = spark.range(500).selectExpr("id", "timestamp_seconds(id * 7919) AS t")
+    chosen = lambda: {r.id for r in df.where(in_hash_split(["t"], 50)).collect()}
+    here = chosen()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert chosen() == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,7 +1,9 @@
 """The streams agree with their batch forms."""
 
 from datetime import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,14 @@ def test_stream_loads_each_file_once(spark, folders):
     assert read_lake(spark, lake).count() == 63
 
 
+def test_stream_stores_times_with_statistics(spark, folders):
+    raw, lake, checkpoint = folders
+    run(spark, raw, lake, checkpoint)
+    meta = pq.ParquetFile(next(Path(lake).rglob("year=*/**/*.parquet"))).metadata
+    kinds = {meta.schema.column(i).name: meta.schema.column(i).physical_type for i in range(len(meta.schema))}
+    assert kinds["tpep_pickup_datetime"] == "INT64"
+
+
 @pytest.mark.parametrize("writers", [0, 3])
 def test_stream_and_batch_load_the_same_rows(spark, folders, writers):
     raw, lake, checkpoint = folders
