@@ -312,7 +312,7 @@ def new_data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_new_files(spark, raw, kept, book)
     left = ledger.new_files(files, ledger.read_ledger(spark, book))
     return left.agg(
-        F.lit(found).alias("sources_found"),
+        F.lit(found).cast("bigint").alias("sources_found"),
         F.lit(open_before).alias("open_before"),
         F.count(F.lit(1)).alias("files_left"),
     )
