@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,10 +154,8 @@ def _rows_with_moments_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     variances, axes = np.linalg.eigh(covariance)
     offsets = (axes * np.sqrt(np.maximum(variances, 0) * size)).T
     points = np.concatenate([mean + offsets, mean - offsets])
-    weight = count / len(points)
-    schema = ", ".join(f"{name} double" for name in [*columns, "weight"])
-    rows = [(*point, weight) for point in points.tolist()]
-    return df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+    rows = pa.table([*points.T, np.full(len(points), count / len(points))], [*columns, "weight"])
+    return df.sparkSession.createDataFrame(rows).coalesce(1)
 
 
 def predicted_fare(model: LinearRegressionModel, features: Sequence[str] = FEATURES) -> Column:
@@ -198,8 +197,11 @@ def describe_model(
     The passenger term is left out of the formula unless it exceeds ``min_effect``.
     """
     miles, riders = model.coefficients
-    row = [(float(model.intercept), float(miles), float(riders))]
-    fitted = spark.createDataFrame(row, "intercept double, per_mile double, per_passenger double")
+    fitted = spark.range(0, 1, 1, numPartitions=1).select(
+        F.lit(float(model.intercept)).alias("intercept"),
+        F.lit(float(miles)).alias("per_mile"),
+        F.lit(float(riders)).alias("per_passenger"),
+    )
     short = F.format_string("Fare = $%.2f + $%.2f*distance", "intercept", "per_mile")
     rider_term = F.format_string(" + $%.2f*passengers", "per_passenger")
     matters = F.abs("per_passenger") > min_effect
@@ -208,13 +210,17 @@ def describe_model(
 
 def example_trips(spark: SparkSession) -> DataFrame:
     """Five trips of one passenger, for a quick look at a fresh model."""
-    return spark.createDataFrame(EXAMPLE_TRIPS, "trip_distance double, passenger_count double")
+    return _local_rows(spark, EXAMPLE_TRIPS, FEATURES)
 
 
 def named_trips(spark: SparkSession) -> DataFrame:
     """Eight described trips to try a model on."""
-    schema = "trip_distance double, passenger_count long, description string"
-    return spark.createDataFrame(NAMED_TRIPS, schema)
+    return _local_rows(spark, NAMED_TRIPS, [*FEATURES, "description"])
+
+
+def _local_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A few fixed rows, handed over as Arrow, which needs no Python worker."""
+    return spark.createDataFrame(pa.table([list(column) for column in zip(*rows)], list(names)))
 
 
 def distance_grid(
