@@ -62,15 +62,13 @@ def load_new_files(
     ordered = pending.orderBy("path").toLocalIterator(prefetchPartitions=True)
     for files in batched(ordered, files_per_batch):
         for batch_id, group, error in _load(spark, files, lake_root, loaded_at, match_header):
-            status = "failed" if error else "loaded"
-            append_ledger(
-                spark,
-                ledger_root,
-                [
-                    (f.path, f.length, f.modified_at, batch_id, status, error, loaded_at)
-                    for f in group
-                ],
-            )
+            outcome = {
+                "batch_id": batch_id,
+                "status": "failed" if error else "loaded",
+                "error": error,
+                "recorded_at": loaded_at,
+            }
+            append_ledger(spark, ledger_root, [{**file.asDict(), **outcome} for file in group])
             if error:
                 report.failed[group[0].path] = error
             else:
@@ -83,10 +81,8 @@ def mark_published(
     spark: SparkSession, ledger_root: str, batch_ids: list[str], at: datetime | None = None
 ) -> None:
     """Record that the downstream jobs have covered these batches."""
-    at = at or datetime.now(timezone.utc)
-    append_ledger(
-        spark, ledger_root, [(None, None, None, b, "published", None, at) for b in batch_ids]
-    )
+    done = {"status": "published", "recorded_at": at or datetime.now(timezone.utc)}
+    append_ledger(spark, ledger_root, [{"batch_id": batch_id, **done} for batch_id in batch_ids])
 
 
 def lake_rows(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:

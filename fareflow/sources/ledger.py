@@ -7,14 +7,27 @@ with status ``loaded`` names its path; a failed file stays new and is tried agai
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.schema import LEDGER_COLUMNS
 
-LISTING = ("path", "length", "modified_at")
+# LEDGER_COLUMNS for rows that start on the driver.
+_ARROW_LEDGER = pa.schema(
+    {
+        "path": pa.string(),
+        "length": pa.int64(),
+        "modified_at": pa.timestamp("us", tz="UTC"),
+        "batch_id": pa.string(),
+        "status": pa.string(),
+        "error": pa.string(),
+        "recorded_at": pa.timestamp("us", tz="UTC"),
+    }
+)
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
@@ -41,13 +54,19 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER_COLUMNS)
+        return spark.createDataFrame(_ARROW_LEDGER.empty_table())
 
 
-def append_ledger(spark: SparkSession, root: str, rows: Sequence[tuple]) -> None:
-    """Add one bounded set of rows in a single file, which commits as a whole."""
-    entries = spark.createDataFrame(rows, LEDGER_COLUMNS)
-    entries.coalesce(1).write.mode("append").parquet(root)
+def append_ledger(spark: SparkSession, root: str, entries: Sequence[dict]) -> None:
+    """Add one bounded set of entries in a single file, which commits as a whole."""
+    rows = [{k: _utc(v) if isinstance(v, datetime) else v for k, v in e.items()} for e in entries]
+    table = pa.Table.from_pylist(rows, schema=_ARROW_LEDGER)
+    spark.createDataFrame(table).coalesce(1).write.mode("append").parquet(root)
+
+
+def _utc(moment: datetime) -> datetime:
+    # A time without zone, as Spark hands it out, is in this machine's zone.
+    return moment.astimezone(timezone.utc)
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -61,7 +80,7 @@ def absent_files(source: DataFrame, target: DataFrame, key: str = "path") -> Dat
     return source.join(target.select(key), key, "left_anti")
 
 
-def base_name(path: str = "path"):
+def base_name(path: str = "path") -> Column:
     """The last segment of a path, for comparing listings of two different roots."""
     return F.substring_index(F.col(path), "/", -1)
 

@@ -1,6 +1,7 @@
 """Files in, each exactly once, whatever goes wrong on the way."""
 
 import gzip
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,17 @@ def test_loading_twice_is_loading_once(spark, at):
     assert load(spark, to).loaded == 1 and lake_count(spark, to) == 3
 
 
+def test_ledger_keeps_what_the_listing_says(spark, at):
+    raw, to = at
+    put(raw, "a.csv", line(1))
+    listed = list_files(spark, to.raw).first()
+    load(spark, to)
+    entry = read_ledger(spark, to.ledger).first()
+    assert (entry.path, entry.length, entry.modified_at) == tuple(listed)
+    assert entry.status == "loaded" and entry.error is None
+    assert abs((datetime.now() - entry.recorded_at).total_seconds()) < 600
+
+
 def test_same_name_in_two_folders_is_two_files(spark, at):
     raw, to = at
     put(raw, "x/a.csv", line(1))
