@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -90,6 +91,11 @@ def lake_rows(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
     return enrich_trips(normalize_columns(raw), loaded_at)
 
 
+def _literal(path: str) -> str:
+    """The path with its wildcard characters taken as they are."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _load(
     spark: SparkSession,
     files: tuple[Row, ...],
@@ -99,7 +105,8 @@ def _load(
 ) -> Iterator[tuple[str, tuple[Row, ...], str | None]]:
     batch_id = f"b-{uuid.uuid4().hex}"
     try:
-        raw = read_trip_csv(spark, [f.path for f in files], match_header=match_header)
+        paths = [_literal(f.path) for f in files]
+        raw = read_trip_csv(spark, paths, match_header=match_header)
         write_lake(lake_rows(raw, loaded_at), f"{lake_root}/batch_id={batch_id}", "overwrite")
     except (Py4JJavaError, PySparkException) as error:
         reason = str(error)

@@ -79,7 +79,13 @@ def _daily(measures: list[tuple[str, str]], tail: str = "") -> str:
     columns = ", ".join(f"{sql} AS {name}" for name, sql in measures)
     return f"""WITH {TRIPS}
 SELECT date_trunc('day', tpep_pickup_datetime) AS date, {columns}
-FROM valid GROUP BY 1 {tail}"""
+FROM valid WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1 {tail}"""
+
+
+# A day is closed once it ended a day before the newest pickup time the stream saw.
+_CLOSED = """HAVING date_trunc('day', tpep_pickup_datetime) + INTERVAL 1 DAY <= (
+    SELECT max(tpep_pickup_datetime) - INTERVAL 1 DAY FROM trips
+    WHERE trip_distance > 0 AND total_amount > 0)"""
 
 
 _IN_RANGE = """trip_distance > 0 AND trip_distance <= 100
@@ -246,7 +252,9 @@ SELECT trip_id, label, CAST(2 AS INTEGER) AS n_features, trip_distance AS featur
 FROM training""",
         "train_test_split": f"""WITH {_training()}
 SELECT trip_id, CASE WHEN in_train THEN 'train' ELSE 'test' END AS part FROM training""",
+        "random_split": f"WITH {_training()} SELECT trip_id, label FROM training",
         "fare_model": _coefficients(_ELASTIC_NET, 4),
+        "fare_model_by_row": _coefficients(_ELASTIC_NET, 4),
         "fare_model_ols": _coefficients(_OLS, 6),
         "model_summary": _SUMMARY,
         "score_trips": _score_trips(_ELASTIC_NET),
@@ -283,4 +291,5 @@ FROM trips""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
         "stream_daily_stats": _daily(_REPORT + _DROPPED),
+        "stream_closed_days": _daily(_REPORT + _DROPPED, _CLOSED),
     }

@@ -20,7 +20,12 @@ from fareflow.sources import lake, ledger
 from fareflow.sources.tables import fares_from_tables, trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
 from fareflow.streaming.load import stream_to_lake
-from fareflow.streaming.stats import keep_report, stream_daily_stats, stream_lake
+from fareflow.streaming.stats import (
+    append_closed_days,
+    keep_report,
+    stream_daily_stats,
+    stream_lake,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +134,12 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts of the seeded split, which together must be the whole input."""
+    parts = fares.random_split(training_set(spark, sf_dir))
+    return parts[0].unionByName(parts[1]).select("trip_id", "label")
+
+
 def _fit(spark: SparkSession, sf_dir: str, **overrides) -> tuple[LinearRegressionModel, DataFrame]:
     train, test = fares.stable_split(training_set(spark, sf_dir), KEY)
     return fares.fit_fares(train, **overrides), test
@@ -139,13 +150,22 @@ TIGHT = {"tol": 1e-12}
 PLAIN = {"regParam": 0.0}
 
 
-def _coefficients(spark: SparkSession, sf_dir: str, digits: int, overrides: dict) -> DataFrame:
-    model, _ = _fit(spark, sf_dir, **overrides)
+def _described(spark: SparkSession, model: LinearRegressionModel, digits: int) -> DataFrame:
     described = fares.describe_model(spark, model)
     numbers = ("intercept", "per_mile", "per_passenger")
     return described.select(*[round_stable(F.col(n), digits).alias(n) for n in numbers])
 
 
+def _coefficients(spark: SparkSession, sf_dir: str, digits: int, overrides: dict) -> DataFrame:
+    model, _ = _fit(spark, sf_dir, **overrides)
+    return _described(spark, model, digits)
+
+
+def fare_model_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = fares.stable_split(training_set(spark, sf_dir), KEY)
+    return _described(spark, fares.fit_fares_by_row(train, **TIGHT), 4)
+
+
 fare_model = partial(_coefficients, digits=4, overrides=TIGHT)
 fare_model_ols = partial(_coefficients, digits=6, overrides=PLAIN)
 
@@ -340,14 +360,14 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unzoned(lake.read_lake(spark, kept)).select(*SHOWN, "year", "month")
 
 
-def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily report as a stream over the lake keeps it."""
+def _stream_days(spark: SparkSession, sf_dir: str, sink: Callable) -> DataFrame:
+    """Daily statistics of a stream over the lake, as the sink leaves them."""
     root, path = scratch_path(spark, "lake"), scratch_path(spark, "report")
     rows = _enriched(spark, sf_dir)
     lake.write_lake(rows, root)
     source = stream_lake(spark, root, rows.schema, files_per_trigger=None)
-    kept = stream_daily_stats(source).drop("calculated_at")
-    keep_report(kept, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    days = stream_daily_stats(source).drop("calculated_at")
+    sink(days, path, scratch_path(spark, "checkpoint")).awaitTermination()
     return unzoned(spark.read.parquet(path))
 
 
@@ -368,7 +388,9 @@ def queries() -> dict[str, Query]:
         "training_set_fallback_label": training_set_fallback_label,
         "training_features": training_features,
         "train_test_split": train_test_split,
+        "random_split": random_split,
         "fare_model": fare_model,
+        "fare_model_by_row": fare_model_by_row,
         "fare_model_ols": fare_model_ols,
         "model_summary": model_summary,
         "score_trips": partial(_score_trips, overrides=TIGHT),
@@ -389,5 +411,6 @@ def queries() -> dict[str, Query]:
         "new_data_gate": new_data_gate,
         "ledger_append": ledger_append,
         "stream_ingest": stream_ingest,
-        "stream_daily_stats": stream_stats,
+        "stream_daily_stats": partial(_stream_days, sink=keep_report),
+        "stream_closed_days": partial(_stream_days, sink=append_closed_days),
     }

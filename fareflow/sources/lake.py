@@ -63,7 +63,10 @@ def read_lake(
 
     The bounds test partition columns only, so other months are never listed for
     reading. With a ``ledger``, only batches it records as loaded are read, which
-    hides whatever a load that died half-way left behind; ``batch_id`` is dropped.
+    hides whatever a load that died half-way left behind; ``batch_id`` is dropped. The
+    batch ids become a partition filter: there are as many as batch folders, which the
+    driver lists anyway, and a join would touch every row or even shuffle the lake.
+
     The schema comes from the files unless given.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -72,7 +75,8 @@ def read_lake(
         lake = lake.where(bound)
     if ledger is not None:
         committed = ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
-        lake = lake.join(committed, "batch_id", "left_semi").drop("batch_id")
+        ids = [row.batch_id for row in committed.collect()]
+        lake = lake.where(F.col("batch_id").isin(ids)).drop("batch_id")
     return lake
 
 

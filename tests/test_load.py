@@ -19,7 +19,7 @@ from fareflow.sources.ledger import (
     unpublished_batches,
 )
 from fareflow.sources.trip_csv import read_trip_csv
-from tests.helpers import NAMES
+from tests.helpers import NAMES, plan_of
 
 HEADER = ",".join(NAMES)
 
@@ -99,6 +99,16 @@ def test_same_name_in_two_folders_is_two_files(spark, at):
     assert load(spark, to).loaded == 2 and lake_count(spark, to) == 2
 
 
+def test_names_with_wildcards_and_blanks(spark, at):
+    raw, to = at
+    for day, name in enumerate(["a b.csv", "c[1].csv", "d{x,y}.csv", "e%20f.csv", "g?.csv"], 1):
+        put(raw, name, line(day))
+    report = load(spark, to)
+    assert not report.failed and report.loaded == 5
+    assert lake_count(spark, to) == 5
+    assert load(spark, to).loaded == 0
+
+
 def test_batches_are_bounded(spark, at):
     raw, to = at
     for n in range(5):
@@ -152,6 +162,17 @@ def test_leftovers_of_a_dead_run_are_not_read(spark, at):
     assert lake_count(spark, to) == 1
 
 
+def test_ledger_prunes_folders_instead_of_joining(spark, at):
+    raw, to = at
+    put(raw, "a.csv", line(1))
+    load(spark, to)
+    plan = plan_of(read_lake(spark, to.lake, ledger=read_ledger(spark, to.ledger)))
+    assert "batch_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "Join" not in plan and "Exchange" not in plan
+    empty = read_ledger(spark, to.ledger + "-none")
+    assert read_lake(spark, to.lake, ledger=empty).isEmpty()
+
+
 def test_missing_ledger_is_empty_but_a_broken_one_raises(spark, at, tmp_path):
     assert read_ledger(spark, str(tmp_path / "none")).isEmpty()
     (tmp_path / "bad").mkdir()
