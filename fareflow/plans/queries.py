@@ -238,20 +238,15 @@ def _write_raw_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def _damaged_lines(rows: DataFrame) -> DataFrame:
     """Trips as CSV lines, some cut short, some too long, some with a bad value."""
-    part = F.substring_index("trip_id", "-", 1).cast("bigint")
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_COLUMNS]
-    bad_count, bad_time = list(fields), list(fields)
-    bad_count[RAW_COLUMNS.index("passenger_count")] = F.lit("1.0")
-    bad_time[RAW_COLUMNS.index(DROPOFF)] = F.lit("notatime")
-    join = partial(F.concat_ws, ",")
-    line = (
-        F.when(part % 13 == 1, join(*fields[:-1]))
-        .when(part % 13 == 2, join(*fields, F.lit("9")))
-        .when(part % 13 == 3, join(*bad_count))
-        .when(part % 13 == 4, join(*bad_time))
-        .otherwise(join(*fields))
-    )
-    return rows.select(line.alias(",".join(RAW_COLUMNS)))
+    damage = F.substring_index("trip_id", "-", 1).cast("bigint") % 13
+    fields = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_COLUMNS}
+    last = RAW_COLUMNS[-1]
+    # concat_ws leaves nulls out, so a null field shortens the line.
+    fields[last] = F.when(damage != 1, fields[last])
+    fields["one too many"] = F.when(damage == 2, "9")
+    for value, name, bad in ((3, "passenger_count", "1.0"), (4, DROPOFF, "notatime")):
+        fields[name] = F.when(damage == value, bad).otherwise(fields[name])
+    return rows.select(F.concat_ws(",", *fields.values()).alias(",".join(RAW_COLUMNS)))
 
 
 SHOWN = ["vendorid", PICKUP, DROPOFF, "passenger_count", "trip_distance"]

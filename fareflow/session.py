@@ -72,25 +72,28 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str
     }
 
 
-_local_scratch: str | None = None
+_local_paths: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may fall back to a temporary folder of this machine. What a
+    local session leaves in its scratch paths goes when the process ends.
     """
+    local = spark.sparkContext.master.startswith("local")
     shared = spark.conf.get("spark.checkpoint.dir", "")
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _local_folder()
-    return f"{shared.rstrip('/')}/fareflow/{name}-{uuid.uuid4().hex}"
+        shared = tempfile.gettempdir()
+    path = f"{shared.rstrip('/')}/fareflow/{name}-{uuid.uuid4().hex}"
+    if local and path.startswith("/"):
+        _local_paths.append(path)
+    return path
 
 
-def _local_folder() -> str:
-    global _local_scratch
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="run-")
-        atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
-    return _local_scratch
+@atexit.register
+def _remove_local_paths() -> None:
+    for path in _local_paths:
+        shutil.rmtree(path, ignore_errors=True)
