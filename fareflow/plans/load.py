@@ -96,6 +96,12 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def _file_error(error: Exception) -> str | None:
+    """The line of an error that blames a file, if there is one."""
+    lines = str(error).splitlines()
+    return next((line for line in lines if any(mark in line for mark in _FILE_ERRORS)), None)
+
+
 def _load(
     spark: SparkSession,
     files: tuple[Row, ...],
@@ -109,11 +115,11 @@ def _load(
         raw = read_trip_csv(spark, paths, match_header=match_header)
         write_lake(lake_rows(raw, loaded_at), f"{lake_root}/batch_id={batch_id}", "overwrite")
     except (Py4JJavaError, PySparkException) as error:
-        reason = str(error)
-        if not any(mark in reason for mark in _FILE_ERRORS):
+        reason = _file_error(error)
+        if reason is None:
             raise
         if len(files) == 1:
-            yield batch_id, files, reason.splitlines()[0] if reason else "unreadable"
+            yield batch_id, files, reason
             return
         middle = len(files) // 2
         for part in (files[:middle], files[middle:]):

@@ -41,16 +41,25 @@ def write_lake(
     AQE cuts a month that outgrows the advisory partition size into several tasks and
     merges small ones, so no month is ever one task. Sorting each task's rows by month
     is what the writer needs anyway; adding the pickup time gives Parquet useful
-    min/max statistics. Needs adaptive execution, which is Spark's default.
+    min/max statistics. Without adaptive execution every month is spread over all
+    shuffle partitions by a hash of the row.
     """
     order = ["year", "month"] + ([sort_by] if sort_by else [])
-    writer = enriched.hint("rebalance", "year", "month").sortWithinPartitions(*order).write
+    writer = _gathered(enriched).sortWithinPartitions(*order).write
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     with micros_in_parquet(enriched.sparkSession):
         writer.partitionBy("year", "month").mode(mode).parquet(root)
 
 
+def _gathered(enriched: DataFrame) -> DataFrame:
+    conf = enriched.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return enriched.hint("rebalance", "year", "month")
+    spread = F.pmod(F.xxhash64(*enriched.columns), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
+    return enriched.repartition("year", "month", spread)
+
+
 def read_lake(
     spark: SparkSession,
     root: str,

@@ -112,6 +112,16 @@ def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "l")).count() == 400_000
 
 
+def test_hot_month_is_spread_without_adaptive_execution(spark, tmp_path):
+    rows = spark.range(10_000).select(
+        F.lit(2020).alias("year"), F.lit(1).alias("month"), F.col("id").alias("payload")
+    )
+    with settings(spark, adaptive__enabled="false", shuffle__partitions="8"):
+        write_lake(rows, str(tmp_path / "l"), sort_by=None)
+    assert len(files(tmp_path / "l")) > 2
+    assert spark.read.parquet(str(tmp_path / "l")).distinct().count() == 10_000
+
+
 def test_small_months_share_tasks_and_get_one_file_each(spark, root):
     months = {f.parent for f in files(root)}
     assert len(files(root)) == len(months)

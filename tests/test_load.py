@@ -133,7 +133,8 @@ def test_unreadable_file_is_set_apart_and_tried_again(spark, at):
         patch.setattr(job, "list_files", lambda s, r: list_files(s, r, ".csv*"))
         report = load(spark, to)
         assert report.loaded == 4 and len(report.failed) == 1
-        assert "9.csv.gz" in next(iter(report.failed))
+        path, reason = next(iter(report.failed.items()))
+        assert "9.csv.gz" in path and "FAILED_READ_FILE" in reason
         with pytest.raises(LoadError):
             report.check()
         assert lake_count(spark, to) == 4
@@ -144,6 +145,14 @@ def test_unreadable_file_is_set_apart_and_tried_again(spark, at):
     assert {r.status: r["count"] for r in statuses} == {"loaded": 5, "failed": 1}
 
 
+def test_file_with_another_header_is_set_apart_on_request(spark, at):
+    raw, to = at
+    put(raw, "a.csv", line(1))
+    (raw / "b.csv").write_text(",".join(reversed(NAMES)) + f"\n{line(2)}\n")
+    report = load(spark, to, match_header=True)
+    assert report.loaded == 1 and [p.rsplit("/", 1)[1] for p in report.failed] == ["b.csv"]
+
+
 def test_errors_of_the_job_are_raised(spark, at):
     raw, to = at
     put(raw, "a.csv", line(1))
