@@ -68,6 +68,8 @@ def test_discovery_descends_and_keeps_only_csv(spark, at):
     found = list_files(spark, to.raw).collect()
     assert sorted(r.path.rsplit("/", 1)[1] for r in found) == ["a.csv", "b.csv"]
     assert all(r.length > 0 and r.modified_at for r in found)
+    schema = plan_of(list_files(spark, to.raw)).split("ReadSchema: ")[1]
+    assert "content" not in schema
 
 
 def test_loading_twice_is_loading_once(spark, at):
