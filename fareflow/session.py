@@ -6,9 +6,6 @@ they can go into ``spark-submit --conf`` or ``SparkSession.builder.config(map=..
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,7 +57,7 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str
     AQE starts from enough partitions for each to fit in memory and merges the
     ones that turn out small, so an over-estimate costs little.
     """
-    start = min(max(-(-shuffle_bytes // partition_bytes), 200), 100_000)
+    start = max(-(-shuffle_bytes // partition_bytes), 1)
     return {
         **SESSION_CONF,
         "spark.sql.adaptive.enabled": "true",
@@ -72,28 +69,21 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str
     }
 
 
-_local_paths: list[str] = []
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``, else below the warehouse.
+
+    Both are places that the driver and all executors share.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/fareflow/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path below ``scratch_root``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Only a local session may fall back to a temporary folder of this machine. What a
-    local session leaves in its scratch paths goes when the process ends.
-    """
-    local = spark.sparkContext.master.startswith("local")
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared:
-        if not local:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.gettempdir()
-    path = f"{shared.rstrip('/')}/fareflow/{name}-{uuid.uuid4().hex}"
-    if local and path.startswith("/"):
-        _local_paths.append(path)
-    return path
-
-
-@atexit.register
-def _remove_local_paths() -> None:
-    for path in _local_paths:
-        shutil.rmtree(path, ignore_errors=True)
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in its scratch folder, through Spark's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

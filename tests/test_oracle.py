@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fareflow.plans import queries as registry
 
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
@@ -42,7 +43,7 @@ def _plain(value):
     return float(value) + 0.0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, sf_dir, duck, name):
     got = entry.queries()[name](spark, sf_dir)
     sql = entry.oracle_sql().get(name)
