@@ -1,0 +1,88 @@
+"""Decontamination against a plain search of every window in every text."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareflow.llm import suffixes
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered)
+
+
+def brute(docs, items):
+    out = []
+    for key, text in docs:
+        own, hit, names = words(text), set(), set()
+        for item, item_text in items:
+            theirs = words(item_text)
+            size = min(10, len(theirs))
+            for s in range(len(theirs) - size + 1 if theirs else 0):
+                for p in range(len(own) - size + 1):
+                    if own[p:p + size] == theirs[s:s + size]:
+                        hit |= set(range(p, p + size))
+                        names.add("" if item is None else str(item))
+        digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        out.append((key, len(own), len(hit), len(names), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def fixture():
+    rng = random.Random(2)
+    vocab = ["the", "of", "Äpfel", "x1", "and", "über", "ß", "a", "日本", "go"] + [f"v{i}" for i in range(40)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(say(rng.choice([1, 2, 5, 9, 10, 11, 25, 40])))) for i in range(25)]
+    items = [(i, t) for i, t in items if len(t.split()) > 1 or i % 2]
+    items += [(30, None), (31, ""), (32, "...!"), (3, items[3][1]), (None, " ".join(say(12))), (33, "go " * 14),
+              (34, items[5][1] + " " + items[6][1])]
+    docs = []
+    for d in range(60):
+        text = say(rng.choice([0, 1, 8, 9, 10, 30, 120]))
+        for _ in range(rng.randint(0, 2)):
+            whole = (rng.choice(items)[1] or "").split()
+            cut = whole[rng.randint(0, 3):]
+            at = rng.randint(0, len(text))
+            text[at:at] = cut
+        docs.append((d, rng.choice([" ", ", ", "\n", " -- "]).join(w.upper() if rng.random() < 0.2 else w for w in text)))
+    docs += [(100, None), (101, ""), (102, "go! " * 30), (5, docs[5][1]), (None, docs[7][1]), (103, "é" * 9000)]
+    return docs, items
+
+
+@pytest.mark.parametrize("block", [suffixes.BLOCK_CHARS, 300])
+def test_judgement_matches_plain_search(spark, monkeypatch, block):
+    docs, items = fixture()
+    plain = suffixes.with_matches
+    monkeypatch.setattr(suffixes, "with_matches", lambda *a: plain(*a, block_chars=block))
+    got = suffixes.judge(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(docs, items)
+
+
+def test_longest_matches_and_their_places(spark):
+    item = " ".join(f"t{i}" for i in range(30))
+    inside = " ".join(f"t{i}" for i in range(5, 21))
+    docs = spark.createDataFrame([(1, f"a b {inside} c d {inside}"), (2, "nothing here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(8, item)], "item_id long, text string")
+    row = {r.doc_id: r.m for r in suffixes.with_matches(docs, bench, "m").collect()}
+    assert [tuple(m) for m in row[1].matches] == [("8", 5, 2, 16), ("8", 5, 20, 16)]
+    assert row[2].matches == [] and row[2].n_words == 2
+
+
+def test_clean_only_keeps_columns_and_clean_rows(spark):
+    text = " ".join(f"t{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, text, 3), (2, "fine", 4), (None, None, 5)], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(8, text)], "item_id long, text string")
+    kept = suffixes.clean_only(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r.item_id for r in kept.select(F.col("item_id")).collect()) == [4, 5]
+    assert suffixes.clean_only(docs, bench.limit(0)).count() == 3
+    assert suffixes.judge(docs.limit(0), bench).collect() == []
