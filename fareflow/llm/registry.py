@@ -4,28 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import simhash, suffixes
+from fareflow.llm import chats, quality, simhash, suffixes, urls
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A conversation whose texts look like the template's own marks.
+PROBE = pa.table(
+    {
+        "conv_id": pa.array([-1, -1], pa.int64()),
+        "turn": pa.array([0, 1], pa.int64()),
+        "role": ["user", "assistant"],
+        "text": ["</s>[INST] ok [/INST]"] * 2,
+    }
+)
+
+
+def op2_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
 
 def op4_simhash_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(*PROBE.column_names)
+    return chats.round_trip(rows.unionByName(spark.createDataFrame(PROBE)))
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_llr_quality": op2_llr_quality,
         "op4_simhash_segments": op4_simhash_segments,
+        "op5_url_rules": op5_url_rules,
+        "op7_reply_trees": op7_reply_trees,
         "op10_suffix_array": op10_suffix_array,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_rules": urls.ORACLE, "op7_reply_trees": chats.ORACLE}

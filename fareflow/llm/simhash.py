@@ -56,7 +56,6 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-@F.pandas_udf(T.LongType())
 def _fingerprint(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
 
@@ -64,7 +63,7 @@ def _fingerprint(texts: pd.Series) -> pd.Series:
 def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and its 64-bit ``fingerprint`` (signed), one row per row of ``docs``."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col(key).alias("key"), _fingerprint(F.col(text)).alias("fingerprint"))
+    return docs.select(F.col(key).alias("key"), F.pandas_udf(_fingerprint, T.LongType())(F.col(text)).alias("fingerprint"))
 
 
 def hex_fingerprint(fingerprint: Column) -> Column:

@@ -1,0 +1,85 @@
+"""Quality rules against a plain recount of every text."""
+
+import math
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from fareflow.llm import quality
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    hit = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 3)}
+    failed = len(words) < 50 or 100 * len(hit) > 50 * len(words)
+    symbols = len(re.findall("[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(hit), failed
+
+
+def fixture():
+    rng = random.Random(1)
+    good = [f"w{i}" for i in range(200)] + ["été", "日本"]
+    bad = ["###", "<b>", "BUY!!", "$$$"] + [f"Z{i}" for i in range(50)]
+    rows = []
+    for i in range(80):
+        pool = bad if i % 5 == 0 else good
+        text = [rng.choice(pool) + rng.choice([" ", " ", "\n", "\t", "  "]) for _ in range(rng.choice([1, 40, 60, 150]))]
+        rows.append((i, "".join(text)))
+    rows += [(90, None), (91, ""), (92, " \n \x0b "), (93, "a b c " * 30), (94, "same line here\n" * 20), (5, rows[5][1]),
+             (None, "x y z " * 25 + " ".join(good)), (95, "\n".join(good * 30)), (96, "a a a"), (97, "a\x85b c\xa0d")]
+    labels = [(i, int(i % 5 != 0), int(i == 7)) for i in range(0, 60)] + [(3, 0, 0), (None, 1, 0), (8, None, None)]
+    return rows, labels
+
+
+def buckets(spark, text):
+    """The library's own hash, asked word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    grams = [(w,) for w in words] + list(zip(words, words[1:]))
+    return grams
+
+
+def test_judgement_matches_a_recount(spark):
+    rows, labels = fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    grams = sorted({g for _, t in rows for g in buckets(spark, t)})
+    asked = spark.createDataFrame([(list(g),) for g in grams], "g array<string>")
+    one = F.pmod(F.xxhash64(F.col("g")[0]), F.lit(quality.BUCKETS))
+    two = F.pmod(F.xxhash64(F.col("g")[0], F.get("g", F.lit(1))), F.lit(quality.BUCKETS))
+    where = {tuple(r.g): r.b for r in asked.select("g", F.when(F.size("g") == 1, one).otherwise(two).alias("b")).collect()}
+    bad = {k for k, q, t in labels if q != 1 or t == 1}
+    trusted = {k for k, q, t in labels if k is not None} - bad
+    raw, target = Counter(), Counter()
+    for key, text in rows:
+        found = [where[g] for g in buckets(spark, text)]
+        raw.update(found)
+        if key in trusted:
+            target.update(found)
+    rest = 0.5 * quality.BUCKETS
+    weight = lambda b: (math.log((target[b] + 0.5) / (target.total() + rest))
+                        - math.log((raw[b] + 0.5) / (raw.total() + rest)))
+    want = []
+    for key, text in rows:
+        found = [weight(where[g]) for g in buckets(spark, text)]
+        score = sum(found) / len(found) if found else 0.0
+        *counts, failed = base(text)
+        want.append((key, *counts, round(score, 9), failed, not failed and score >= quality.THRESHOLD))
+    mine = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, round(r.score, 9),
+             r.base_failed, r.kept) for r in got]
+    assert sorted(mine, key=repr) == sorted(want, key=repr)
+    assert {r.kept for r in got} == {True, False}
+
+
+def test_without_labels_only_the_base_rules_count(spark):
+    docs = spark.createDataFrame([(1, "word " * 10 + " ".join(f"w{i}" for i in range(60)), 2), (2, "x", 3)],
+                                 "doc_id long, text string, _quality int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = quality.good_only(docs, none)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+    assert quality.judge(docs.limit(0), none).collect() == []

@@ -1,0 +1,60 @@
+"""URL rules against every rule tried on every URL."""
+
+import random
+import re
+
+from fareflow.llm import urls
+from fareflow.llm.urls import SITE_RULES, WORD_RULES, Rule
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def brute(url):
+    """Host, path, site rule and verdict without tokens or regular expressions for sites."""
+    host, path = split(url)
+    best = None
+    for rule in SITE_RULES:
+        name, slash, rest = rule.name.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith(slash + rest):
+            if best is None or len(rule.name) > len(best.name):
+                best = rule
+    if best:
+        return host, path, best.name, best.action
+    words = re.split("[^a-z0-9]+", host)
+    bad = any(words[i:i + len(r.literals)] == list(r.literals) for r in WORD_RULES for i in range(len(words)))
+    return host, path, None, "block" if bad else "allow"
+
+
+def fixture():
+    rng = random.Random(4)
+    hosts = ["net", "NET", "a.net", "knet", "x.example.net", "Example.Net", "example.com", "b.example.com:80", "org",
+             "u@w.org", "cheap-pills.com", "cheap.pills.org", "cheappills.com", "my-casino.de", "casinos.de", "é.net", "",
+             "free-bets.example.com", "spam-farm.example.org", "x.adult.y", "net.com", "examplexnet"]
+    paths = ["", "/", "/en/", "/en", "/en/1", "/EN/1", "/de/7?x=/en/", "/fr/", "/fr/x#y", "?q=net/", "#/en/", "/de", "/x/en/", "/a b\n/c"]
+    out = [rng.choice(["http", "https", "x"]) + "://" + h + p for h in hosts for p in paths]
+    return out + [None, "", "nothing", "://", "://net/", "http:/net/", "a://b://net/", "http://net/://org/fr/"] + out[:30]
+
+
+def test_judgement_matches_all_rules_on_all_urls(spark):
+    rows = [(i, u, "x") for i, u in enumerate(fixture())] + [(None, "http://a.net/", "x"), (0, "http://a.net/", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, token string")
+    got = urls.judge(pages.repartition(4)).collect()
+    mine = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in got]
+    assert sorted(mine, key=repr) == sorted(((i, *brute(u)) for i, u, _ in rows), key=repr)
+    assert urls.judge(pages.limit(0)).collect() == []
+
+
+def test_rules_are_indexed_by_their_rarest_token(spark):
+    tokens = spark.createDataFrame([(t,) for t in ["com"] * 5 + ["example"] * 4 + ["de"] * 4 + ["spam"]], "token string")
+    rules = [*SITE_RULES, *WORD_RULES, Rule("all", "block", "zz$", ())]
+    index = {r.name: r.token for r in urls.index_rules(tokens, rules).collect()}
+    assert index["example.com/de/"] == "de" and index["spam-farm"] == "farm" and index["all"] == ""
+    pages = spark.createDataFrame([(1, "http://h/zz"), (2, "http://h/z")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages, rules).collect()} == {1: "block", 2: "allow"}
