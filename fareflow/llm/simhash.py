@@ -189,6 +189,9 @@ def _components(prints: DataFrame, key: str) -> DataFrame:
     named = groups.join(reach, "fp", "left").select(
         "fp", F.coalesce("least", "first").alias("component_id")
     )
+    # Written first, so that nothing stands between the join and its shuffles: Spark then
+    # splits the rows of a fingerprint that many copies share.
+    named = stored(named, "simhash_named")
     return prints.join(named, prints.fingerprint == named.fp).select(
         F.col("key").alias(key), hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
