@@ -7,7 +7,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import chats, quality, simhash, suffixes, urls
+import corpus_pipeline
+from fareflow.llm import chats, crf, mixing, quality, simhash, suffixes, urls
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +24,18 @@ PROBE = pa.table(
 )
 
 
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -46,11 +55,14 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_crf_language": op1_crf_language,
         "op2_llr_quality": op2_llr_quality,
+        "op3_temperature_mix": op3_temperature_mix,
         "op4_simhash_segments": op4_simhash_segments,
         "op5_url_rules": op5_url_rules,
         "op7_reply_trees": op7_reply_trees,
         "op10_suffix_array": op10_suffix_array,
+        "pipeline": corpus_pipeline.run,
     }
 
 

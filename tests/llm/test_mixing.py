@@ -1,0 +1,95 @@
+"""Mixing against a plain replay of its plan, and the exponent against bisection."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareflow.llm import mixing
+from fareflow.llm.mixing import BLOCKS, Target
+
+
+def bisected(tokens, target):
+    """The exponent by halving."""
+    total = sum(tokens)
+    p = [t / total for t in tokens]
+
+    def measures(x):
+        q = [v**x for v in p]
+        w = [v / sum(q) for v in q]
+        return -sum(v * math.log(v) for v in w), max(target.epochs * a / b for a, b in zip(w, p))
+
+    def below(x):
+        h, r = measures(x)
+        return h >= target.entropy * math.log(len(p)) if target.entropy is not None else r > target.max_repeats
+
+    low, high = 0.0, 1.0
+    if not below(low):
+        return low
+    if below(high):
+        return high
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle) else (low, middle)
+    return low
+
+
+TARGETS = [Target(), Target(1.0, 2.0), Target(2.0, 3.5), Target(1.0, 100.0), Target(3.0, 1.0), Target(1.0, None, 0.9),
+           Target(0.3, None, 0.99), Target(1.0, None, 1.0)]
+
+
+@pytest.mark.parametrize("target", TARGETS)
+def test_exponent(spark, target):
+    tokens = [100_000, 40_000, 9_000, 800, 50]
+    shares = spark.createDataFrame([(t / sum(tokens),) for t in tokens], "p double")
+    # The entropy is flat at its highest, where rounding moves the exponent more.
+    near = 1e-6 if target.entropy == 1.0 else 1e-8
+    assert abs(mixing.find_exponent(shares, target) - bisected(tokens, target)) < near
+
+
+def fixture():
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 60)), rng.choice(["a"] * 12 + ["b"] * 4 + ["c"])) for i in range(3000)]
+    return rows + [(5000, None, "a"), (5001, "", "empty"), (5002, "x y", None), (None, "z z z", "a"), (7, rows[7][1], rows[7][2])]
+
+
+@pytest.mark.parametrize("target", [Target(), Target(2.5, 4.0), Target(0.4, None, 0.95)])
+def test_mix_realises_its_budgets(spark, target):
+    rows = fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = lambda text: len((text or "").split())
+    tokens = {}
+    for _, text, source in rows:
+        tokens[source or ""] = tokens.get(source or "", 0) + size(text)
+    tokens = {s: t for s, t in tokens.items() if t}
+    total, x = sum(tokens.values()), bisected(list(tokens.values()), target)
+    norm = sum((t / total) ** x for t in tokens.values())
+    budget = {s: target.epochs * total * (t / total) ** x / norm for s, t in tokens.items()}
+    blocks = {(r.source, r.block): r.tokens for r in mixing.block_tokens(docs).collect()}
+    got = mixing.mix(docs, "m", target).collect()
+    drawn, copies = dict.fromkeys(tokens, 0), {}
+    for r in got:
+        drawn[r.source or ""] += r.m.n_tokens
+        assert r.m.n_tokens == size(r.text) and 0 <= r.m.position < 1.001 + 1 / BLOCKS * 20
+        copies.setdefault((r.doc_id, r.text), []).append(r.m.epoch)
+    for source, want in budget.items():
+        largest = max(t for (s, _), t in blocks.items() if s == source)
+        assert abs(drawn[source] - want) <= largest / 2 + 1
+    for (doc, text), epochs in copies.items():
+        passes = sorted(set(epochs))
+        assert passes == list(range(len(passes)))
+        assert len(epochs) == len(passes) * (2 if doc == 7 else 1)
+    assert not any(r.source == "empty" for r in got)
+
+
+def test_every_pass_is_a_permutation_of_the_blocks(spark):
+    at = spark.range(BLOCKS * 6).select((F.col("id") % BLOCKS).cast("int").alias("b"), (F.col("id") / BLOCKS).cast("int").alias("e"))
+    places = at.groupBy("e").agg(F.collect_list(mixing._place(F.lit("s"), F.col("e"), F.col("b"))).alias("p")).collect()
+    assert all(sorted(r.p) == list(range(BLOCKS)) for r in places)
+    assert len({tuple(r.p) for r in places}) == 6
+
+
+def test_empty_and_tokenless_tables(spark):
+    docs = spark.createDataFrame([(1, None, "a")], "doc_id long, text string, source string")
+    assert mixing.judge(docs).collect() == [] and mixing.judge(docs.limit(0)).collect() == []
