@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fareflow.llm import chats, crf, mixing, quality, simhash, suffixes, urls
+from fareflow.llm import chats, crf, mixing, quality, simhash, suffixes, tokens, urls, warc
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,11 +44,19 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(*PROBE.column_names)
     return chats.round_trip(rows.unionByName(spark.createDataFrame(PROBE)))
 
 
+def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,11 +68,17 @@ def queries() -> dict[str, Query]:
         "op3_temperature_mix": op3_temperature_mix,
         "op4_simhash_segments": op4_simhash_segments,
         "op5_url_rules": op5_url_rules,
+        "op6_gzip_normaliser": op6_gzip_normaliser,
         "op7_reply_trees": op7_reply_trees,
+        "op8_token_attribution": op8_token_attribution,
         "op10_suffix_array": op10_suffix_array,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_rules": urls.ORACLE, "op7_reply_trees": chats.ORACLE}
+    return {
+        "op5_url_rules": urls.ORACLE,
+        "op6_gzip_normaliser": warc.ORACLE,
+        "op7_reply_trees": chats.ORACLE,
+    }
