@@ -138,10 +138,13 @@ def with_quality(
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The texts of documents that some label calls good and none calls bad or toxic."""
+    """The texts of documents that some label calls good and none calls bad or toxic.
+
+    Labels grow with the documents, so the join is by shuffle at every size.
+    """
     good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))
     agreed = labels.groupBy(key).agg(F.min(good).alias("good")).where("good").select(key)
-    return docs.select(key, "text").join(agreed, key, "left_semi")
+    return docs.select(key, "text").join(agreed.hint("merge"), key, "left_semi")
 
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
