@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fareflow.llm import chats, crf, mixing, quality, simhash, suffixes, tokens, urls, warc
+from fareflow.llm import chats, crf, mixing, quality, simhash, suffixes, tokens, urls, warc, wrappers
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op8_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Query]:
         "op6_gzip_normaliser": op6_gzip_normaliser,
         "op7_reply_trees": op7_reply_trees,
         "op8_token_attribution": op8_token_attribution,
+        "op9_wrapper_induction": op9_wrapper_induction,
         "op10_suffix_array": op10_suffix_array,
         "pipeline": corpus_pipeline.run,
     }
