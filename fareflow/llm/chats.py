@@ -1,8 +1,9 @@
 """Reply trees: root-to-leaf paths by iterative self-joins, ranked, each formatted as one chat.
 
 Every message knows its parent. Jumps start as single steps and double by joining with
-themselves, so a path of d messages takes log2(d) rounds, each a pair of joins over ids only;
-texts join once, at the end. A conversation's formatted text is a single value, so all its turns
+themselves, so a path of d messages takes log2(d) rounds, each a pair of joins over ids only.
+Branches are ranked by the scores summed on the way; the messages of the chosen ones come
+from the same jumps, and texts join once, at the end. A conversation's formatted text is a single value, so all its turns
 meet in one row by nature; nothing else is gathered.
 """
 
@@ -10,10 +11,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import small_batches, stored
@@ -70,56 +73,87 @@ def with_parents(rows: DataFrame, tree: str = "conv_id", turn: str = "turn") ->
     ).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
 
 
-def root_to_leaf(messages: DataFrame) -> DataFrame:
-    """``tree``, ``leaf``, ``path`` (node ids, root first), ``total`` score of every path.
+@dataclass
+class Paths:
+    """Root-to-leaf paths: ``leaves`` (``tree``, ``leaf``, ``total`` score, ``steps``) and the jumps.
+
+    ``jumps[k]`` leads every message that has so many ancestors 2**k messages up.
+    """
+
+    leaves: DataFrame
+    jumps: list[DataFrame]
+
+
+def _same(tree: str, node: str) -> Column:
+    return F.col("tree").eqNullSafe(F.col(tree)) & (F.col(node) == F.col("n"))
+
+
+def root_to_leaf(messages: DataFrame) -> Paths:
+    """Every path, named by its leaf.
 
     A parent that is not there makes its child a root. Messages that only lead into a cycle
-    of parents have no root and no path. Repeated (tree, node) ids count once.
+    of parents have no root and no path. Repeated (tree, node) ids count once. A round touches
+    only the messages whose jump or path has not reached its root.
     """
     nodes = messages.select("tree", "node", "parent", "score").dropDuplicates(["tree", "node"])
     here = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    same = F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n"))
-    linked = nodes.join(here, same, "left").select("tree", "node", F.col("n").alias("up"), "score")
-    jumps = stored(
-        linked.select("tree", "node", "up", F.array("node").alias("path"), F.col("score").alias("total")), "jumps"
+    linked = nodes.join(here, _same("t", "parent"), "left").select(
+        "tree", "node", F.col("n").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps")
     )
+    jumps = stored(linked, "jumps")
     parents = jumps.select(F.col("tree").alias("t"), F.col("up").alias("n")).where("n is not null")
-    alone = F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
-    paths = jumps.join(parents, alone, "left_anti").withColumnRenamed("node", "leaf")
+    open_ = jumps.join(parents, _same("t", "node"), "left_anti").withColumnRenamed("node", "leaf")
     longest = jumps.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    paths, reach = stored(paths, "paths"), 1
-    while not paths.where("up is not null").isEmpty() and reach < 2 * longest:
-        paths = stored(_extended(paths, jumps, "leaf"), "paths")
-        jumps = stored(_extended(jumps, jumps, "node"), "jumps")
+    levels, done, reach = [], [], 1
+    while reach < 2 * longest:
+        open_ = stored(open_, "paths")
+        done.append(open_.where("up is null"))
+        open_ = open_.where("up is not null")
+        levels.append(jumps.where("up is not null"))
+        if open_.isEmpty():
+            break
+        further = _led_on(levels[-1], jumps, "node").union(jumps.where("up is null"))
+        open_, jumps = _led_on(open_, jumps, "leaf"), stored(further, "jumps")
         reach *= 2
-    return paths.where("up is null").select("tree", "leaf", "path", "total")
+    leaves = reduce(DataFrame.union, done) if done else open_
+    return Paths(leaves.drop("up"), levels)
 
 
-def _extended(paths: DataFrame, jumps: DataFrame, end: str) -> DataFrame:
+def _led_on(paths: DataFrame, jumps: DataFrame, end: str) -> DataFrame:
     """Paths that have not reached their root, each led on by the jump from its top."""
     ahead = jumps.select(
         F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"),
-        F.col("path").alias("more"), F.col("total").alias("extra"),
+        F.col("total").alias("more"), F.col("steps").alias("further"),
     )
-    same = F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n"))
-    led = paths.join(ahead, same, "left")
-    moved = F.col("n").isNotNull()
-    return led.select(
-        "tree",
-        end,
-        F.col("next").alias("up"),
-        F.when(moved, F.concat("more", "path")).otherwise(F.col("path")).alias("path"),
-        F.when(moved, F.col("total") + F.col("extra")).otherwise(F.col("total")).alias("total"),
+    return paths.join(ahead, _same("t", "up")).select(
+        "tree", end, F.col("next").alias("up"), (F.col("total") + F.col("more")).alias("total"),
+        (F.col("steps") + F.col("further")).alias("steps"),
     )
 
 
 def best_paths(paths: DataFrame, keep: int | None = 1) -> DataFrame:
-    """Each tree's ``keep`` best paths by mean score, ties to the smaller leaf; None keeps all."""
-    order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.size("path")), "leaf")
+    """Each tree's ``keep`` best leaves by mean score, ties to the smaller leaf; None keeps all."""
+    order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "leaf")
     ranked = paths.withColumn("branch", F.row_number().over(order))
     return ranked if keep is None else ranked.where(F.col("branch") <= keep)
 
 
+def path_nodes(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """``tree``, ``branch``, ``node``, ``up_from_leaf`` for every message of the chosen paths.
+
+    Each round doubles the known lower end of every path, so rows grow to the paths' own length.
+    """
+    known = chosen.select("tree", "branch", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up_from_leaf"))
+    for k, level in enumerate(jumps):
+        known = stored(known, "path_nodes")
+        ahead = level.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"))
+        found = known.join(ahead, _same("t", "node")).select(
+            "tree", "branch", F.col("next").alias("node"), (F.col("up_from_leaf") + 2**k).alias("up_from_leaf")
+        )
+        known = known.union(found)
+    return known
+
+
 FORMATTED = "text string, loss array<struct<start: int, end: int>>"
 
 
@@ -133,15 +167,16 @@ def format_trees(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     """``tree``, ``branch``, ``text``, ``loss`` spans: each chosen path as one conversation."""
     small_batches(messages.sparkSession)
     messages = stored(messages, "messages")
-    chosen = best_paths(root_to_leaf(messages), keep)
-    steps = chosen.select("tree", "branch", F.posexplode("path").alias("pos", "node"))
+    paths = root_to_leaf(messages)
+    steps = path_nodes(best_paths(paths.leaves, keep), paths.jumps)
     texts = messages.dropDuplicates(["tree", "node"]).select(
         F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text"
     )
-    same = F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
-    turns = F.sort_array(F.collect_list(F.struct("pos", "role", "text")))
-    chats = steps.join(texts, same).groupBy("tree", "branch").agg(turns.alias("turns"))
-    return chats.select("tree", "branch", F.pandas_udf(_formatted, FORMATTED)("turns").alias("chat")).select("tree", "branch", "chat.*")
+    turn = F.struct((-F.col("up_from_leaf")).alias("at"), "role", "text")
+    turns = F.sort_array(F.collect_list(turn))
+    chats = steps.join(texts, _same("t", "node")).groupBy("tree", "branch").agg(turns.alias("turns"))
+    formatted = F.pandas_udf(_formatted, FORMATTED)("turns")
+    return chats.select("tree", "branch", formatted.alias("chat")).select("tree", "branch", "chat.*")
 
 
 READ_BACK = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

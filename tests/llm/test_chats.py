@@ -51,13 +51,20 @@ def test_paths_of_branching_trees(spark):
     rows += rows[:5]
     messages = spark.createDataFrame(rows, "tree string, node long, parent long, score double, role string, text string")
     paths = chats.root_to_leaf(messages)
-    got = {}
-    for r in paths.collect():
-        got.setdefault(r.tree, []).append(r.path)
-        assert r.leaf == r.path[-1]
+    every = chats.best_paths(paths.leaves, keep=None)
+    found = {}
+    for r in chats.path_nodes(every, paths.jumps).collect():
+        found.setdefault((r.tree, r.branch), []).append((-r.up_from_leaf, r.node))
+    got, best = {}, {}
+    for (tree, branch), nodes in found.items():
+        got.setdefault(tree, []).append([n for _, n in sorted(nodes)])
+        if branch == 1:
+            best[tree] = got[tree][-1]
     assert {t: sorted(p) for t, p in got.items()} == {t: walk(n) for t, n in trees.items()}
     score = {(t, n): s for t, nodes in trees.items() for n, _, s in nodes}
-    best = {r.tree: r.path for r in chats.best_paths(paths).collect()}
+    for r in paths.leaves.collect():
+        path = next(p for p in got[r.tree] if p[-1] == r.leaf)
+        assert r.steps == len(path) and abs(r.total - sum(score[r.tree, n] for n in path)) < 1e-9
     for t, own in got.items():
         assert best[t] == min(own, key=lambda p: (-round(sum(score[t, n] for n in p) / len(p), 9), p[-1]))
     chat = {r.tree: r.text for r in chats.format_trees(messages).collect()}
