@@ -10,7 +10,7 @@ import argparse
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import SparkSession
 
-from fareflow.operators import fares
+from fareflow.operators import fares, stats
 from fareflow.plans.daily import Folders, run_daily
 from fareflow.plans.load import load_new_files
 from fareflow.plans.report import refresh_daily_report
@@ -41,8 +41,9 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{folder}", required=folder in needed, help=folders[folder])
 
     job("load", "load new CSV files into the lake", "raw", "lake", "ledger")
-    job("stream", "the same as a stream", "raw", "lake", "checkpoint")
+    job("stream", "the same as a stream", "raw", "lake", "ledger", "checkpoint")
     job("report", "rebuild the daily statistics", "lake", "report", optional=("ledger",))
+    job("preview", "first days of the statistics and trips per month", "lake", optional=("ledger",))
     job("train", "fit and save the fare model", "lake", "model", optional=("ledger",))
     job("score", "try a saved model on a few trips", "model")
     job("run", "load, report and train", "raw", "lake", "ledger", "report", "model")
@@ -51,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def _trips(spark: SparkSession, args: argparse.Namespace):
     ledger = read_ledger(spark, args.ledger) if args.ledger else None
+    # read_lake refuses a lake of batches without a ledger
     return read_lake(spark, args.lake, ledger=ledger)
 
 
@@ -71,9 +73,13 @@ def main() -> None:
             report.check()
         elif args.job == "stream":
             raw = stream_trip_csv(spark, args.raw, TRIP_COLUMNS)
-            stream_to_lake(raw, args.lake, args.checkpoint).awaitTermination()
+            stream_to_lake(raw, args.lake, args.ledger, args.checkpoint).awaitTermination()
         elif args.job == "report":
             refresh_daily_report(_trips(spark, args), args.report).show(5)
+        elif args.job == "preview":
+            trips = _trips(spark, args)
+            stats.first_days(stats.daily_stats_full(trips)).show()
+            stats.monthly_counts(trips).show(100)
         elif args.job == "train":
             _show(train_fares(_trips(spark, args), args.model))
         elif args.job == "score":

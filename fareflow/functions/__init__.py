@@ -3,6 +3,7 @@
 from fareflow.functions.columns import (
     duration_minutes,
     in_hash_split,
+    in_share,
     in_split,
     moment,
     percent_of,
@@ -12,6 +13,7 @@ from fareflow.functions.columns import (
 __all__ = [
     "duration_minutes",
     "in_hash_split",
+    "in_share",
     "in_split",
     "moment",
     "percent_of",

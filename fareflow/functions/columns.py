@@ -6,10 +6,6 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles up to here fit DECIMAL(28, 10) with room to spare.
-_DECIMAL_SAFE = 1e17
-
-
 def duration_minutes(start: str | Column, end: str | Column) -> Column:
     """Minutes between two instants; each end is cut to whole seconds first."""
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60)
@@ -20,10 +16,11 @@ def round_stable(value: Column, digits: int) -> Column:
 
     A double sum differs in its last bits from run to run, which decides ties at
     random (266.4 / 32 is 8.325 or a hair below). Going through ten decimals first
-    removes that noise. NaN, infinities and huge values take the plain double path.
+    removes that noise. NaN and infinities stay what they are; a number of more than 28
+    digits before the point has no such decimals and gives null.
     """
-    settled = F.round(value.cast("decimal(28,10)"), digits).cast("double")
-    return F.when(F.abs(value) < F.lit(_DECIMAL_SAFE), settled).otherwise(F.round(value, digits))
+    settled = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), settled).otherwise(value)
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -39,14 +36,20 @@ def moment(value: Column | datetime | None) -> Column:
 
 
 def in_split(keys: Sequence[str | Column], percent: int) -> Column:
-    """True for a fixed ``percent`` of all keys, whatever the partitioning.
+    """True for a fixed ``percent`` of all keys, whatever the partitioning; see ``in_share``."""
+    return in_share(keys, _share(percent))
+
+
+def in_share(keys: Sequence[str | Column], share: float) -> Column:
+    """True for a fixed share, from 0 to 1, of all keys.
 
     A key's MD5 is compared, as text, with the same share of the hash range, so a row
-    lands on the same side in every run and equal keys never straddle the split. Any
-    SQL engine can repeat it.
+    lands on the same side in every run and equal keys are never parted. Any SQL engine
+    can repeat it.
     """
-    bound = f"{round(2**32 * _share(percent)):08x}"
-    return F.md5(F.concat_ws("-", *keys).cast("binary")) < bound
+    digest = F.md5(F.concat_ws("-", *keys).cast("binary"))
+    bound = round(2**32 * share)
+    return F.lit(True) if bound >= 2**32 else digest < f"{bound:08x}"
 
 
 def in_hash_split(keys: Sequence[str | Column], percent: int) -> Column:

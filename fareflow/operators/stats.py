@@ -13,28 +13,55 @@ from fareflow.operators.trips import valid_trips, with_duration
 from fareflow.schema import DAILY_REPORT, PICKUP
 
 
-def daily_measures() -> dict[str, Column]:
+def _sums() -> dict[str, Column]:
+    """What the measures need of any set of valid trips; two sets' sums add up."""
+    return {
+        "trips": F.count(F.lit(1)),
+        "revenue": F.sum("total_amount"),
+        "miles": F.sum("trip_distance"),
+        "minutes": F.sum("duration_min"),
+        "tips": F.sum("tip_amount"),
+        "tipped": F.count("tip_amount"),
+        "fares": F.sum("fare_amount"),
+    }
+
+
+def daily_measures(sums: dict[str, Column]) -> dict[str, Column]:
     """The daily aggregates over valid trips, by output name.
 
     Tip share and speed are ratios of sums. Distance, duration and cost are positive
     in every valid trip, so their means share the sums and the row count.
     """
-    trips = F.count(F.lit(1))
-    revenue, miles, minutes = F.sum("total_amount"), F.sum("trip_distance"), F.sum("duration_min")
-    tips, fares = F.sum("tip_amount"), F.sum("fare_amount")
+    trips, miles, minutes = sums["trips"], sums["miles"], sums["minutes"]
     return {
         "total_trips": trips,
-        "total_revenue": round_stable(revenue, 2),
+        "total_revenue": round_stable(sums["revenue"], 2),
         "total_distance_miles": round_stable(miles, 2),
-        "avg_cost_per_trip": round_stable(revenue / trips, 2),
+        "avg_cost_per_trip": round_stable(sums["revenue"] / trips, 2),
         "avg_distance_miles": round_stable(miles / trips, 2),
         "avg_duration_min": round_stable(minutes / trips, 1),
-        "avg_tip_amount": round_stable(F.avg("tip_amount"), 2),
-        "avg_tip_percent": round_stable(percent_of(tips, fares), 2),
+        "avg_tip_amount": round_stable(F.try_divide(sums["tips"], sums["tipped"]), 2),
+        "avg_tip_percent": round_stable(percent_of(sums["tips"], sums["fares"]), 2),
         "avg_speed_mph": round_stable(F.try_divide(miles, minutes / 60), 2),
     }
 
 
+def _by_day(trips: DataFrame, pickup: str, local_days: bool = False) -> DataFrame:
+    """Valid trips with their day; a plain timestamp is a cheaper key to hash than a window."""
+    usable = valid_trips(with_duration(trips, pickup=pickup)).where(F.col(pickup).isNotNull())
+    day = F.date_trunc("day", pickup) if local_days else F.window(pickup, "1 day")["start"]
+    return usable.withColumn("bucket", day)
+
+
+def _measured(days: DataFrame, calculated_at: Column | datetime | None, date: Column) -> DataFrame:
+    measures = daily_measures({name: F.col(name) for name in _sums()})
+    return days.select(
+        date.alias("date"),
+        *[column.alias(name) for name, column in measures.items()],
+        moment(calculated_at).alias("calculated_at"),
+    )
+
+
 def daily_stats_full(
     trips: DataFrame,
     calculated_at: Column | datetime | None = None,
@@ -44,23 +71,32 @@ def daily_stats_full(
     """One row per day with trips, every measure, in no particular order.
 
     Days are one-day windows cut at UTC midnight. ``local_days`` cuts at midnight of
-    the session's time zone instead (batch only).
+    the session's time zone instead.
     """
-    usable = valid_trips(with_duration(trips, pickup=pickup))
-    if trips.isStreaming:
-        # The watermark travels with the whole window.
-        bucket, date = F.window(pickup, "1 day").alias("bucket"), F.col("bucket.start")
-    else:
-        usable = usable.where(F.col(pickup).isNotNull())
-        day = F.date_trunc("day", pickup) if local_days else F.window(pickup, "1 day")["start"]
-        # A plain timestamp is a cheaper key to hash than a window.
-        usable, bucket, date = usable.withColumn("bucket", day), F.col("bucket"), F.col("bucket")
-    measures = {name: column.alias(name) for name, column in daily_measures().items()}
-    return (
-        usable.groupBy(bucket)
-        .agg(*measures.values())
-        .select(date.alias("date"), *measures, moment(calculated_at).alias("calculated_at"))
-    )
+    days = _by_day(trips, pickup, local_days).groupBy("bucket")
+    return _measured(days.agg(*[c.alias(n) for n, c in _sums().items()]), calculated_at, F.col("bucket"))
+
+
+def daily_sums(trips: DataFrame, *keys: str, pickup: str = PICKUP) -> DataFrame:
+    """The sums of each day, as ``bucket``, and of any further keys."""
+    days = _by_day(trips, pickup).groupBy("bucket", *keys)
+    return days.agg(*[c.alias(n) for n, c in _sums().items()])
+
+
+def merged_days(sums: DataFrame, calculated_at: Column | datetime | None = None) -> DataFrame:
+    """Every measure by day from any number of ``daily_sums``."""
+    days = sums.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in _sums()])
+    return _measured(days, calculated_at, F.col("bucket"))
+
+
+def closing_days(trips: DataFrame, late_by: str, pickup: str = PICKUP) -> DataFrame:
+    """The measures of a stream's days, each once the watermark has passed it.
+
+    The watermark follows the newest valid trip: it is set behind the filters.
+    """
+    usable = valid_trips(with_duration(trips, pickup=pickup)).where(F.col(pickup).isNotNull())
+    days = usable.withWatermark(pickup, late_by).groupBy(F.window(pickup, "1 day").alias("bucket"))
+    return _measured(days.agg(*[c.alias(n) for n, c in _sums().items()]), None, F.col("bucket.start"))
 
 
 def daily_stats(

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
-from itertools import batched
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
+from fareflow.schema import LEDGER_COLUMNS
+from fareflow.session import scratch_path
 from fareflow.sources.lake import write_lake
-from fareflow.sources.ledger import append_ledger, list_files, new_files, read_ledger
+from fareflow.sources.ledger import list_files, new_files, read_ledger, record
 from fareflow.sources.trip_csv import read_trip_csv
 
 # What Spark says when the data of a file, rather than the job, is at fault.
@@ -28,13 +30,16 @@ class LoadError(RuntimeError):
 
 @dataclass
 class LoadReport:
+    """Counts; which files failed and why is in the ledger, beside the first of them here."""
+
     loaded: int = 0
-    batches: list[str] = field(default_factory=list)
-    failed: dict[str, str] = field(default_factory=dict)
+    batches: int = 0
+    failed: int = 0
+    first_failed: str | None = None
 
     def check(self) -> None:
         if self.failed:
-            raise LoadError(f"{len(self.failed)} file(s) failed, first: {next(iter(self.failed))}")
+            raise LoadError(f"{self.failed} file(s) failed, first: {self.first_failed}")
 
 
 def load_new_files(
@@ -45,45 +50,51 @@ def load_new_files(
     loaded_at: datetime | None = None,
     files_per_batch: int = 10_000,
     match_header: bool = False,
+    files: DataFrame | None = None,
 ) -> LoadReport:
     """Load every file below ``raw_root`` the ledger does not hold as loaded.
 
-    Files go in batches of bounded size, and each batch is one Spark read and one
-    write to a folder of its own, ``batch_id=...``. Its ledger rows follow in one
-    file; only then do readers that pass the ledger see it. A run that dies in
-    between leaves a folder nobody reads, and the next run loads those files anew.
+    Files go in batches of about ``files_per_batch``, dealt by a hash of their path, and each
+    batch is one Spark read and one write to a folder of its own, ``batch_id=...``. Its
+    ledger rows follow in one file; only then do readers see it. A run that dies in
+    between leaves a folder nobody reads, and the next run loads those files anew. The
+    batch's name follows from its files, so two runs over the same files write the same
+    folder and no row counts twice.
 
-    A batch with an unreadable file is halved until that file stands alone; it is
-    recorded as failed and the rest is loaded. Call ``check()`` on the report to
-    raise for failed files.
+    An unreadable file is recorded as failed and its batch tried again without it. Call
+    ``check()`` on the report to raise for failed files. ``files`` may hold the listing.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
-    pending = new_files(list_files(spark, raw_root), read_ledger(spark, ledger_root))
+    files = list_files(spark, raw_root) if files is None else files
+    pending = stored_listing(new_files(files, read_ledger(spark, ledger_root)))
+    count = -(-pending.count() // files_per_batch)
     report = LoadReport()
-    ordered = pending.orderBy("path").toLocalIterator(prefetchPartitions=True)
-    for files in batched(ordered, files_per_batch):
-        for batch_id, group, error in _load(spark, files, lake_root, loaded_at, match_header):
-            outcome = {
-                "batch_id": batch_id,
-                "status": "failed" if error else "loaded",
-                "error": error,
-                "recorded_at": loaded_at,
-            }
-            append_ledger(spark, ledger_root, [{**file.asDict(), **outcome} for file in group])
-            if error:
-                report.failed[group[0].path] = error
-            else:
-                report.loaded += len(group)
-                report.batches.append(batch_id)
+    for k in range(count):
+        part = pending.where(F.pmod(F.xxhash64("path"), F.lit(count)) == k)
+        paths = [row.path for row in part.select("path").collect()]
+        _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report)
     return report
 
 
+def stored_listing(files: DataFrame) -> DataFrame:
+    """A listing that stays as it is while the ledger grows."""
+    path = scratch_path(files.sparkSession, "pending")
+    files.write.parquet(path)
+    return files.sparkSession.read.schema(files.schema).parquet(path)
+
+
 def mark_published(
-    spark: SparkSession, ledger_root: str, batch_ids: list[str], at: datetime | None = None
+    spark: SparkSession, ledger_root: str, batches: DataFrame, at: datetime | None = None
 ) -> None:
     """Record that the downstream jobs have covered these batches."""
-    done = {"status": "published", "recorded_at": at or datetime.now(timezone.utc)}
-    append_ledger(spark, ledger_root, [{"batch_id": batch_id, **done} for batch_id in batch_ids])
+    rows = batches.select("batch_id").withColumns(
+        {
+            "status": F.lit("published"),
+            "recorded_at": F.lit(at or datetime.now(timezone.utc)),
+        }
+    )
+    empty = spark.createDataFrame([], LEDGER_COLUMNS)
+    empty.unionByName(rows, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(ledger_root)
 
 
 def lake_rows(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
@@ -102,27 +113,54 @@ def _file_error(error: Exception) -> str | None:
     return next((line for line in lines if any(mark in line for mark in _FILE_ERRORS)), None)
 
 
-def _load(
-    spark: SparkSession,
-    files: tuple[Row, ...],
+def _batch_id(paths: list[str]) -> str:
+    """A name that follows from the files."""
+    return f"b-{hashlib.md5(chr(10).join(sorted(paths)).encode()).hexdigest()}"
+
+
+def _load_batch(
+    files: DataFrame,
+    paths: list[str],
     lake_root: str,
+    ledger_root: str,
     loaded_at: datetime,
     match_header: bool,
-) -> Iterator[tuple[str, tuple[Row, ...], str | None]]:
-    batch_id = f"b-{uuid.uuid4().hex}"
-    try:
-        paths = [_literal(f.path) for f in files]
-        raw = read_trip_csv(spark, paths, match_header=match_header)
-        write_lake(lake_rows(raw, loaded_at), f"{lake_root}/batch_id={batch_id}", "overwrite")
-    except (Py4JJavaError, PySparkException) as error:
-        reason = _file_error(error)
-        if reason is None:
-            raise
-        if len(files) == 1:
-            yield batch_id, files, reason
+    report: LoadReport,
+) -> None:
+    """Load the files named by ``paths``, a bounded number, setting unreadable ones apart."""
+    while paths:
+        batch_id = _batch_id(paths)
+        try:
+            raw = read_trip_csv(files.sparkSession, [_literal(p) for p in paths], match_header=match_header)
+            write_lake(lake_rows(raw, loaded_at), f"{lake_root}/batch_id={batch_id}", "overwrite")
+        except (Py4JJavaError, PySparkException) as error:
+            reason = _file_error(error)
+            if reason is None:
+                raise
+            bad = paths[0] if len(paths) == 1 else _named_in(reason, paths)
+            if bad is None:
+                middle = len(paths) // 2
+                for part in (paths[:middle], paths[middle:]):
+                    of_part = files.where(F.col("path").isin(part))
+                    _load_batch(of_part, part, lake_root, ledger_root, loaded_at, match_header, report)
+                return
+            record(ledger_root, files.where(F.col("path") == bad), batch_id, "failed", loaded_at, reason)
+            report.failed += 1
+            report.first_failed = report.first_failed or bad
+            paths = [p for p in paths if p != bad]
+            files = files.where(F.col("path") != bad)
+        else:
+            record(ledger_root, files, batch_id, "loaded", loaded_at)
+            report.loaded += len(paths)
+            report.batches += 1
             return
-        middle = len(files) // 2
-        for part in (files[:middle], files[middle:]):
-            yield from _load(spark, part, lake_root, loaded_at, match_header)
-    else:
-        yield batch_id, files, None
+
+
+def _named_in(reason: str, paths: list[str]) -> str | None:
+    """The path an error line names; the longest, should one be the start of another."""
+
+    def plain(text: str) -> str:
+        return unquote(re.sub(r"(\w:)/+", r"\1/", text))
+
+    said = plain(reason)
+    return max((p for p in paths if plain(p) in said), key=len, default=None)

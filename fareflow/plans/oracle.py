@@ -82,16 +82,16 @@ SELECT date_trunc('day', tpep_pickup_datetime) AS date, {columns}
 FROM valid WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1 {tail}"""
 
 
-# A day is closed once it ended a day before the newest pickup time the stream saw.
+# A day is closed once it ended a day before the newest pickup time of a valid trip.
 _CLOSED = """HAVING date_trunc('day', tpep_pickup_datetime) + INTERVAL 1 DAY <= (
-    SELECT max(tpep_pickup_datetime) - INTERVAL 1 DAY FROM trips
-    WHERE trip_distance > 0 AND total_amount > 0)"""
+    SELECT max(tpep_pickup_datetime) - INTERVAL 1 DAY FROM valid)"""
 
 
 _IN_RANGE = """trip_distance > 0 AND trip_distance <= 100
     AND {label} > 2.5 AND {label} < 200 AND passenger_count > 0 AND passenger_count <= 6"""
 
-# 80 % of the hash range.
+# A thousandth and 80 % of the hash range.
+_SAMPLED = "00418937"
 _IN_TRAIN = "md5(trip_id) < 'cccccccd'"
 
 
@@ -204,18 +204,45 @@ FROM model, range(100) AS g(i)""",
     )
 
 
-_SUMMARY = _model(
-    _ELASTIC_NET,
-    f"""SELECT {_settled("intercept", 2)} AS base_fare, {_settled("per_mile", 2)} AS per_mile,
+def _summary(kind: str, effects: str, shown: str = "") -> str:
+    return _model(
+        kind,
+        f"""SELECT {_settled("intercept", 2)} AS base_fare, {_settled("per_mile", 2)} AS per_mile,
     {_settled("per_passenger", 2)} AS per_passenger,
     printf('Fare = $%.2f + $%.2f*distance', intercept, per_mile)
-        || CASE WHEN abs(per_passenger) > 0.001 THEN printf(' + $%.2f*passengers', per_passenger)
-            ELSE '' END AS formula
-FROM model""",
+        || CASE WHEN abs(per_passenger) > min_effect THEN printf(' + $%.2f*passengers', per_passenger)
+            ELSE '' END AS formula{shown}
+FROM model, (VALUES {effects}) AS e(min_effect)""",
+    )
+
+
+_SUMMARY = _summary(_ELASTIC_NET, "(0.001e0)")
+_SUMMARY_OLS = _summary(_OLS, "(0.001e0), (0.01e0)", ", min_effect")
+
+# Standard errors of the unpenalised fit, from its residuals and the features' moments.
+_OLS_ERRORS = _model(
+    _OLS,
+    f""", rest AS (
+    SELECT count(*) AS n_rows, sum((label - ({_PREDICTION})) * (label - ({_PREDICTION}))) / (count(*) - 3) AS s2
+    FROM training, model WHERE in_train),
+e AS (SELECT *, s2 / (n_rows * (1 - r * r)) AS v FROM model, rest)
+SELECT {_settled("intercept", 6)} AS intercept, {_settled("per_mile", 6)} AS per_mile,
+    {_settled("per_passenger", 6)} AS per_passenger, n_rows,
+    {_settled("sqrt(v) / sx", 8)} AS se_per_mile, {_settled("sqrt(v) / sp", 8)} AS se_per_passenger,
+    {_settled("sqrt(s2 / n_rows + v * (mx * mx / (sx * sx) + mp * mp / (sp * sp) - 2 * r * mx * mp / (sx * sp)))", 8)}
+        AS se_intercept
+FROM e""",
 )
 
+# All columns of the raw layout; what the tables lack follows from the rest.
 _SHOWN = """vendorid, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
-    trip_distance, fare_amount, tip_amount, total_amount"""
+    trip_distance, trip_distance - 74 AS pickup_longitude, trip_distance + 40 AS pickup_latitude,
+    CAST(passenger_count + 1 AS INTEGER) AS ratecodeid,
+    CASE WHEN vendorid = '1' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
+    trip_distance * 2 - 74 AS dropoff_longitude, trip_distance * 2 + 40 AS dropoff_latitude,
+    CAST(CAST(vendorid AS INTEGER) + 1 AS INTEGER) AS payment_type, fare_amount,
+    tip_amount + 1 AS extra, fare_amount * 2 AS mta_tax, tip_amount,
+    total_amount * 4 AS tolls_amount, 0.25e0 AS improvement_surcharge, total_amount"""
 
 _LAKE = f"WITH {TRIPS} SELECT {_SHOWN}, year, month FROM enriched"
 
@@ -252,11 +279,15 @@ SELECT trip_id, label, CAST(2 AS INTEGER) AS n_features, trip_distance AS featur
 FROM training""",
         "train_test_split": f"""WITH {_training()}
 SELECT trip_id, CASE WHEN in_train THEN 'train' ELSE 'test' END AS part FROM training""",
-        "random_split": f"WITH {_training()} SELECT trip_id, label FROM training",
+        "trip_sample": f"""WITH {TRIPS}
+SELECT trip_id, trip_distance, fare_amount FROM fares WHERE md5(trip_id) < '{_SAMPLED}'""",
+        "random_split": f"""WITH {_training()}
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, TRUE AS share_is_near FROM training""",
         "fare_model": _coefficients(_ELASTIC_NET, 4),
         "fare_model_by_row": _coefficients(_ELASTIC_NET, 4),
-        "fare_model_ols": _coefficients(_OLS, 6),
+        "fare_model_ols": _OLS_ERRORS,
         "model_summary": _SUMMARY,
+        "model_summary_ols": _SUMMARY_OLS,
         "score_trips": _score_trips(_ELASTIC_NET),
         "score_trips_ols": _score_trips(_OLS),
         "model_metrics": _model_metrics(_ELASTIC_NET),
@@ -286,10 +317,18 @@ SELECT path, name FROM named WHERE path >= 'raw/1998'
     AND name NOT IN (SELECT name FROM named WHERE path < 'raw/1998')""",
         "new_data_gate": f"""WITH {TRIPS}
 SELECT count(DISTINCT coalesce(passenger_count, -1)) AS sources_found, TRUE AS open_before,
-    CAST(0 AS BIGINT) AS files_left
+    TRUE AS open_after_load, FALSE AS open_after_publish, CAST(0 AS BIGINT) AS files_left
 FROM trips""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
         "stream_daily_stats": _daily(_REPORT + _DROPPED),
         "stream_closed_days": _daily(_REPORT + _DROPPED, _CLOSED),
+        "dead_batch_hidden": f"""WITH {TRIPS}
+SELECT {_SHOWN}, year, month, via FROM enriched, (VALUES ('batch'), ('stream')) AS v(via)""",
+        "incremental_report": report,
+        "daily_run": f"""WITH days AS ({_daily(_REPORT)})
+SELECT count(*) AS days, CAST(sum(total_trips) AS BIGINT) AS trips, {_settled("sum(total_revenue)", 2)} AS revenue,
+    CAST(1 AS BIGINT) AS files_failed, TRUE AS open_before, TRUE AS open_after_load,
+    FALSE AS open_after_publish, TRUE AS second_run_idle, TRUE AS model_tested
+FROM days""",
     }

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from fareflow.functions import in_split, round_stable
 from fareflow.operators import fares, stats, trips
-from fareflow.plans.load import load_new_files
-from fareflow.plans.report import refresh_daily_report
-from fareflow.schema import DAILY_REPORT, DROPOFF, PICKUP, TRIP_COLUMNS
+from fareflow.plans.daily import Folders, run_daily
+from fareflow.plans.load import load_new_files, mark_published, stored_listing
+from fareflow.plans.report import add_batch_sums, merge_batch_sums, refresh_daily_report
+from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT, DROPOFF, TRIP_COLUMNS
 from fareflow.session import scratch_path
 from fareflow.sources import lake, ledger
 from fareflow.sources.tables import fares_from_tables, trips_from_tables
@@ -22,9 +23,10 @@ from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
 from fareflow.streaming.load import stream_to_lake
 from fareflow.streaming.stats import (
     append_closed_days,
-    keep_report,
-    stream_daily_stats,
+    finish,
+    keep_daily_sums,
     stream_lake,
+    streamed_report,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +101,7 @@ def normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = fares.trip_sample(fares_from_tables(spark, sf_dir))
+    sample = fares.trip_sample(fares_from_tables(spark, sf_dir), KEY)
     return sample.select("trip_id", "trip_distance", "fare_amount")
 
 
@@ -135,9 +137,14 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both parts of the seeded split, which together must be the whole input."""
-    parts = fares.random_split(training_set(spark, sf_dir))
-    return parts[0].unionByName(parts[1]).select("trip_id", "label")
+    """How the parts of the seeded split relate to the whole: sizes, overlap, share."""
+    train, test = fares.random_split(training_set(spark, sf_dir))
+    parts = train.withColumn("part", F.lit(1)).unionByName(test.withColumn("part", F.lit(0)))
+    each = parts.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"), F.avg("part").alias("share"))
+    near = F.abs(F.avg("share") - fares.TRAIN_PERCENT / 100) < 0.05
+    return each.agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("share") % 1 != 0).alias("n_in_both"), near.alias("share_is_near")
+    )
 
 
 def _fit(spark: SparkSession, sf_dir: str, **overrides) -> tuple[LinearRegressionModel, DataFrame]:
@@ -145,8 +152,6 @@ def _fit(spark: SparkSession, sf_dir: str, **overrides) -> tuple[LinearRegressio
     return fares.fit_fares(train, **overrides), test
 
 
-# The solver's stopping rule shows in the fifth digit at Spark's default of 1e-6.
-TIGHT = {"tol": 1e-12}
 PLAIN = {"regParam": 0.0}
 
 
@@ -161,18 +166,19 @@ def _coefficients(spark: SparkSession, sf_dir: str, digits: int, overrides: dict
     return _described(spark, model, digits)
 
 
-def fare_model_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = fares.stable_split(training_set(spark, sf_dir), KEY)
-    return _described(spark, fares.fit_fares_by_row(train, **TIGHT), 4)
+fare_model = partial(_coefficients, digits=4, overrides={})
 
 
-fare_model = partial(_coefficients, digits=4, overrides=TIGHT)
-fare_model_ols = partial(_coefficients, digits=6, overrides=PLAIN)
+def fare_model_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of the unpenalised fit with its row count and standard errors."""
+    model, _ = _fit(spark, sf_dir, **PLAIN)
+    errors = fares.fit_errors(model)
+    shown = {n: round_stable(F.lit(float(v)), 8) for n, v in errors.items() if n != "n_rows"}
+    return _described(spark, model, 6).withColumns(shown | {"n_rows": F.lit(errors["n_rows"]).cast("bigint")})
 
 
-def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = _fit(spark, sf_dir, **TIGHT)
-    return fares.describe_model(spark, model).select(
+def _summary(model: DataFrame) -> DataFrame:
+    return model.select(
         "formula",
         round_stable(F.col("intercept"), 2).alias("base_fare"),
         round_stable(F.col("per_mile"), 2).alias("per_mile"),
@@ -180,6 +186,21 @@ def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = _fit(spark, sf_dir)
+    return _summary(fares.describe_model(spark, model))
+
+
+def model_summary_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unpenalised fit in words, with a passenger term from either threshold on."""
+    model, _ = _fit(spark, sf_dir, **PLAIN)
+    rows = [
+        _summary(fares.describe_model(spark, model, effect)).withColumn("min_effect", F.lit(effect))
+        for effect in (0.001, 0.01)
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def _rounded(df: DataFrame, *kept: str, digits: int = 4) -> DataFrame:
     return df.select(*kept, round_stable(F.col("prediction"), digits).alias("prediction"))
 
@@ -222,12 +243,22 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trips with all columns of the raw layout; those without a source are null."""
-    rows = trips_from_tables(spark, sf_dir)
-    have = set(rows.columns)
-    return rows.select(
-        "trip_id", *[c if c in have else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
-    )
+    """The trips with all columns of the raw layout; what the tables lack follows from the rest."""
+    miles, vendor = F.col("trip_distance"), F.col("vendorid")
+    more = {
+        "pickup_longitude": miles - 74,
+        "pickup_latitude": miles + 40,
+        "ratecodeid": F.col("passenger_count") + 1,
+        "store_and_fwd_flag": F.when(vendor == "1", "Y").otherwise("N"),
+        "dropoff_longitude": miles * 2 - 74,
+        "dropoff_latitude": miles * 2 + 40,
+        "payment_type": vendor.cast("int") + 1,
+        "extra": F.col("tip_amount") + 1,
+        "mta_tax": F.col("fare_amount") * 2,
+        "tolls_amount": F.col("total_amount") * 4,
+        "improvement_surcharge": F.lit(0.25),
+    }
+    return trips_from_tables(spark, sf_dir).withColumns(more).select("trip_id", *RAW_COLUMNS)
 
 
 def _write_raw_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -249,10 +280,6 @@ def _damaged_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws(",", *fields.values()).alias(",".join(RAW_COLUMNS)))
 
 
-SHOWN = ["vendorid", PICKUP, DROPOFF, "passenger_count", "trip_distance"]
-SHOWN += ["fare_amount", "tip_amount", "total_amount"]
-
-
 def csv_strict_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, parsed = scratch_path(spark, "csv"), scratch_path(spark, "parsed")
     # One column named like the whole header, under a separator no line contains,
@@ -260,7 +287,7 @@ def csv_strict_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _damaged_lines(_raw_trips(spark, sf_dir))
     lines.write.options(header=True, sep="\u0001", quote="\u0000", emptyValue="").csv(raw)
     read_trip_csv(spark, raw).write.parquet(parsed)
-    return unzoned(spark.read.parquet(parsed)).select(*SHOWN)
+    return unzoned(spark.read.parquet(parsed)).select(*RAW_COLUMNS)
 
 
 def lake_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,56 +341,142 @@ def absent_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _places(spark: SparkSession) -> Folders:
+    root = scratch_path(spark, "trips")
+    return Folders(*[f"{root}/{name}" for name in ("raw", "lake", "ledger", "report", "model")])
+
+
 def new_data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files are discovered and whether the gate is open before and after a load."""
-    raw, kept = scratch_path(spark, "raw"), scratch_path(spark, "lake")
-    book = scratch_path(spark, "ledger")
-    _write_raw_csv(spark, sf_dir, raw)
-    files = ledger.list_files(spark, raw)
-    before = ledger.new_files(files, ledger.read_ledger(spark, book))
+    """How many files are found, and the gate before a load, after it and after publishing."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw)
+    before = ledger.new_files(files, ledger.read_ledger(spark, at.ledger))
     sources = before.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("s")).distinct()
     found = sources.agg(F.count(F.lit(1)).alias("sources_found")).first().sources_found
-    open_before = ledger.has_new_data(files, ledger.read_ledger(spark, book))
-    load_new_files(spark, raw, kept, book)
-    left = ledger.new_files(files, ledger.read_ledger(spark, book))
+    gates = {}
+
+    def look(name: str) -> None:
+        gates[name] = ledger.has_new_data(files, ledger.read_ledger(spark, at.ledger))
+
+    look("open_before")
+    load_new_files(spark, at.raw, at.lake, at.ledger, files=files)
+    look("open_after_load")
+    fresh = stored_listing(ledger.unpublished_batches(ledger.read_ledger(spark, at.ledger)))
+    mark_published(spark, at.ledger, fresh)
+    look("open_after_publish")
+    left = ledger.new_files(files, ledger.read_ledger(spark, at.ledger))
     return left.agg(
         F.lit(found).cast("bigint").alias("sources_found"),
-        F.lit(open_before).alias("open_before"),
+        *[F.lit(is_open).alias(name) for name, is_open in gates.items()],
         F.count(F.lit(1)).alias("files_left"),
     )
 
 
+def _loaded(spark: SparkSession, sf_dir: str) -> Folders:
+    """The raw folder loaded twice, in small batches."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    for _ in range(2):
+        load_new_files(spark, at.raw, at.lake, at.ledger, files_per_batch=20)
+    return at
+
+
 def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake contents after loading the same raw folder twice, in small batches."""
-    raw, kept = scratch_path(spark, "raw"), scratch_path(spark, "lake")
-    book = scratch_path(spark, "ledger")
-    _write_raw_csv(spark, sf_dir, raw)
-    for _ in range(2):
-        load_new_files(spark, raw, kept, book, files_per_batch=20)
-    rows = lake.read_lake(spark, kept, ledger=ledger.read_ledger(spark, book))
-    return unzoned(rows).select(*SHOWN, "year", "month")
+    at = _loaded(spark, sf_dir)
+    rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
+    return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
+
+
+def dead_batch_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What batch and stream readers see of a lake in which a dead run left a batch."""
+    at = _loaded(spark, sf_dir)
+    book = ledger.read_ledger(spark, at.ledger)
+    seen = lake.read_lake(spark, at.lake, ledger=book)
+    lake.write_lake(seen, f"{at.lake}/batch_id=b-dead", "overwrite")
+    again = lake.read_lake(spark, at.lake, ledger=book)
+    path = scratch_path(spark, "seen")
+    streamed = stream_lake(spark, at.lake, BATCH_LAKE_COLUMNS, ledger=book)
+    sink = streamed.writeStream.format("parquet").option("path", path).trigger(availableNow=True)
+    sink.option("checkpointLocation", scratch_path(spark, "checkpoint")).start().awaitTermination()
+    shown = [*RAW_COLUMNS, "year", "month"]
+    both = [(again, "batch"), (spark.read.parquet(path), "stream")]
+    one, two = (unzoned(rows).select(*shown, F.lit(via).alias("via")) for rows, via in both)
+    return one.unionByName(two)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake contents after streaming the same raw folder twice."""
-    raw, kept = scratch_path(spark, "raw"), scratch_path(spark, "lake")
-    checkpoint = scratch_path(spark, "checkpoint")
-    _write_raw_csv(spark, sf_dir, raw)
+    """Lake contents after streaming the same raw folder twice, in several micro-batches."""
+    at, checkpoint = _places(spark), scratch_path(spark, "checkpoint")
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw).count()
     for _ in range(2):
-        stream = stream_trip_csv(spark, raw)
-        stream_to_lake(stream, kept, checkpoint, load_time()).awaitTermination()
-    return unzoned(lake.read_lake(spark, kept)).select(*SHOWN, "year", "month")
+        stream = stream_trip_csv(spark, at.raw, files_per_trigger=-(-files // 3))
+        stream_to_lake(stream, at.lake, at.ledger, checkpoint, load_time()).awaitTermination()
+    rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
+    return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
 
 
-def _stream_days(spark: SparkSession, sf_dir: str, sink: Callable) -> DataFrame:
-    """Daily statistics of a stream over the lake, as the sink leaves them."""
-    root, path = scratch_path(spark, "lake"), scratch_path(spark, "report")
+def _lake_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None) -> DataFrame:
+    root = scratch_path(spark, "lake")
     rows = _enriched(spark, sf_dir)
     lake.write_lake(rows, root)
-    source = stream_lake(spark, root, rows.schema, files_per_trigger=None)
-    days = stream_daily_stats(source).drop("calculated_at")
-    sink(days, path, scratch_path(spark, "checkpoint")).awaitTermination()
-    return unzoned(spark.read.parquet(path))
+    return stream_lake(spark, root, rows.schema, files_per_trigger=files_per_trigger)
+
+
+def stream_daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistics merged from a stream's micro-batches, which come in no order of time."""
+    path = scratch_path(spark, "sums")
+    stream = _lake_stream(spark, sf_dir, files_per_trigger=25)
+    keep_daily_sums(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return unzoned(streamed_report(spark, path).drop("calculated_at"))
+
+
+def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days a watermark has closed; a dropped row would be an error."""
+    path = scratch_path(spark, "days")
+    stream = _lake_stream(spark, sf_dir, files_per_trigger=None)
+    finish(append_closed_days(stream, path, scratch_path(spark, "checkpoint")))
+    return unzoned(spark.read.parquet(path).drop("calculated_at"))
+
+
+def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after three loads, each summed by itself and merged."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw)
+    for k in range(3):
+        load_new_files(
+            spark, at.raw, at.lake, at.ledger, files=files.where(F.pmod(F.xxhash64("path"), F.lit(3)) == k)
+        )
+        book = ledger.read_ledger(spark, at.ledger)
+        fresh = stored_listing(ledger.unpublished_batches(book))
+        add_batch_sums(spark, at.lake, book, at.sums)
+        report = merge_batch_sums(spark, book, at.sums, at.report, load_time())
+        mark_published(spark, at.ledger, fresh)
+    return unzoned(report)
+
+
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain over raw CSV files, one of which cannot be read, and then once more."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    wrong = spark.range(0, 1, 1, 1).select(*[F.lit("x").alias(c) for c in reversed(RAW_COLUMNS)])
+    wrong.write.option("header", True).csv(f"{at.raw}/source=wrong")
+    first, second = (run_daily(spark, at, match_header=True, strict=False) for _ in range(2))
+    quality = first.training.quality
+    return first.report.agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("total_trips").alias("trips"),
+        round_stable(F.sum("total_revenue"), 2).alias("revenue"),
+        F.lit(first.load.failed).cast("bigint").alias("files_failed"),
+        F.lit(first.open_before).alias("open_before"),
+        F.lit(first.open_after_load).alias("open_after_load"),
+        F.lit(first.open_after_publish).alias("open_after_publish"),
+        F.lit(second.report is None and second.load.loaded == 0).alias("second_run_idle"),
+        F.lit(quality.n > 0 and quality.rmse > 0).alias("model_tested"),
+    )
 
 
 def queries() -> dict[str, Query]:
@@ -385,16 +498,17 @@ def queries() -> dict[str, Query]:
         "train_test_split": train_test_split,
         "random_split": random_split,
         "fare_model": fare_model,
-        "fare_model_by_row": fare_model_by_row,
+        "fare_model_by_row": fare_model,
         "fare_model_ols": fare_model_ols,
         "model_summary": model_summary,
-        "score_trips": partial(_score_trips, overrides=TIGHT),
+        "model_summary_ols": model_summary_ols,
+        "score_trips": partial(_score_trips, overrides={}),
         "score_trips_ols": partial(_score_trips, overrides=PLAIN),
-        "model_metrics": partial(_model_metrics, overrides=TIGHT),
+        "model_metrics": partial(_model_metrics, overrides={}),
         "model_metrics_ols": partial(_model_metrics, overrides=PLAIN),
-        "score_cases": partial(_score_cases, overrides=TIGHT),
+        "score_cases": partial(_score_cases, overrides={}),
         "score_cases_ols": partial(_score_cases, overrides=PLAIN),
-        "fare_curve": partial(_fare_curve, overrides=TIGHT),
+        "fare_curve": partial(_fare_curve, overrides={}),
         "fare_curve_ols": partial(_fare_curve, overrides=PLAIN),
         "model_roundtrip": model_roundtrip,
         "csv_strict_scan": csv_strict_scan,
@@ -406,6 +520,9 @@ def queries() -> dict[str, Query]:
         "new_data_gate": new_data_gate,
         "ledger_append": ledger_append,
         "stream_ingest": stream_ingest,
-        "stream_daily_stats": partial(_stream_days, sink=keep_report),
-        "stream_closed_days": partial(_stream_days, sink=append_closed_days),
+        "stream_daily_stats": stream_daily_stats,
+        "stream_closed_days": stream_closed_days,
+        "dead_batch_hidden": dead_batch_hidden,
+        "incremental_report": incremental_report,
+        "daily_run": daily_run,
     }

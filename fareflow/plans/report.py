@@ -1,27 +1,50 @@
-"""Rebuild the daily report from the lake."""
+"""The daily report: rebuilt from the lake, or kept up to date from sums per batch and day."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareflow.operators.stats import daily_stats_full
-from fareflow.schema import DAILY_REPORT
-from fareflow.sources.lake import write_report
+from fareflow.operators.stats import daily_stats_full, daily_sums, merged_days
+from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT
+from fareflow.sources.lake import loaded_batches, read_report, write_report
+from fareflow.sources.ledger import unpublished_batches
 
 
 def refresh_daily_report(
     trips: DataFrame,
     path: str,
-    calculated_at: datetime | None = None,
-    one_file: bool = True,
+    calculated_at: Column | datetime | None = None,
+    one_file: bool = False,
 ) -> DataFrame:
-    """Write the report over the previous one and return it as read back.
+    """Write a new version of the report and return it as read back.
 
-    The trips are read once; looking at the result costs no second run. The writer
-    does the sorting, so the only shuffles are the group-by and the one to a single file.
+    The trips are read once; looking at the result costs no second run.
     """
     report = daily_stats_full(trips, calculated_at).select(*DAILY_REPORT)
     write_report(report, path, one_file=one_file)
-    return trips.sparkSession.read.parquet(path).orderBy("date")
+    return read_report(trips.sparkSession, path).orderBy("date")
+
+
+def add_batch_sums(spark: SparkSession, lake_root: str, ledger: DataFrame, sums_root: str) -> None:
+    """Sum the batches that no report covers yet, by batch and day, into ``sums_root``.
+
+    Only those batches are read. Their folders are replaced, so a repeated run adds nothing.
+    """
+    lake = spark.read.schema(BATCH_LAKE_COLUMNS).parquet(lake_root)
+    fresh = lake.join(unpublished_batches(ledger), "batch_id", "left_semi")
+    sums = daily_sums(fresh, "batch_id").repartition("batch_id")
+    sums.write.partitionBy("batch_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(sums_root)
+
+
+def merge_batch_sums(
+    spark: SparkSession, ledger: DataFrame, sums_root: str, path: str, calculated_at: Column | datetime | None = None
+) -> DataFrame:
+    """The report over all loaded batches, from their sums alone."""
+    sums = spark.read.option("basePath", sums_root).parquet(sums_root)
+    sums = sums.withColumn("batch_id", F.col("batch_id").cast("string"))
+    known = sums.join(loaded_batches(ledger), "batch_id", "left_semi")
+    write_report(merged_days(known, calculated_at).select(*DAILY_REPORT), path)
+    return read_report(spark, path).orderBy("date")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +13,6 @@ from fareflow.schema import PICKUP
 YearMonth = tuple[int, int]
 
 
-@contextmanager
-def micros_in_parquet(spark: SparkSession):
-    """Store timestamps as INT64 microseconds for the length of the block.
-
-    Spark's default INT96 has no min/max statistics, so a filter on the pickup time
-    could skip nothing, and it is slower to decode.
-    """
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def write_lake(
     enriched: DataFrame,
     root: str,
@@ -43,13 +28,14 @@ def write_lake(
     is what the writer needs anyway; adding the pickup time gives Parquet useful
     min/max statistics. Without adaptive execution every month is spread over all
     shuffle partitions by a hash of the row.
+
+    Times are stored as ``session.prepare`` says, INT64 with statistics.
     """
     order = ["year", "month"] + ([sort_by] if sort_by else [])
     writer = _gathered(enriched).sortWithinPartitions(*order).write
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    with micros_in_parquet(enriched.sparkSession):
-        writer.partitionBy("year", "month").mode(mode).parquet(root)
+    writer.partitionBy("year", "month").mode(mode).parquet(root)
 
 
 def _gathered(enriched: DataFrame) -> DataFrame:
@@ -71,10 +57,10 @@ def read_lake(
     """The lake's trips, optionally from month ``since`` to month ``until`` inclusive.
 
     The bounds test partition columns only, so other months are never listed for
-    reading. With a ``ledger``, only batches it records as loaded are read, which
-    hides whatever a load that died half-way left behind; ``batch_id`` is dropped. The
-    batch ids become a partition filter: there are as many as batch folders, which the
-    driver lists anyway, and a join would touch every row or even shuffle the lake.
+    reading. A lake written in batches needs its ``ledger``: only batches recorded as
+    loaded are read, which hides whatever a load that died half-way left behind. That is a
+    semi-join on the partition column, so Spark prunes the folders of other batches.
+    ``batch_id`` is dropped.
 
     The schema comes from the files unless given.
     """
@@ -82,11 +68,16 @@ def read_lake(
     lake = reader.parquet(root)
     for bound in _month_bounds(since, until):
         lake = lake.where(bound)
-    if ledger is not None:
-        committed = ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
-        ids = [row.batch_id for row in committed.collect()]
-        lake = lake.where(F.col("batch_id").isin(ids)).drop("batch_id")
-    return lake
+    if "batch_id" not in lake.columns:
+        return lake
+    if ledger is None:
+        raise ValueError("a lake written in batches is read through its ledger")
+    return lake.join(loaded_batches(ledger), "batch_id", "left_semi").drop("batch_id")
+
+
+def loaded_batches(ledger: DataFrame) -> DataFrame:
+    """The ids of the batches that are complete."""
+    return ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
 
 
 def _month_bounds(since: YearMonth | None, until: YearMonth | None) -> list[Column]:
@@ -100,14 +91,45 @@ def _month_bounds(since: YearMonth | None, until: YearMonth | None) -> list[Colu
 
 
 def write_report(
-    report: DataFrame, path: str, sort_by: str = "date", one_file: bool = True
+    report: DataFrame, path: str, sort_by: str = "date", one_file: bool = False
 ) -> None:
-    """Replace the report at ``path``; a report has one row per day.
+    """Write a new version of the report below ``path``, then drop the older ones.
 
-    One file comes from an exchange into a single task, not from ``coalesce(1)``, so
-    the aggregation in front of it keeps its parallelism.
+    A version counts once it is complete, so a run that dies on the way leaves the last
+    report in place. ``one_file`` sends its rows, one per day, through one task.
     """
-    if one_file:
-        report = report.repartition(1)
-    with micros_in_parquet(report.sparkSession):
-        report.sortWithinPartitions(sort_by).write.mode("overwrite").parquet(path)
+    spark = report.sparkSession
+    report = report.repartition(1).sortWithinPartitions(sort_by) if one_file else report.orderBy(sort_by)
+    older = _versions(spark, path)
+    report.write.parquet(f"{path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+    system, _ = _hadoop(spark, path)
+    for name in older:
+        system.delete(_path(spark, f"{path}/{name}"), True)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of the report."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no complete report below {path}")
+    return spark.read.parquet(f"{path}/{versions[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions, oldest first."""
+    system, folder = _hadoop(spark, path)
+    if not system.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
+    done = [n for n in names if n.startswith("version=") and system.exists(_path(spark, f"{path}/{n}/_SUCCESS"))]
+    return sorted(done)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path in its own terms."""
+    folder = _path(spark, path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder

@@ -6,39 +6,37 @@ with status ``loaded`` names its path; a failed file stays new and is tried agai
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import datetime
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.schema import LEDGER_COLUMNS
+from fareflow.session import scratch_path
 
-# LEDGER_COLUMNS for rows that start on the driver.
-_ARROW_LEDGER = pa.schema(
-    {
-        "path": pa.string(),
-        "length": pa.int64(),
-        "modified_at": pa.timestamp("us", tz="UTC"),
-        "batch_id": pa.string(),
-        "status": pa.string(),
-        "error": pa.string(),
-        "recorded_at": pa.timestamp("us", tz="UTC"),
-    }
-)
+# The listing's tasks, however many and however large the files are.
+LISTING_TASKS = 200
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
-    """Every file below ``root`` ending in ``suffix``. Contents are not read."""
+    """Every file below ``root`` ending in ``suffix``, written down once and read back.
+
+    Contents are not read, but Spark deals files out by their length, so large ones would
+    get a task each. A session of its own bounds the tasks without touching this one's settings.
+    """
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionNum", str(LISTING_TASKS))
     files = (
-        spark.read.format("binaryFile")
+        lister.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
         .load(root)
     )
-    return files.select("path", "length", F.col("modificationTime").alias("modified_at"))
+    found = files.select("path", "length", F.col("modificationTime").alias("modified_at"))
+    path = scratch_path(spark, "listing")
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def with_suffix(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
@@ -54,19 +52,30 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame(_ARROW_LEDGER.empty_table())
-
-
-def append_ledger(spark: SparkSession, root: str, entries: Sequence[dict]) -> None:
-    """Add one bounded set of entries in a single file, which commits as a whole."""
-    rows = [{k: _utc(v) if isinstance(v, datetime) else v for k, v in e.items()} for e in entries]
-    table = pa.Table.from_pylist(rows, schema=_ARROW_LEDGER)
-    spark.createDataFrame(table).coalesce(1).write.mode("append").parquet(root)
+        return spark.createDataFrame([], LEDGER_COLUMNS)
+
+
+def record(
+    ledger_root: str,
+    files: DataFrame,
+    batch_id: str,
+    status: str,
+    at: datetime,
+    error: str | None = None,
+) -> None:
+    """Add ledger rows for the files of one batch in a single file, which commits as a whole."""
+    known = {"batch_id": batch_id, "status": status, "error": error}
+    rows = files.withColumns(
+        {name: F.lit(value).cast("string") for name, value in known.items()} | {"recorded_at": F.lit(at)}
+    )
+    have = {name: kind for name, kind in (c.split() for c in LEDGER_COLUMNS.strip().split(",\n"))}
+    missing = {n: F.lit(None).cast(k) for n, k in have.items() if n not in rows.columns}
+    rows.withColumns(missing).select(*have).coalesce(1).write.mode("append").parquet(ledger_root)
 
 
-def _utc(moment: datetime) -> datetime:
-    # A time without zone, as Spark hands it out, is in this machine's zone.
-    return moment.astimezone(timezone.utc)
+def one_row(spark: SparkSession) -> DataFrame:
+    """A frame of one row and no ledger column, for entries that are about no file."""
+    return spark.range(0, 1, 1, numPartitions=1).drop("id")
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -93,5 +102,5 @@ def unpublished_batches(ledger: DataFrame) -> DataFrame:
 
 
 def has_new_data(listing: DataFrame, ledger: DataFrame) -> bool:
-    """Whether the downstream jobs have anything to do."""
+    """Whether the load or the downstream jobs have anything to do."""
     return not new_files(listing, ledger).isEmpty() or not unpublished_batches(ledger).isEmpty()

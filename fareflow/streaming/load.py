@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import hashlib
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
+from fareflow.sources.lake import write_lake
+from fareflow.sources.ledger import one_row, record
 
 
 def with_source_file(raw: DataFrame) -> DataFrame:
@@ -19,31 +22,27 @@ def with_source_file(raw: DataFrame) -> DataFrame:
 def stream_to_lake(
     raw: DataFrame,
     lake_root: str,
+    ledger_root: str,
     checkpoint: str,
     loaded_at: Column | datetime | None = None,
-    writers_per_month: int = 0,
 ) -> StreamingQuery:
     """Append a stream of raw trips to a lake and stop when the backlog is done.
 
-    The file sink logs each micro-batch under the lake, and readers go by that log, so
-    a file counts once even if a run dies while writing. Do not write to the same
-    folder by other means.
-
-    Tasks write the months they read, without a shuffle, which suits files of one
-    month each. For files of mixed months set ``writers_per_month``: rows are then
-    gathered by month, each month split over that many tasks by a hash of the row.
-
-    The sink goes by the session's settings while it runs; see ``session.prepare``.
+    Each micro-batch goes to its own ``batch_id=...`` folder, gathered by month as the
+    batch load does, and is then recorded in the ledger. Its name follows from the
+    checkpoint and the micro-batch's number: one that is run again after a crash replaces
+    its folder, so a file counts once. Readers go through the ledger, as for batch loads.
     """
     rows = enrich_trips(normalize_columns(raw), loaded_at)
-    if writers_per_month:
-        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(writers_per_month))
-        rows = rows.repartition("year", "month", spread)
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def load(batch: DataFrame, number: int) -> None:
+        batch_id = f"s-{name}-{number}"
+        write_lake(batch, f"{lake_root}/batch_id={batch_id}", "overwrite")
+        record(ledger_root, one_row(batch.sparkSession), batch_id, "loaded", datetime.now(timezone.utc))
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("year", "month")
-        .option("path", lake_root)
+        rows.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -16,6 +16,8 @@ from fareflow.functions import in_hash_split, in_split, percent_of, round_stable
         (8.324999999999998, 2, 8.33),
         (0.05, 1, 0.1),
         (3e17, 2, 3e17),
+        (-1e27, 2, -1e27),
+        (1e29, 2, None),
         (math.inf, 2, math.inf),
         (None, 2, None),
     ],

@@ -80,14 +80,6 @@ def test_null_feature_is_an_error_for_vectors(spark, model):
     assert fares.score(trips, model).first().prediction is None
 
 
-@pytest.mark.parametrize("settings", [{}, {"regParam": 0.0}, {"elasticNetParam": 0.0}])
-def test_fit_from_moments_equals_fit_by_row(rows, settings):
-    quick = fares.fit_fares(rows, tol=1e-12, **settings)
-    plain = fares.fit_fares_by_row(rows, tol=1e-12, **settings)
-    assert quick.intercept == pytest.approx(plain.intercept, abs=1e-6)
-    assert list(quick.coefficients) == pytest.approx(list(plain.coefficients), abs=1e-6)
-
-
 def test_fit_with_constant_feature(spark):
     rows = [(float(d), 1.0, 3.0 + 2.5 * d) for d in range(1, 40)]
     train = spark.createDataFrame(rows, "trip_distance double, passenger_count double, label double")
@@ -97,10 +89,19 @@ def test_fit_with_constant_feature(spark):
 
 
 def test_fit_needs_rows(rows):
-    with pytest.raises(ValueError, match="no training rows"):
+    with pytest.raises(Exception, match="(?i)empty|no training rows|instances|requirement"):
         fares.fit_fares(rows.limit(0))
 
 
+def test_fit_takes_any_setting(rows):
+    """What only a fit of the rows themselves gets right."""
+    robust = fares.fit_fares(rows, loss="huber", elasticNetParam=0.0, solver="l-bfgs", tol=1e-6)
+    assert robust.intercept != pytest.approx(fares.fit_fares(rows).intercept, abs=1e-3)
+    weighted = fares.fit_fares(rows.withColumn("w", F.lit(2.0)), weightCol="w", regParam=0.0)
+    assert weighted.intercept == pytest.approx(fares.fit_fares(rows, regParam=0.0).intercept, abs=1e-6)
+    assert fares.fit_errors(fares.fit_fares(rows, regParam=0.0))["n_rows"] == rows.count()
+
+
 def test_fit_against_coordinate_descent(rows, model):
     """The same objective minimised independently, one coefficient at a time."""
     data = np.array(rows.select(*fares.FEATURES, "label").collect(), dtype=float)
@@ -169,15 +170,17 @@ def test_inline_trips(spark, model):
     assert scored.count() == 8 and scored.where("prediction IS NULL").isEmpty()
 
 
-def test_sample_is_capped_and_spread(spark):
+def test_sample_reaches_every_part_of_the_table(spark):
     trips = spark.range(0, 200_000, numPartitions=8)
-    sample = fares.trip_sample(trips, fraction=0.5, cap=1000)
-    ids = [r.id for r in sample.collect()]
-    assert len(ids) == len(set(ids)) == 1000
-    small = fares.trip_sample(trips, fraction=0.001)
-    assert 0 < small.count() <= 200
-    assert fares.trip_sample(spark.range(10)).isEmpty()
-    assert max(ids) > 150_000
+    sample = fares.trip_sample(trips, ["id"], fraction=0.01)
+    ids = sorted(r.id for r in sample.collect())
+    assert len(ids) == len(set(ids)) and 1_800 < len(ids) < 2_200
+    tenths = [sum(k * 20_000 <= i < (k + 1) * 20_000 for i in ids) for k in range(10)]
+    assert min(tenths) > 140
+    again = fares.trip_sample(trips.repartition(3), ["id"], fraction=0.01)
+    assert sorted(r.id for r in again.collect()) == ids
+    assert fares.trip_sample(trips, ["id"], fraction=1.0).count() == 200_000
+    assert fares.trip_sample(trips, ["id"], fraction=0.0).isEmpty()
 
 
 def test_counts_in_one_pass(spark, sf_dir, rows):

@@ -14,7 +14,7 @@ from fareflow.operators.trips import enrich_trips
 from fareflow.plans.report import refresh_daily_report
 from fareflow.schema import DAILY_REPORT
 from fareflow.session import object_store_conf, scale_conf, scratch_path
-from fareflow.sources.lake import read_lake, write_lake
+from fareflow.sources.lake import read_lake, read_report, write_lake
 from fareflow.sources.tables import trips_from_tables
 from tests.helpers import plan_of
 
@@ -132,14 +132,24 @@ def test_file_size_limit(spark, trips, tmp_path):
     assert all(pq.ParquetFile(f).metadata.num_rows <= 20 for f in files(tmp_path / "l"))
 
 
-def test_refreshed_report_is_one_sorted_file(spark, trips, tmp_path):
+@pytest.mark.parametrize("one_file", [True, False])
+def test_refreshed_report_is_sorted_and_replaces_the_last(spark, trips, tmp_path, one_file):
     path = str(tmp_path / "report")
     for _ in range(2):
-        report = refresh_daily_report(trips, path)
-    assert len(files(path)) == 1
-    days = pq.read_table(files(path)[0]).column("date").to_pylist()
+        report = refresh_daily_report(trips, path, one_file=one_file)
+    assert len(list(Path(path).glob("version=*"))) == 1
+    days = [d for f in files(path) for d in pq.read_table(f).column("date").to_pylist()]
     assert days == sorted(days) and len(days) == daily_stats(trips).count()
-    assert report.columns == list(DAILY_REPORT)
+    assert report.columns == list(DAILY_REPORT) and (len(files(path)) == 1 or not one_file)
+
+
+def test_report_that_died_on_the_way_leaves_the_last(spark, trips, tmp_path):
+    path = str(tmp_path / "report")
+    want = refresh_daily_report(trips, path).count()
+    (tmp_path / "report" / "version=99999999999999999999-dead").mkdir()
+    assert read_report(spark, path).count() == want
+    with pytest.raises(FileNotFoundError):
+        read_report(spark, str(tmp_path / "none"))
 
 
 def test_single_file_report_keeps_the_aggregation_parallel(spark, trips):

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from fareflow.operators.stats import daily_stats_full
 from fareflow.operators.trips import enrich_trips
 from fareflow.plans.load import lake_rows
+from fareflow.plans.load import load_new_files
+from fareflow.schema import BATCH_LAKE_COLUMNS
 from fareflow.sources.lake import read_lake, write_lake
+from fareflow.sources.ledger import read_ledger
 from fareflow.sources.tables import trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
 from fareflow.streaming.load import stream_to_lake, with_source_file
-from fareflow.streaming.stats import append_closed_days, keep_report, stream_daily_stats, stream_lake
+from fareflow.streaming.stats import append_closed_days, finish, keep_daily_sums, stream_lake, streamed_report
 from tests.test_load import line, put
 
 AT = datetime(2024, 1, 1)
@@ -32,20 +35,42 @@ def folders(tmp_path):
     return raw, str(tmp_path / "lake"), str(tmp_path / "checkpoint")
 
 
-def run(spark, raw, lake, checkpoint, **options):
+def run(spark, raw, lake, checkpoint):
     stream = stream_trip_csv(spark, str(raw), files_per_trigger=1)
-    stream_to_lake(stream, lake, checkpoint, AT, **options).awaitTermination()
+    stream_to_lake(stream, lake, lake + "-ledger", checkpoint, AT).awaitTermination()
+
+
+def read(spark, lake):
+    return read_lake(spark, lake, ledger=read_ledger(spark, lake + "-ledger"))
 
 
 def test_stream_loads_each_file_once(spark, folders):
     raw, lake, checkpoint = folders
     run(spark, raw, lake, checkpoint)
-    assert read_lake(spark, lake).count() == 61
+    assert read(spark, lake).count() == 61
     run(spark, raw, lake, checkpoint)
-    assert read_lake(spark, lake).count() == 61
+    assert read(spark, lake).count() == 61
     put(raw, "c.csv", line(21), line(22))
     run(spark, raw, lake, checkpoint)
-    assert read_lake(spark, lake).count() == 63
+    assert read(spark, lake).count() == 63
+
+
+def test_micro_batch_run_again_replaces_its_folder(spark, folders):
+    """A crash after the write and before the commit repeats the micro-batch."""
+    raw, lake, checkpoint = folders
+    run(spark, raw, lake, checkpoint)
+    last = max((Path(checkpoint) / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    run(spark, raw, lake, checkpoint)
+    assert read(spark, lake).count() == 61
+
+
+def test_stream_gathers_months(spark, folders):
+    raw, lake, checkpoint = folders
+    run(spark, raw, lake, checkpoint)
+    for batch in Path(lake).glob("batch_id=*"):
+        assert len(list(batch.rglob("*.parquet"))) == len(list(batch.rglob("month=*")))
 
 
 def test_stream_stores_times_with_statistics(spark, folders):
@@ -56,24 +81,33 @@ def test_stream_stores_times_with_statistics(spark, folders):
     assert kinds["tpep_pickup_datetime"] == "INT64"
 
 
-@pytest.mark.parametrize("writers", [0, 3])
-def test_stream_and_batch_load_the_same_rows(spark, folders, writers):
+def test_stream_and_batch_load_the_same_rows(spark, folders):
     raw, lake, checkpoint = folders
-    run(spark, raw, lake, checkpoint, writers_per_month=writers)
+    run(spark, raw, lake, checkpoint)
     paths = [str(p) for p in raw.rglob("*.csv")]
     batch = lake_rows(read_trip_csv(spark, paths), AT)
     columns = ["tpep_pickup_datetime", "trip_distance", "total_amount", "year", "month"]
-    assert as_rows(read_lake(spark, lake).select(columns)) == as_rows(batch.select(columns))
+    assert as_rows(read(spark, lake).select(columns)) == as_rows(batch.select(columns))
 
 
 def test_source_file_is_kept_on_request(spark, folders):
     raw, lake, checkpoint = folders
     stream = with_source_file(stream_trip_csv(spark, str(raw)))
-    stream_to_lake(stream, lake, checkpoint, AT).awaitTermination()
-    sources = {r.source_file.rsplit("/", 1)[1] for r in read_lake(spark, lake).collect()}
+    stream_to_lake(stream, lake, lake + "-ledger", checkpoint, AT).awaitTermination()
+    sources = {r.source_file.rsplit("/", 1)[1] for r in read(spark, lake).collect()}
     assert sources == {"a.csv", "b.csv"}
 
 
+def test_streams_and_reads_of_batches_need_the_ledger(spark, folders):
+    raw, lake, _ = folders
+    load_new_files(spark, str(raw), lake, lake + "-ledger")
+    with pytest.raises(ValueError, match="ledger"):
+        read_lake(spark, lake)
+    for schema in (BATCH_LAKE_COLUMNS, BATCH_LAKE_COLUMNS.replace(", batch_id STRING", "")):
+        with pytest.raises(ValueError, match="ledger"):
+            stream_lake(spark, lake, schema)
+
+
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("stream") / "lake")
@@ -82,20 +116,45 @@ def lake(spark, sf_dir, tmp_path_factory):
     return root, rows.schema
 
 
-def test_kept_report_equals_batch(spark, lake, tmp_path):
+@pytest.mark.parametrize("files", [40, 7])
+def test_streamed_report_equals_batch(spark, lake, tmp_path, files):
+    """Many micro-batches, and months in the order the files happen to come."""
     root, schema = lake
-    path = str(tmp_path / "report")
-    stats = stream_daily_stats(stream_lake(spark, root, schema, files_per_trigger=40))
-    keep_report(stats, path, str(tmp_path / "ck")).awaitTermination()
+    path = str(tmp_path / "sums")
+    stream = stream_lake(spark, root, schema, files_per_trigger=files)
+    keep_daily_sums(stream, path, str(tmp_path / "ck")).awaitTermination()
     batch = daily_stats_full(read_lake(spark, root))
-    assert as_rows(spark.read.parquet(path)) == as_rows(batch)
+    assert as_rows(streamed_report(spark, path)) == as_rows(batch)
+
+
+def late_months_first(spark, rows, root):
+    for year in (1999, 1996):
+        write_lake(rows.where(F.col("year") == year), root)
+
+
+def test_late_months_first_lose_nothing(spark, sf_dir, tmp_path):
+    rows = enrich_trips(trips_from_tables(spark, sf_dir), AT)
+    root, path = str(tmp_path / "lake"), str(tmp_path / "sums")
+    late_months_first(spark, rows, root)
+    stream = stream_lake(spark, root, rows.schema, files_per_trigger=6)
+    keep_daily_sums(stream, path, str(tmp_path / "ck")).awaitTermination()
+    assert as_rows(streamed_report(spark, path)) == as_rows(daily_stats_full(read_lake(spark, root)))
+
+
+def test_rows_behind_the_watermark_are_an_error(spark, sf_dir, tmp_path):
+    rows = enrich_trips(trips_from_tables(spark, sf_dir), AT)
+    root = str(tmp_path / "lake")
+    late_months_first(spark, rows, root)
+    stream = stream_lake(spark, root, rows.schema, files_per_trigger=6)
+    query = append_closed_days(stream, str(tmp_path / "days"), str(tmp_path / "ck"))
+    with pytest.raises(RuntimeError, match="watermark"):
+        finish(query)
 
 
 def test_closed_days_are_a_subset_of_batch(spark, lake, tmp_path):
     root, schema = lake
     path = str(tmp_path / "days")
-    stats = stream_daily_stats(stream_lake(spark, root, schema, files_per_trigger=None))
-    append_closed_days(stats, path, str(tmp_path / "ck")).awaitTermination()
+    finish(append_closed_days(stream_lake(spark, root, schema, files_per_trigger=None), path, str(tmp_path / "ck")))
     closed = spark.read.parquet(path)
     batch = daily_stats_full(read_lake(spark, root))
     closed_rows, batch_rows = as_rows(closed), as_rows(batch)
