@@ -175,7 +175,7 @@ def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[str, str]
     count = max(1, -(-total // block_chars))
     for k in range(count):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
-        yield [(row.item, row.text) for row in part.toLocalIterator()]
+        yield [(row.item, row.text) for row in part.collect()]
 
 
 def with_matches(
