@@ -86,4 +86,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_rules": urls.ORACLE,
         "op6_gzip_normaliser": warc.ORACLE,
         "op7_reply_trees": chats.ORACLE,
+        "op10_suffix_array": suffixes.ORACLE,
     }

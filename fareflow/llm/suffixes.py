@@ -257,3 +257,26 @@ def clean_only(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         into = f"_{into}"
     found = with_matches(docs, benchmark, into)
     return found.where(F.size(F.col(into)["items"]) == 0).drop(into)
+
+
+ORACLE = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+asked AS (SELECT DISTINCT item, k, array_to_string(words[p:p + k - 1], ' ') AS said
+    FROM (SELECT item, words, least(10, len(words)) AS k, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS p
+          FROM items WHERE len(words) > 0)),
+windows AS (SELECT r, k, p, array_to_string(words[p:p + k - 1], ' ') AS said
+    FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS p
+          FROM texts, (SELECT DISTINCT k FROM asked) WHERE len(words) >= k)),
+found AS (SELECT r, k, p, item FROM windows JOIN asked USING (k, said)),
+hits AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS place FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM texts LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
