@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import SparkSession
 
 from fareflow.operators import fares, stats
+from fareflow.plans.compact import compact_lake
 from fareflow.plans.daily import Folders, run_daily
 from fareflow.plans.load import load_new_files
 from fareflow.plans.report import refresh_daily_report
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
 
     job("load", "load new CSV files into the lake", "raw", "lake", "ledger")
     job("stream", "the same as a stream", "raw", "lake", "ledger", "checkpoint")
+    job("compact", "merge the lake's batches into one", "lake", "ledger")
     job("report", "rebuild the daily statistics", "lake", "report", optional=("ledger",))
     job("preview", "first days of the statistics and trips per month", "lake", optional=("ledger",))
     job("train", "fit and save the fare model", "lake", "model", optional=("ledger",))
@@ -74,6 +76,8 @@ def main() -> None:
         elif args.job == "stream":
             raw = stream_trip_csv(spark, args.raw, TRIP_COLUMNS)
             stream_to_lake(raw, args.lake, args.ledger, args.checkpoint).awaitTermination()
+        elif args.job == "compact":
+            print(compact_lake(spark, args.lake, args.ledger))
         elif args.job == "report":
             refresh_daily_report(_trips(spark, args), args.report).show(5)
         elif args.job == "preview":

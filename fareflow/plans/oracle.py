@@ -321,6 +321,7 @@ SELECT count(DISTINCT coalesce(passenger_count, -1)) AS sources_found, TRUE AS o
 FROM trips""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
+        "compacted_lake": _LAKE,
         "stream_daily_stats": _daily(_REPORT + _DROPPED),
         "stream_closed_days": _daily(_REPORT + _DROPPED, _CLOSED),
         "dead_batch_hidden": f"""WITH {TRIPS}

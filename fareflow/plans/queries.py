@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fareflow.functions import in_split, round_stable
 from fareflow.operators import fares, stats, trips
+from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.daily import Folders, run_daily
 from fareflow.plans.load import load_new_files, mark_published, stored_listing
 from fareflow.plans.report import add_batch_sums, merge_batch_sums, refresh_daily_report
@@ -389,6 +390,15 @@ def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
 
 
+def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake contents after its batches were merged into one and the old ones deleted."""
+    at = _loaded(spark, sf_dir)
+    compact_lake(spark, at.lake, at.ledger)
+    remove_merged(spark, at.lake, at.ledger)
+    rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
+    return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
+
+
 def dead_batch_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What batch and stream readers see of a lake in which a dead run left a batch."""
     at = _loaded(spark, sf_dir)
@@ -522,6 +532,7 @@ def queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_daily_stats": stream_daily_stats,
         "stream_closed_days": stream_closed_days,
+        "compacted_lake": compacted_lake,
         "dead_batch_hidden": dead_batch_hidden,
         "incremental_report": incremental_report,
         "daily_run": daily_run,

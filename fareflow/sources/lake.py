@@ -76,8 +76,10 @@ def read_lake(
 
 
 def loaded_batches(ledger: DataFrame) -> DataFrame:
-    """The ids of the batches that are complete."""
-    return ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
+    """The ids of the batches that are complete and not merged into another."""
+    merged = ledger.where(F.col("status") == "merged").select("batch_id")
+    loaded = ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
+    return loaded.join(merged, "batch_id", "left_anti")
 
 
 def _month_bounds(since: YearMonth | None, until: YearMonth | None) -> list[Column]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fareflow.schema import LEDGER_COLUMNS
 from fareflow.session import scratch_path
+from fareflow.sources.lake import loaded_batches
 
 # The listing's tasks, however many and however large the files are.
 LISTING_TASKS = 200
@@ -97,8 +98,7 @@ def base_name(path: str = "path") -> Column:
 def unpublished_batches(ledger: DataFrame) -> DataFrame:
     """Loaded batches that the downstream jobs have not covered yet."""
     published = ledger.where(F.col("status") == "published").select("batch_id")
-    loaded = ledger.where(F.col("status") == "loaded").select("batch_id").distinct()
-    return loaded.join(published, "batch_id", "left_anti")
+    return loaded_batches(ledger).join(published, "batch_id", "left_anti")
 
 
 def has_new_data(listing: DataFrame, ledger: DataFrame) -> bool:

@@ -2,11 +2,13 @@
 
 import gzip
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from fareflow.plans import daily
+from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.daily import Folders, run_daily
 import fareflow.sources.ledger as ledger_module
 from fareflow.plans.load import LoadError, lake_rows, load_new_files
@@ -254,3 +256,17 @@ def test_daily_run_repeats_a_step_that_failed(spark, at, monkeypatch):
     again = run_daily(spark, to)
     assert again.load.loaded == 0 and again.training.quality.n > 0
     assert unpublished_batches(read_ledger(spark, to.ledger)).isEmpty()
+
+
+def test_compaction_keeps_rows_files_and_report(spark, at):
+    raw, to = at
+    put(raw, "a.csv", *[line(1 + n % 28, 0.5 + n / 10) for n in range(100)])
+    run_daily(spark, to)
+    put(raw, "b.csv", *[line(1 + n % 28, 0.7 + n / 10) for n in range(100)])
+    before = run_daily(spark, to).report.drop("calculated_at").collect()
+    compact_lake(spark, to.lake, to.ledger)
+    remove_merged(spark, to.lake, to.ledger)
+    assert lake_count(spark, to) == 200 and len(list(Path(to.lake).glob("batch_id=*"))) == 1
+    again = run_daily(spark, to)
+    assert again.load.loaded == 0 and again.report.drop("calculated_at").collect() == before
+    assert not run_daily(spark, to).open_before
