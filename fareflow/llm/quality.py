@@ -26,6 +26,7 @@ MAX_REPEATED_PERCENT = 50
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
+JUDGED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
 
 
 def words_of(text: Column) -> Column:
@@ -118,7 +119,9 @@ def with_quality(
     )
     total = F.aggregate(at["buckets"], F.lit(0.0), lambda sum_, b: sum_ + F.get(at["table"], b))
     n_words = F.size(at["words"]).cast("long")
+    # A row number in the struct keeps Spark from copying all of this into a filter on the verdict.
     base = F.struct(
+        F.monotonically_increasing_id().alias("row"),
         n_words.alias("n_words"),
         F.length(F.array_join(at["words"], "")).cast("long").alias("word_chars"),
         F.regexp_count(at["text"], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -150,7 +153,7 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document: counts, score, ``base_failed`` and ``kept``."""
     weights = stored(bucket_weights(trusted_documents(docs, labels, key), docs), "quality_weights")
-    return with_quality(docs.select(key, "text"), weights, "q").select(key, "q.*")
+    return with_quality(docs.select(key, "text"), weights, "q").select(key, *[f"q.{name}" for name in JUDGED])
 
 
 def good_only(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
