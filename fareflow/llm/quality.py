@@ -5,8 +5,14 @@ buckets, one of the trusted documents and one of all documents, give each bucket
 log of their ratio. A document's score is the mean weight of its n-grams, so length does not
 matter, and a document stays if its score reaches a fixed threshold.
 
+A low score alone also befalls clean documents of a language or source that few labels cover.
+With an ``evidence`` bound, as the op2 query sets it, a document below the threshold goes only
+if the labels speak against its own n-grams: each bucket's share of trusted text in labelled text, drawn to the overall share by a prior of
+``PRIOR`` n-grams, over the overall share. A bucket that no labelled document holds weighs
+zero, however large the corpus.
+
 Counting combines before its shuffle to at most one row per bucket and task. The weights
-are one array of fixed length that reaches the scan as a scalar subquery; scoring reads
+are two arrays of fixed length that reach the scan as a scalar subquery; scoring reads
 every row by itself, without a shuffle.
 """
 
@@ -21,6 +27,10 @@ BUCKETS = 10_000
 SMOOTHING = 0.5
 # Mean log ratio per n-gram that a document must reach.
 THRESHOLD = -0.025
+# How many n-grams at the overall share of trusted text every bucket holds beforehand.
+PRIOR = 10.0
+# Mean log share of trusted text per n-gram below which the labels speak against a document.
+EVIDENCE = -0.03
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SPACE = r"\x20\x09-\x0D"
@@ -53,22 +63,33 @@ def bucket_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def bucket_weights(trusted: DataFrame, raw: DataFrame, text: str = "text") -> DataFrame:
-    """One row, one array ``weights`` by bucket; all zero without trusted n-grams."""
+def bucket_weights(labelled: DataFrame, raw: DataFrame, text: str = "text") -> DataFrame:
+    """One row, ``weights``: two arrays by bucket, log ratio and evidence of the labels.
+
+    ``labelled`` has the column ``good``. Without trusted n-grams all are zero.
+    """
     spark = raw.sparkSession
-    target = bucket_counts(trusted, text).select("bucket", F.col("n").alias("t"))
+    words = labelled.select(words_of(F.col(text)).alias("words"), "good")
+    judged = words.select(F.explode(buckets_of(F.col("words"))).alias("bucket"), "good").groupBy("bucket").agg(
+        F.count_if("good").alias("t"), F.count(F.lit(1)).alias("l")
+    )
     every = bucket_counts(raw, text).select("bucket", F.col("n").alias("r"))
     counts = stored(
         spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-        .join(target, "bucket", "left").join(every, "bucket", "left").na.fill(0, ["t", "r"]),
+        .join(judged, "bucket", "left").join(every, "bucket", "left").na.fill(0, ["t", "l", "r"]),
         "quality_counts",
     )
-    totals = counts.agg(F.sum("t").alias("t"), F.sum("r").alias("r")).first()
+    totals = counts.agg(*[F.sum(n).alias(n) for n in ("t", "l", "r")]).first()
     rest = SMOOTHING * BUCKETS
     share = lambda n, total: F.log((F.col(n) + SMOOTHING) / F.lit(float(total + rest)))
-    weight = share("t", totals.t) - share("r", totals.r) if totals.t else F.lit(0.0)
-    entries = F.array_sort(F.collect_list(F.struct("bucket", weight.alias("w"))))
-    return counts.agg(F.transform(entries, lambda e: e["w"]).alias("weights"))
+    weight, evidence = F.lit(0.0), F.lit(0.0)
+    if totals.t:
+        weight = share("t", totals.t) - share("r", totals.r)
+        overall = totals.t / totals.l
+        evidence = F.log((F.col("t") + PRIOR * overall) / ((F.col("l") + PRIOR) * overall))
+    entries = F.array_sort(F.collect_list(F.struct("bucket", weight.alias("w"), evidence.alias("e"))))
+    by = lambda name: F.transform(entries, lambda e: e[name])
+    return counts.agg(F.array(by("w"), by("e")).alias("weights"))
 
 
 def _repeated_words(windows: Column) -> Column:
@@ -98,10 +119,14 @@ def _windows(words: Column) -> Column:
 
 
 def with_quality(
-    docs: DataFrame, weights: DataFrame, into: str, text: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame, weights: DataFrame, into: str, text: str = "text", threshold: float = THRESHOLD,
+    evidence: float | None = None,
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: the base counts, the ``score`` and the verdict.
 
+    With ``evidence``, a score below the threshold counts only where the labels' mean evidence
+    is below that bound too.
+
     Null and empty texts have no words, score zero and fail. Windows are compared by their
     64-bit hash. Rows are judged one by one, so repeated rows and any other columns stay.
     """
@@ -117,7 +142,11 @@ def with_quality(
             names["table"]: weights.scalar(),
         }
     )
-    total = F.aggregate(at["buckets"], F.lit(0.0), lambda sum_, b: sum_ + F.get(at["table"], b))
+
+    def mean(table: int) -> Column:
+        total = F.aggregate(at["buckets"], F.lit(0.0), lambda sum_, b: sum_ + F.get(at["table"][table], b))
+        return F.coalesce(F.try_divide(total, F.size(at["buckets"])), F.lit(0.0))
+
     n_words = F.size(at["words"]).cast("long")
     # A row number in the struct keeps Spark from copying all of this into a filter on the verdict.
     base = F.struct(
@@ -127,33 +156,42 @@ def with_quality(
         F.regexp_count(at["text"], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(at["lines"]) - F.size(F.array_distinct(at["lines"]))).cast("long").alias("n_dup_lines"),
         _repeated_words(at["windows"]).alias("n_repeat_words"),
-        F.coalesce(F.try_divide(total, F.size(at["buckets"])), F.lit(0.0)).alias("score"),
+        mean(0).alias("score"),
+        *([] if evidence is None else [mean(1).alias("evidence")]),
     )
     counted = read.withColumn(into, base).drop(*names.values())
     got = F.col(into)
     failed = (got["n_words"] < MIN_WORDS) | (
         100 * got["n_repeat_words"] > MAX_REPEATED_PERCENT * got["n_words"]
     )
-    kept = ~failed & (got["score"] >= threshold)
+    passed = got["score"] >= threshold
+    if evidence is not None:
+        passed = passed | (got["evidence"] >= evidence)
+    kept = ~failed & passed
     return counted.withColumn(
         into, got.withField("base_failed", failed).withField("kept", kept)
     )
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The texts of documents that some label calls good and none calls bad or toxic.
+def labelled_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The texts of documents that labels call good or bad, and whether they are trusted (``good``).
 
-    Labels grow with the documents, so the join is by shuffle at every size.
+    Trusted is what some label calls good and none calls bad or toxic. Without either word, as
+    where the quality is null, a label counts against trust but is no evidence. Labels
+    grow with the documents, so the join is by shuffle at every size.
     """
     good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))
-    agreed = labels.groupBy(key).agg(F.min(good).alias("good")).where("good").select(key)
-    return docs.select(key, "text").join(agreed.hint("merge"), key, "left_semi")
+    bad = F.coalesce((F.col("quality") != 1) | (F.coalesce("toxic", F.lit(0)) != 0), F.lit(False))
+    agreed = labels.groupBy(key).agg(F.min(good).alias("good"), F.max(bad).alias("bad"))
+    agreed = agreed.where("good or bad").select(key, "good")
+    return docs.select(key, "text").join(agreed.hint("merge"), key)
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", evidence: float | None = None) -> DataFrame:
     """Per document: counts, score, ``base_failed`` and ``kept``."""
-    weights = stored(bucket_weights(trusted_documents(docs, labels, key), docs), "quality_weights")
-    return with_quality(docs.select(key, "text"), weights, "q").select(key, *[f"q.{name}" for name in JUDGED])
+    weights = stored(bucket_weights(labelled_documents(docs, labels, key), docs), "quality_weights")
+    judged = with_quality(docs.select(key, "text"), weights, "q", evidence=evidence)
+    return judged.select(key, *[f"q.{name}" for name in JUDGED])
 
 
 def good_only(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -161,5 +199,5 @@ def good_only(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFr
     into = "_quality"
     while any(c.startswith(into) for c in docs.columns):
         into = f"_{into}"
-    weights = stored(bucket_weights(trusted_documents(docs, labels, key), docs), "quality_weights")
+    weights = stored(bucket_weights(labelled_documents(docs, labels, key), docs), "quality_weights")
     return with_quality(docs, weights, into).where(F.col(into)["kept"]).drop(into)

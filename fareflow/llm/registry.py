@@ -29,7 +29,9 @@ def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.judge(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), evidence=quality.EVIDENCE
+    )
 
 
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

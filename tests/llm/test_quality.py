@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from fareflow.llm import quality
+from fareflow.llm import quality, registry
 
 
 def base(text):
@@ -83,3 +83,18 @@ def test_without_labels_only_the_base_rules_count(spark):
     kept = quality.good_only(docs, none)
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
     assert quality.judge(docs.limit(0), none).collect() == []
+
+
+def test_query_keeps_clean_documents_without_labels(spark, tmp_path):
+    """A language that no label covers is no junk; what labels call bad still goes, unlabelled copies of its kind too."""
+    rng = random.Random(2)
+    pools = [[f"{p}{i}" for i in range(150)] for p in ("a", "b", "###")]
+    rows = [(i, " ".join(rng.choice(pools[i % 10 // 4]) for _ in range(100))) for i in range(300)]
+    kind = lambda i: i % 10 // 4
+    labels = [(i, int(kind(i) == 0), 0) for i in range(150) if kind(i) != 1]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = registry.op2_llr_quality(spark, str(tmp_path)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {(kind(r.doc_id), r.kept) for r in got} == {(0, True), (1, True), (2, False)}
+    assert all(r.score < quality.THRESHOLD for r in got if kind(r.doc_id) == 1)
