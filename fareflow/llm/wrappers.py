@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fareflow.llm.common import small_batches, stored
 from fareflow.llm.urls import host_and_path
 
-# A place counts as template from this many pages on, if others of the host's texts vary.
+# A place counts as template from this many different pages on, if others of the host's texts vary.
 TEMPLATE_PAGES = 5
 REGION_SHARE = 0.6
 
@@ -271,7 +271,7 @@ def content_places(shape: str, region: int, matched: dict[int, int], template: s
 
 # Spark side.
 
-PARSED = "shape string, code long, places array<struct<place: int, digest: long, chars: long>>"
+PARSED = "shape string, code long, page long, places array<struct<place: int, digest: long, chars: long>>"
 READ = "code long, blocks array<struct<place: int, text: string>>"
 
 
@@ -288,10 +288,10 @@ def _measure(pages: pd.Series) -> pd.DataFrame:
             texts.setdefault(place, []).append(text)
         joined = {place: "\n".join(t) for place, t in texts.items()}
         shape = parsed.shape()
-        rows.append((shape, _code(shape), [
-            {"place": p, "digest": _code(t), "chars": len(t)} for p, t in joined.items()
-        ]))
-    return pd.DataFrame(rows, columns=["shape", "code", "places"])
+        places = [{"place": p, "digest": _code(t), "chars": len(t)} for p, t in joined.items()]
+        whole = _code("\n".join([shape, *(f"{p['place']} {p['digest']}" for p in places)]))
+        rows.append((shape, _code(shape), whole, places))
+    return pd.DataFrame(rows, columns=["shape", "code", "page", "places"])
 
 
 def _blocks(pages: pd.Series) -> pd.DataFrame:
@@ -328,9 +328,11 @@ def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
     """The wrappers: ``host``, ``code`` of a shape, and its ``content`` places."""
     small_batches(pages.sparkSession)
     measured = pages.select(host.alias("host"), F.pandas_udf(_measure, PARSED)(F.col(html)).alias("p"))
+    # Copies of a page count once: what stands only in them does not repeat on different pages.
+    measured = measured.select("host", "p.page", "p.code", "p.shape", "p.places").dropDuplicates(["host", "page"])
     # A shape's row first, with place -1, so that one pass over the pages serves both counts.
     shape_row = F.array(F.struct(F.lit(-1).alias("place"), F.lit(0).cast("long").alias("digest"), F.lit(0).cast("long").alias("chars")))
-    rows = measured.select("host", "p.code", "p.shape", F.explode(F.concat(shape_row, "p.places")).alias("at"))
+    rows = measured.select("host", "code", "shape", F.explode(F.concat(shape_row, "places")).alias("at"))
     stats = stored(
         rows.groupBy("host", "code", "shape", "at.place").agg(
             F.count(F.lit(1)).alias("pages"), F.min("at.digest").alias("low"), F.max("at.digest").alias("high"),
@@ -380,7 +382,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """``page_id``, ``url``, ``text``, ``n_chars``: the main text of every page, blocks by line.
 
     Null and empty pages have an empty text. Pages without host share one. Repeated rows
-    stay, and none is a template of the other: a place must repeat on ``TEMPLATE_PAGES`` pages
+    stay, and none is a template of the other: a place must repeat on ``TEMPLATE_PAGES`` different pages
     while the rest of the host varies.
     """
     small_batches(pages.sparkSession)

@@ -97,3 +97,17 @@ def test_shape_survives_its_text_form():
     again = wrappers.read_shape(parsed.shape())
     assert [(p.label, p.parent) for p in again] == [(p.label, p.parent) for p in parsed.places]
     assert "div a b0 x" in {p.label for p in again}
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://one.host/{i}", html) for i, html in enumerate(pages)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_a_copied_article_keeps_what_only_it_has(spark):
+    others = [page(f"<article><h1>Head {i}</h1><p>text {i}</p></article>") for i in range(8)]
+    copy = page("<article><h1>Copied</h1><p>its text</p><ul><li>its list</ul><blockquote>its quote</blockquote></article>")
+    got = extracted(spark, others + [copy] * 9)
+    assert got[:8] == [f"Head {i}\ntext {i}" for i in range(8)]
+    assert set(got[8:]) == {"Copied\nits text\nits list\nits quote"}
