@@ -7,7 +7,7 @@ all pages of the host, a place whose text is always the same is template; a plac
 varies is a slot. The content region is the deepest container of the reference that holds most
 of the varying text, widened to the article or main element around it. A page's main text is
 what stands in the region, without template places and without places that are named as
-furniture (menus, adverts, forms, comments and the like).
+furniture (menus, adverts, forms, comments and the like), unless they hold most of the varying text.
 
 Statistics are combining aggregations over places of all pages; alignment is one row per
 shape and host. Only the wrappers, one small row per shape and host, meet the pages again.
@@ -221,20 +221,41 @@ def align(one: list[Place], two: list[Place]) -> dict[int, int]:
     return found
 
 
-def furnished(places: list[Place]) -> list[bool]:
-    """Whether each place is furniture itself or stands in some."""
+def furnished(places: list[Place], open_: set[int] | frozenset[int] = frozenset()) -> list[bool]:
+    """Whether each place is furniture itself or stands in some. Names do not count for ``open_`` ones."""
     out: list[bool] = []
-    for p in places:
-        out.append(p.parent >= 0 and (out[p.parent] or is_furniture(p.label)))
+    for i, p in enumerate(places):
+        label = p.label.split(" ")[0] if i in open_ else p.label
+        out.append(p.parent >= 0 and (out[p.parent] or is_furniture(label)))
     return out
 
 
-def region_of(places: list[Place], mass: dict[int, float]) -> int:
-    """The deepest container with most of the varying text, widened to the article around it."""
-    skip = furnished(places)
+def _held(places: list[Place], mass: dict[int, float], skip: list[bool]) -> list[float]:
+    """The varying text in and below each place."""
     held = [0.0 if skip[i] else mass.get(i, 0.0) for i in range(len(places))]
     for i in range(len(places) - 1, 0, -1):
         held[places[i].parent] += held[i]
+    return held
+
+
+def wrapping(places: list[Place], mass: dict[int, float]) -> set[int]:
+    """Places too large for furniture, whatever their names: they hold most of the varying text.
+
+    An article or main element beside such a place that holds varying text leaves it to its name.
+    """
+    tags_only = furnished(places, set(range(len(places))))
+    held = _held(places, mass, tags_only)
+    large = {i for i in range(1, len(places)) if held[0] and held[i] >= REGION_SHARE * held[0]}
+    above: list[set[int]] = []
+    for i, p in enumerate(places):
+        above.append({i} | (above[p.parent] if p.parent >= 0 else set()) if i in large else (above[p.parent] if p.parent >= 0 else set()))
+    wide = [i for i, p in enumerate(places) if p.label.split(" ")[0] in _WIDE and held[i] and i not in large]
+    return {i for i in large if all(i in above[w] for w in wide)}
+
+
+def region_of(places: list[Place], mass: dict[int, float]) -> int:
+    """The deepest container with most of the varying text, widened to the article around it."""
+    held = _held(places, mass, furnished(places, wrapping(places, mass)))
     best = 0
     while True:
         inner = [c for c in places[best].children.values() if places[c].children and held[c] >= REGION_SHARE * held[0]]
@@ -253,13 +274,15 @@ def region_of(places: list[Place], mass: dict[int, float]) -> int:
     return best
 
 
-def content_places(shape: str, region: int, matched: dict[int, int], template: set[int]) -> list[int]:
+def content_places(
+    shape: str, region: int, matched: dict[int, int], template: set[int], open_: set[int] | frozenset[int] = frozenset()
+) -> list[int]:
     """The places of a shape that hold content, given what the host's reference says.
 
     Without the region, a shape's own article or main element stands in, else all of it.
     """
     places = read_shape(shape)
-    skip = furnished(places)
+    skip = furnished(places, {i for i, ref in matched.items() if ref in open_})
     roots = {i for i, ref in matched.items() if ref == region}
     if not roots or roots == {0}:
         roots = {i for i, p in enumerate(places) if p.label.split(" ")[0] in _WIDE} or {0}
@@ -316,11 +339,17 @@ def _regions(shapes: pd.Series, masses: pd.Series) -> pd.Series:
     ])
 
 
+def _wrapping(shapes: pd.Series, masses: pd.Series) -> pd.Series:
+    return pd.Series([
+        sorted(wrapping(read_shape(s), {m["ref"]: m["mass"] for m in found})) for s, found in zip(shapes, masses)
+    ])
+
+
 def _contents(batch: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-    for shapes, regions, matches, templates in batch:
+    for shapes, regions, matches, templates, opens in batch:
         yield pd.Series([
-            content_places(s, r, {m["place"]: m["ref"] for m in found}, set(t))
-            for s, r, found, t in zip(shapes, regions, matches, templates)
+            content_places(s, r, {m["place"]: m["ref"] for m in found}, set(t), set(o))
+            for s, r, found, t, o in zip(shapes, regions, matches, templates, opens)
         ])
 
 
@@ -363,8 +392,11 @@ def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
     varying = F.coalesce("mass", empty)
     inner = region(F.col("reference"), varying)
     outer = region(F.col("reference"), F.coalesce("every", empty))
+    large = F.pandas_udf(_wrapping, "array<int>")
+    open_inner, open_outer = large("reference", varying), large("reference", F.coalesce("every", empty))
     hosts = stored(
-        hosts.select("host", inner.alias("inner"), outer.alias("outer"), F.coalesce("same", F.array().cast("array<int>")).alias("same")),
+        hosts.select("host", inner.alias("inner"), outer.alias("outer"),
+                     open_inner.alias("open_inner"), open_outer.alias("open_outer"), F.coalesce("same", F.array().cast("array<int>")).alias("same")),
         "wrapper_hosts",
     )
     joined = aligned.join(hosts, "host")
@@ -374,6 +406,7 @@ def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
         F.when(varies, F.col("inner")).otherwise(F.col("outer")),
         F.col("matched"),
         F.when(varies, F.col("same")).otherwise(F.array().cast("array<int>")),
+        F.when(varies, F.col("open_inner")).otherwise(F.col("open_outer")),
     )
     return stored(joined.select("host", "code", content.alias("content")), "wrappers")
 

@@ -111,3 +111,11 @@ def test_a_copied_article_keeps_what_only_it_has(spark):
     got = extracted(spark, others + [copy] * 9)
     assert got[:8] == [f"Head {i}\ntext {i}" for i in range(8)]
     assert set(got[8:]) == {"Copied\nits text\nits list\nits quote"}
+
+
+def test_names_do_not_drop_what_holds_the_article(spark):
+    for box in ("div class='layout has-sidebar'", "div id=content-with-sidebar", "section class='post no-comments'"):
+        tag = box.split()[0]
+        pages = [page(f"<{box}><div class=post><h2>Head {i}</h2><p>text {i} goes on</p></div>"
+                      f"<div class=sidebar>side {i}</div></{tag}><p>Made by us</p>") for i in range(8)]
+        assert extracted(spark, pages) == [f"Head {i}\ntext {i} goes on" for i in range(8)], box
