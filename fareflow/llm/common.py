@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareflow.session import scratch_path
@@ -22,6 +25,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds for the block only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
@@ -35,3 +49,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` written in ascending ``order`` (nulls first) with ``at``, each row's place from 0.
+
+    Rows are dealt by ranges of the order, so no group of equal values is one task: where the
+    order leaves rows equal, the place they were read from parts them. Only the row count of
+    each range is added up in one place.
+    """
+    spread = df.withColumn("_read", F.monotonically_increasing_id())
+    keys = [*order, "_read"]
+    ranges = spread.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_read")
+    # The upper bits are the range, the lower 33 the place in it.
+    rows = stored(ranges.withColumn("_slot", F.monotonically_increasing_id()), name)
+    rows = rows.withColumn("_range", F.shiftright("_slot", 33))
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_start")
+    return rows.join(starts, "_range").withColumn("at", place).drop("_range", "_start", "_slot")
+
+
+def crc32_of(key: Column) -> Column:
+    """The unsigned CRC-32 of an integer's decimal digits; null for null."""
+    return F.crc32(key.cast("string").cast("binary"))
