@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fareflow.llm import chats, crf, merkle, mixing, quality, simhash, suffixes, tokens, urls, warc, wrappers
+from fareflow.llm import chats, crf, merkle, mixing, prefixes, quality, simhash, suffixes, tokens, urls, warc, wrappers
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ def queries() -> dict[str, Query]:
         "op8_token_attribution": op8_token_attribution,
         "op9_wrapper_induction": op9_wrapper_induction,
         "op10_suffix_array": op10_suffix_array,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_merkle_climb": op12_merkle_climb,
         "pipeline": corpus_pipeline.run,
     }
@@ -94,5 +99,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_gzip_normaliser": warc.ORACLE,
         "op7_reply_trees": chats.ORACLE,
         "op10_suffix_array": suffixes.ORACLE,
+        "op11_prefix_trie": prefixes.ORACLE,
         "op12_merkle_climb": merkle.ORACLE,
     }

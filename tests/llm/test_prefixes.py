@@ -1,0 +1,88 @@
+"""The trie against a dictionary of prefixes, and its edge cases."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from fareflow.llm import prefixes
+
+ROWS = "conv_id long, turn long, role string, text string"
+
+
+def turn_key(row):
+    role, text = row[2] or "", row[3] or ""
+    digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+    return (row[1] is not None, row[1] or 0, digest)
+
+
+def recount(rows):
+    own = defaultdict(list)
+    for row in sorted((r for r in rows if r[0] is not None), key=turn_key):
+        own[row[0]].append((row[2] or "", row[3] or ""))
+    base = lambda c: c - (abs(c) % 5) * (1 if c >= 0 else -1)
+    head = lambda c: zlib.crc32(str(c).encode()) % 9
+    convs = {c: own.get(base(c), [])[: head(c)] + turns[head(c) :] for c, turns in own.items()}
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, inside in members.items():
+        gain = (len(inside) - 1) * len(node[-1][1].encode()) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += gain
+            leaves[node[:d]] += node not in children
+    out = []
+    for node, inside in members.items():
+        ends = ",".join(str(c) for c in sorted(inside) if len(convs[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(inside), len(node), parent, len(inside), len(children[node]) if node in children else 0,
+                    leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    names = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, prefixes.BLOCK])
+def test_given_conversations(spark, sf_dir, block):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    assert found(prefixes.trie(rows, block)) == recount([tuple(r) for r in rows.collect()])
+
+
+@pytest.mark.parametrize("block", [1, 3, prefixes.BLOCK])
+def test_many_shared_prefixes(spark, block):
+    rng = random.Random(block)
+    rows = [(c, t, rng.choice("ua"), rng.choice(["", "é", "xy"])) for c in range(-60, 60) for t in range(rng.randrange(1, 14))]
+    rows += [(1000 + c, t, "u", "same") for c in range(40) for t in range(11)]
+    assert found(prefixes.trie(spark.createDataFrame(rows, ROWS), block)) == recount(rows)
+
+
+def test_edges(spark):
+    rows = [
+        (None, 0, "u", "nobody"), (2, None, None, None), (2, 0, "u", "a"), (2, 0, "u", "a"), (2, 0, "a", "b"),
+        (5, 1, "u", "x" * 1_000_000), (6, 0, "u", ""), (6, None, "u", None), (7, 3, None, "z"), (-3, 0, "u", "z"),
+        *[(10, t, "u", f"{t % 3}") for t in range(120)], *[(12, t, "u", f"{t % 3}") for t in range(119)],
+    ]
+    df = spark.createDataFrame(rows, ROWS).selectExpr("*", "1 AS depth", "2 AS BLOCK", "3 AS at", "4 AS conv")
+    assert found(prefixes.trie(df)) == recount(rows)
+
+
+def test_turnless(spark):
+    """Without its group's first conversation and shorter than its own head, nothing is left."""
+    ids = [c for c in range(1, 400) if c % 5 and zlib.crc32(str(c).encode()) % 9 >= 1][:20]
+    rows = [(c, 0, "u", "t") for c in ids]
+    assert found(prefixes.trie(spark.createDataFrame(rows, ROWS))) == recount(rows)
+
+
+def test_empty(spark):
+    assert prefixes.trie(spark.createDataFrame([], ROWS)).collect() == []
