@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fareflow.llm import chats, crf, merkle, mixing, prefixes, quality, simhash, suffixes, tokens, urls, warc, wrappers
+from fareflow.llm import chats, crf, merkle, mixing, personal, prefixes, quality, simhash, suffixes, tokens, urls, warc, wrappers
 from fareflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_context_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.judge(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_crf_language": op1_crf_language,
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op10_suffix_array": op10_suffix_array,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_merkle_climb": op12_merkle_climb,
+        "op13_context_bootstrap": op13_context_bootstrap,
         "pipeline": corpus_pipeline.run,
     }
 
