@@ -1,10 +1,10 @@
 """Merkle manifest of a dataset: leaves, trees by source, one root, and a climb that checks each leaf.
 
 The documents are put in order of source and key by ranges, so a hot source is many tasks.
-Trees have runs of three. ``STRIDE`` levels are built at a time: a block is the 81 nodes below
-one node four levels up, gathered by one bounded group, and yields for every child the siblings
+Trees have runs of three. ``STRIDE`` levels are built at a time: a block is the 729 nodes below
+one node six levels up, gathered by one bounded group, and yields for every child the siblings
 on its way up. Each stored row links a child to its ancestor; the upper links stand once for
-every bottom block, so whatever the height no link is asked for by more than 81 leaves.
+every bottom block, so whatever the height no link is asked for by more than 729 leaves.
 
 The climb is one recursive query: every leaf starts from its own block's siblings and ascends
 the stored links, appending siblings to its proof and folding the hash of its possibly
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from fareflow.llm.common import crc32_of, numbered, setting, stored
 
 RUN = 3
-STRIDE = 4
+STRIDE = 6
 BLOCK = RUN**STRIDE
+# Blocks that Python holds at once.
+BLOCKS_PER_BATCH = 32
 # The fields of a leaf, in order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -106,7 +108,8 @@ def _gathered(nodes: DataFrame, stage: int, kept: list[str], name: str) -> DataF
         F.sort_array(F.collect_list(child)).alias("children")
     )
     built = F.pandas_udf(_block, _BLOCK)(F.col("children.digest"), _left(stage) <= BLOCK)
-    return stored(blocks.withColumn("built", built), f"{name}_{stage}")
+    with setting(nodes.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCKS_PER_BATCH)):
+        return stored(blocks.withColumn("built", built), f"{name}_{stage}")
 
 
 def _ways_of(level: DataFrame, *more: str) -> DataFrame:
@@ -161,19 +164,40 @@ def _strides(most: int) -> Column:
 
 _FOLD = "(h, s) -> unhex(sha2(lower(hex(concat(s.before, h, s.after))), 256))"
 _APPEND = "(p, s) -> concat(p, s.before, s.after)"
+# A link to the root carries its leaf's subroot; that ends the climb.
 CLIMB = f"""
 WITH RECURSIVE climb AS (
   SELECT doc_id, digest AS leaf, block, 1 AS rise,
-    aggregate(steps, X'', {_APPEND}) AS proof, aggregate(steps, changed, {_FOLD}) AS folded
+    aggregate(steps, X'', {_APPEND}) AS proof, aggregate(steps, changed, {_FOLD}) AS folded, subroot
   FROM {{leaves}}
   UNION ALL
   SELECT doc_id, leaf, climb.block, climb.rise + 1,
-    aggregate(steps, proof, {_APPEND}), aggregate(steps, folded, {_FOLD})
+    aggregate(steps, proof, {_APPEND}), aggregate(steps, folded, {_FOLD}), links.subroot
   FROM climb JOIN {{links}} AS links ON climb.block = links.block AND climb.rise = links.rise)
-SELECT climb.*, subroot FROM climb JOIN {{blocks}} AS blocks ON climb.block = blocks.block AND rise = height
+SELECT * FROM climb WHERE subroot IS NOT NULL
 """
 
 
+def _links(by_source: Trees, whole: Trees, ranks: DataFrame) -> DataFrame:
+    """Every block's links in one count of ``rise``: through its source's tree, then over all sources."""
+    first = ranks.select(F.col("at").alias("rank"), "first", F.col("top").alias("subroot"))
+    entry = by_source.blocks.withColumn("own", _strides(by_source.strides)).join(first, "first")
+    entry = entry.select(F.col("block").alias("bottom"), "own", "rank", "subroot")
+    on = whole.low.select(F.col("at").alias("rank"), "block", "steps")
+    step = stored(entry.join(on, "rank"), "merkle_entries")
+
+    def of(rows: DataFrame, rise: Column, last: bool) -> DataFrame:
+        subroot = F.col("subroot") if last else F.lit(None).cast("binary")
+        return rows.select(F.col("bottom").alias("block"), rise.alias("rise"), "steps", subroot.alias("subroot"))
+
+    links = by_source.links.withColumn("subroot", F.lit(None).cast("binary"))
+    links = links.unionByName(of(step, F.col("own"), whole.strides == 1))
+    for rise in range(1, whole.strides):
+        further = step.drop("steps").join(whole.links.where(F.col("rise") == rise).drop("rise"), "block")
+        links = links.unionByName(of(further, F.col("own") + rise, rise == whole.strides - 1))
+    return links
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """Every document's leaf, subroot, root, proof and the verdict on its tampered text."""
     spark = docs.sparkSession
@@ -190,25 +214,25 @@ def manifest(docs: DataFrame) -> DataFrame:
     trees = stored(trees, "merkle_sources")
     leaves = rows.join(trees, F.col("source").eqNullSafe(F.col("tree"))).drop("source", "tree")
     by_source = grow(leaves, ["doc_id", "changed"], "merkle_source")
-    subroots = stored(by_source.tops, "merkle_subroots")
-    ranked = numbered(subroots, ["first"], "merkle_ranks")
-    count = subroots.count()
-    over = ranked.select("at", F.lit(0).cast("long").alias("first"), F.lit(count).alias("size"),
-                         F.col("top").alias("digest"), F.col("first").alias("source_at"))
-    whole = grow(over, ["source_at"], "merkle_whole")
-    root = whole.tops.first()
-    # Every block goes on from its source's tree into the tree over all sources.
-    heights = by_source.blocks.withColumn("own", _strides(by_source.strides)).join(subroots, "first")
-    heights = stored(heights.select("block", "first", "own", F.col("top").alias("subroot")), "merkle_blocks")
-    entry = heights.select(F.col("first").alias("source_at"), F.col("block").alias("bottom"), "own")
-    first_step = entry.join(whole.low, "source_at")
-    links = first_step.select(F.col("bottom").alias("block"), F.col("own").alias("rise"), "steps")
-    further = first_step.select("bottom", "own", "block").join(whole.links, "block")
-    further = further.select(F.col("bottom").alias("block"), (F.col("own") + F.col("rise")).alias("rise"), "steps")
-    links = stored(by_source.links.union(links).union(further), "merkle_links")
-    blocks = heights.select("block", "subroot", (F.col("own") + whole.strides).alias("height"))
+    ranks = numbered(by_source.tops, ["first"], "merkle_ranks")
+    count = ranks.count()
+    alone = F.lit(None).cast("binary")
+    if count > 1:
+        over = ranks.select(
+            "at", F.lit(0).cast("long").alias("first"), F.lit(count).alias("size"), F.col("top").alias("digest")
+        )
+        whole = grow(over, [], "merkle_whole")
+        root = whole.tops.first()
+        links = _links(by_source, whole, ranks)
+    else:
+        root = ranks.first()
+        only = F.lit(bytes(root.top) if root else b"")
+        last = F.col("rise") == by_source.strides - 1
+        links = by_source.links.withColumn("subroot", F.when(last, only))
+        alone = only if by_source.strides == 1 else alone
+    low = by_source.low.withColumn("subroot", alone)
     with setting(spark, "spark.sql.cteRecursionRowLimit", "-1"):
-        climbed = stored(spark.sql(CLIMB, leaves=by_source.low, links=links, blocks=blocks), "merkle_climb")
+        climbed = stored(spark.sql(CLIMB, leaves=low, links=stored(links, "merkle_links")), "merkle_climb")
     top = F.lit(bytes(root.top) if root else b"")
     return climbed.select(
         "doc_id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"),

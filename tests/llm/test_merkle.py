@@ -69,7 +69,7 @@ def test_given_documents(spark, sf_dir):
     assert {row[-1] for row in got} == {True, False}
 
 
-@pytest.mark.parametrize("sizes", [(1,), (81, 2), (82, 1, 3), (6562,), tuple([1, 4] * 45)])
+@pytest.mark.parametrize("sizes", [(1,), (82, 1, 3), (730,), (729, 731), tuple([1] * 740)])
 def test_heights(spark, sizes):
     rows = [(k, f"t\n{k}", None, f"s{s}", k) for s, n in enumerate(sizes) for k in range(s * 10_000, s * 10_000 + n)]
     got = found(merkle.manifest(spark.createDataFrame(rows, DOCS)))
