@@ -21,6 +21,7 @@ from fareflow.session import prepare
 from fareflow.sources.lake import read_lake
 from fareflow.sources.ledger import read_ledger
 from fareflow.sources.trip_csv import stream_trip_csv
+from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake
 
 
@@ -31,7 +32,8 @@ def _parser() -> argparse.ArgumentParser:
         "raw": "CSV files, at any depth",
         "lake": "Parquet trips",
         "ledger": "record of loaded files",
-        "checkpoint": "the stream's record of loaded files",
+        "checkpoint": "the stream's record of what it has read",
+        "sums": "daily sums by batch",
         "report": "daily statistics",
         "model": "fitted fare model",
     }
@@ -43,7 +45,8 @@ def _parser() -> argparse.ArgumentParser:
 
     job("load", "load new CSV files into the lake", "raw", "lake", "ledger")
     job("stream", "the same as a stream", "raw", "lake", "ledger", "checkpoint")
-    job("compact", "merge the lake's batches into one", "lake", "ledger")
+    job("follow", "daily statistics as a stream over the ledger", "lake", "ledger", "sums", "checkpoint")
+    job("compact", "merge the lake's small batches", "lake", "ledger", optional=("sums",))
     job("report", "rebuild the daily statistics", "lake", "report", optional=("ledger",))
     job("preview", "first days of the statistics and trips per month", "lake", optional=("ledger",))
     job("train", "fit and save the fare model", "lake", "model", optional=("ledger",))
@@ -77,7 +80,11 @@ def main() -> None:
             raw = stream_trip_csv(spark, args.raw, TRIP_COLUMNS)
             stream_to_lake(raw, args.lake, args.ledger, args.checkpoint).awaitTermination()
         elif args.job == "compact":
-            print(compact_lake(spark, args.lake, args.ledger))
+            made = compact_lake(spark, args.lake, args.ledger, args.sums)
+            print(f"{len(made)} merged batch(es) written")
+        elif args.job == "follow":
+            follow_ledger(spark, args.lake, args.ledger, args.sums, args.checkpoint).awaitTermination()
+            stats.first_days(followed_report(spark, args.ledger, args.sums)).show()
         elif args.job == "report":
             refresh_daily_report(_trips(spark, args), args.report).show(5)
         elif args.job == "preview":

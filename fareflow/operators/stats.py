@@ -83,10 +83,14 @@ def daily_sums(trips: DataFrame, *keys: str, pickup: str = PICKUP) -> DataFrame:
     return days.agg(*[c.alias(n) for n, c in _sums().items()])
 
 
+def added_sums(sums: DataFrame, *keys: str) -> DataFrame:
+    """Any number of ``daily_sums`` as one, by day and any further keys."""
+    return sums.groupBy("bucket", *keys).agg(*[F.sum(n).alias(n) for n in _sums()])
+
+
 def merged_days(sums: DataFrame, calculated_at: Column | datetime | None = None) -> DataFrame:
     """Every measure by day from any number of ``daily_sums``."""
-    days = sums.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in _sums()])
-    return _measured(days, calculated_at, F.col("bucket"))
+    return _measured(added_sums(sums), calculated_at, F.col("bucket"))
 
 
 def closing_days(trips: DataFrame, late_by: str, pickup: str = PICKUP) -> DataFrame:

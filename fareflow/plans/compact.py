@@ -1,37 +1,110 @@
-"""Merge the lake's many small batches into one."""
+"""Merge the lake's small batches, tier by tier, and leave the large ones alone."""
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.schema import BATCH_LAKE_COLUMNS, LEDGER_COLUMNS
-from fareflow.sources.lake import loaded_batches, read_lake, write_lake
-from fareflow.sources.ledger import read_ledger
+from fareflow.plans.report import carry_sums
+from fareflow.schema import BATCH_LAKE_COLUMNS
+from fareflow.session import MIB
+from fareflow.sources.claims import Claim, claimed
+from fareflow.sources.lake import write_lake
+from fareflow.sources.ledger import append, batch_sizes, read_ledger
 
+# A tier is ``FAN_IN`` times as large as the one before, and is merged once it holds as many batches.
+FAN_IN = 4
+SMALLEST = 64 * MIB
+LARGEST = 1024 * 1024 * MIB
+# Batches that one merge takes in; a fuller tier takes several merges.
+MOST_INPUTS = 500
 
-def compact_lake(spark: SparkSession, lake_root: str, ledger_root: str, at: datetime | None = None) -> str:
-    """Write all loaded batches as one and record it; returns its id.
 
-    One ledger file names the new batch as loaded and the old ones as merged, so readers
-    see either all old batches or the new one. The files stay recorded as loaded. The new
-    batch counts as unpublished: the next daily run sums it once, in place of the old ones.
+def compact_lake(
+    spark: SparkSession,
+    lake_root: str,
+    ledger_root: str,
+    sums_root: str | None = None,
+    at: datetime | None = None,
+    fan_in: int = FAN_IN,
+    smallest: int = SMALLEST,
+    largest: int = LARGEST,
+) -> list[str]:
+    """Merge batches of one size tier while a tier holds ``fan_in``; returns the new batches' ids.
+
+    Batches below ``smallest`` bytes share the first tier; those of ``largest`` or more stay as
+    they are. So a row is written anew once a tier, not once a run, and only the folders of
+    the merged batches are listed and read. Rows are gathered by month as in any load.
+
+    Published and unpublished batches never mix. What is made of published ones is published:
+    with ``sums_root``, their daily sums are added up and carried over, so no report reads trips
+    again. Without it, the next report sums the new batch once.
+
+    One ledger file names the new batch as loaded and the old ones as merged, so readers see
+    either the old batches or the new one. A claim lets only one compaction run at a time.
     Old folders stay for readers that have begun; ``remove_merged`` deletes them.
     """
+    if fan_in < 2:
+        raise ValueError(f"fan_in must be 2 at least, not {fan_in}")
     at = at or datetime.now(timezone.utc)
-    book = read_ledger(spark, ledger_root)
-    batch_id = f"c-{uuid.uuid4().hex}"
-    rows = read_lake(spark, lake_root, ledger=book, schema=BATCH_LAKE_COLUMNS)
-    write_lake(rows, f"{lake_root}/batch_id={batch_id}", "overwrite")
-    old = loaded_batches(book).withColumn("status", F.lit("merged"))
-    new = spark.range(0, 1, 1, 1).select(F.lit(batch_id).alias("batch_id"), F.lit("loaded").alias("status"))
-    entries = old.unionByName(new).withColumn("recorded_at", F.lit(at))
-    empty = spark.createDataFrame([], LEDGER_COLUMNS)
-    empty.unionByName(entries, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(ledger_root)
-    return batch_id
+    made = []
+    with claimed(spark, ledger_root, "compact") as claim:
+        while inputs := _next_inputs(read_ledger(spark, ledger_root), fan_in, smallest, largest):
+            made.append(_merge(spark, lake_root, ledger_root, sums_root, inputs, at, claim))
+    return made
+
+
+def _next_inputs(book: DataFrame, fan_in: int, smallest: int, largest: int) -> list:
+    """The batches to merge next: of the lowest tier that is full."""
+    sizes = batch_sizes(book).where(F.col("bytes") < largest)
+    over = F.log(float(fan_in), F.col("bytes") / F.lit(float(smallest)))
+    sizes = sizes.withColumn("tier", F.when(F.col("bytes") < smallest, 0).otherwise(F.floor(over) + 1))
+    tiers = sizes.groupBy("published", "tier").agg(F.count(F.lit(1)).alias("batches"))
+    full = tiers.where(F.col("batches") >= fan_in).orderBy("tier", "published").first()
+    if full is None:
+        return []
+    chosen = sizes.where((F.col("tier") == full.tier) & (F.col("published") == full.published))
+    return chosen.orderBy("bytes", "batch_id").limit(MOST_INPUTS).collect()
+
+
+def _merge(
+    spark: SparkSession,
+    lake_root: str,
+    ledger_root: str,
+    sums_root: str | None,
+    inputs: list,
+    at: datetime,
+    claim: Claim,
+) -> str:
+    ids = sorted(row.batch_id for row in inputs)
+    new = f"c-{hashlib.md5(chr(10).join(ids).encode()).hexdigest()}"
+    reader = spark.read.schema(BATCH_LAKE_COLUMNS).option("basePath", lake_root)
+    rows = reader.parquet(*[f"{lake_root}/batch_id={i}" for i in ids]).drop("batch_id")
+    write_lake(rows, f"{lake_root}/batch_id={new}", "overwrite")
+    published = inputs[0].published and sums_root is not None
+    if published:
+        carry_sums(spark, sums_root, ids, new)
+    claim.check()
+    append(spark, ledger_root, _entries(spark, read_ledger(spark, ledger_root), ids, new, inputs, published, at))
+    return new
+
+
+def _entries(
+    spark: SparkSession, book: DataFrame, ids: list[str], new: str, inputs: list, published: bool, at: datetime
+) -> DataFrame:
+    """The ledger rows of one merge: the old batches, those they had replaced, and the new one."""
+    size = sum(row.bytes for row in inputs)
+    rows = [(i, "merged", None, new) for i in ids] + [(new, "loaded", size, None)]
+    rows += [(new, "published", None, None)] if published else []
+    entries = spark.createDataFrame(rows, "batch_id string, status string, length long, merged_into string")
+    before = book.where(F.col("merged_into").isin(ids)).select("batch_id").distinct()
+    origins = before.select(
+        "batch_id", F.lit("origin").alias("status"), F.lit(None).cast("long").alias("length"), F.lit(new).alias("merged_into")
+    )
+    return entries.union(origins).withColumn("recorded_at", F.lit(at))
 
 
 def remove_merged(spark: SparkSession, lake_root: str, ledger_root: str) -> None:

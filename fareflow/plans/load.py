@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
-from fareflow.schema import LEDGER_COLUMNS
 from fareflow.session import scratch_path
+from fareflow.sources.claims import Claim, claimed
 from fareflow.sources.lake import write_lake
-from fareflow.sources.ledger import list_files, new_files, read_ledger, record
+from fareflow.sources.ledger import append, list_files, new_files, read_ledger, record
 from fareflow.sources.trip_csv import read_trip_csv
 
 # What Spark says when the data of a file, rather than the job, is at fault.
@@ -58,8 +58,11 @@ def load_new_files(
     batch is one Spark read and one write to a folder of its own, ``batch_id=...``. Its
     ledger rows follow in one file; only then do readers see it. A run that dies in
     between leaves a folder nobody reads, and the next run loads those files anew. The
-    batch's name follows from its files, so two runs over the same files write the same
-    folder and no row counts twice.
+    batch's name follows from its files, so a run that is repeated writes the same folder.
+
+    A batch is loaded under a claim on the ledger, and what the ledger holds by then is left
+    out of it. So runs at the same time, whatever each of them has listed, take turns by batch
+    and load every file once.
 
     An unreadable file is recorded as failed and its batch tried again without it. Call
     ``check()`` on the report to raise for failed files. ``files`` may hold the listing.
@@ -71,8 +74,10 @@ def load_new_files(
     report = LoadReport()
     for k in range(count):
         part = pending.where(F.pmod(F.xxhash64("path"), F.lit(count)) == k)
-        paths = [row.path for row in part.select("path").collect()]
-        _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report)
+        with claimed(spark, ledger_root, "load") as claim:
+            part = new_files(part, read_ledger(spark, ledger_root))
+            paths = [row.path for row in part.select("path").collect()]
+            _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report, claim)
     return report
 
 
@@ -93,8 +98,7 @@ def mark_published(
             "recorded_at": F.lit(at or datetime.now(timezone.utc)),
         }
     )
-    empty = spark.createDataFrame([], LEDGER_COLUMNS)
-    empty.unionByName(rows, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(ledger_root)
+    append(spark, ledger_root, rows)
 
 
 def lake_rows(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
@@ -126,6 +130,7 @@ def _load_batch(
     loaded_at: datetime,
     match_header: bool,
     report: LoadReport,
+    claim: Claim,
 ) -> None:
     """Load the files named by ``paths``, a bounded number, setting unreadable ones apart."""
     while paths:
@@ -142,14 +147,16 @@ def _load_batch(
                 middle = len(paths) // 2
                 for part in (paths[:middle], paths[middle:]):
                     of_part = files.where(F.col("path").isin(part))
-                    _load_batch(of_part, part, lake_root, ledger_root, loaded_at, match_header, report)
+                    _load_batch(of_part, part, lake_root, ledger_root, loaded_at, match_header, report, claim)
                 return
+            claim.check()
             record(ledger_root, files.where(F.col("path") == bad), batch_id, "failed", loaded_at, reason)
             report.failed += 1
             report.first_failed = report.first_failed or bad
             paths = [p for p in paths if p != bad]
             files = files.where(F.col("path") != bad)
         else:
+            claim.check()
             record(ledger_root, files, batch_id, "loaded", loaded_at)
             report.loaded += len(paths)
             report.batches += 1

@@ -87,6 +87,15 @@ _CLOSED = """HAVING date_trunc('day', tpep_pickup_datetime) + INTERVAL 1 DAY <=
     SELECT max(tpep_pickup_datetime) - INTERVAL 1 DAY FROM valid)"""
 
 
+def _followed() -> str:
+    columns = ", ".join(f"{sql} AS {name}" for name, sql in _REPORT + _DROPPED)
+    return f"""WITH {TRIPS},
+steps(step, most) AS (VALUES ('first', 2), ('late', 9), ('compacted', 9), ('followed', 9))
+SELECT date_trunc('day', tpep_pickup_datetime) AS date, {columns}, step
+FROM valid, steps WHERE tpep_pickup_datetime IS NOT NULL AND coalesce(passenger_count, -1) <= most
+GROUP BY 1, step"""
+
+
 _IN_RANGE = """trip_distance > 0 AND trip_distance <= 100
     AND {label} > 2.5 AND {label} < 200 AND passenger_count > 0 AND passenger_count <= 6"""
 
@@ -284,7 +293,6 @@ SELECT trip_id, trip_distance, fare_amount FROM fares WHERE md5(trip_id) < '{_SA
         "random_split": f"""WITH {_training()}
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, TRUE AS share_is_near FROM training""",
         "fare_model": _coefficients(_ELASTIC_NET, 4),
-        "fare_model_by_row": _coefficients(_ELASTIC_NET, 4),
         "fare_model_ols": _OLS_ERRORS,
         "model_summary": _SUMMARY,
         "model_summary_ols": _SUMMARY_OLS,
@@ -322,6 +330,9 @@ FROM trips""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
         "compacted_lake": _LAKE,
+        "compacted_report": report,
+        "concurrent_loads": _LAKE,
+        "followed_ledger": _followed(),
         "stream_daily_stats": _daily(_REPORT + _DROPPED),
         "stream_closed_days": _daily(_REPORT + _DROPPED, _CLOSED),
         "dead_batch_hidden": f"""WITH {TRIPS}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from functools import partial, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegressionModel
@@ -14,13 +16,14 @@ from fareflow.functions import in_split, round_stable
 from fareflow.operators import fares, stats, trips
 from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.daily import Folders, run_daily
-from fareflow.plans.load import load_new_files, mark_published, stored_listing
+from fareflow.plans.load import lake_rows, load_new_files, mark_published, stored_listing
 from fareflow.plans.report import add_batch_sums, merge_batch_sums, refresh_daily_report
 from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT, DROPOFF, TRIP_COLUMNS
 from fareflow.session import scratch_path
 from fareflow.sources import lake, ledger
 from fareflow.sources.tables import fares_from_tables, trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
+from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake
 from fareflow.streaming.stats import (
     append_closed_days,
@@ -390,15 +393,86 @@ def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
 
 
+def _in_rounds(spark: SparkSession, sf_dir: str) -> Folders:
+    """Three rounds of loading, reporting and compaction; merged batches go."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw)
+    for k in range(3):
+        part = files.where(F.pmod(F.xxhash64("path"), F.lit(3)) == k)
+        load_new_files(spark, at.raw, at.lake, at.ledger, files=part, files_per_batch=15)
+        book = ledger.read_ledger(spark, at.ledger)
+        fresh = stored_listing(ledger.unpublished_batches(book))
+        add_batch_sums(spark, at.lake, book, at.sums)
+        mark_published(spark, at.ledger, fresh)
+        compact_lake(spark, at.lake, at.ledger, at.sums, fan_in=2)
+        remove_merged(spark, at.lake, at.ledger)
+    return at
+
+
 def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake contents after its batches were merged into one and the old ones deleted."""
-    at = _loaded(spark, sf_dir)
-    compact_lake(spark, at.lake, at.ledger)
-    remove_merged(spark, at.lake, at.ledger)
+    """Lake contents after three rounds of loading and compaction."""
+    at = _in_rounds(spark, sf_dir)
     rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
     return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
 
 
+def compacted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after those rounds, from sums that compaction carried over."""
+    at = _in_rounds(spark, sf_dir)
+    return unzoned(merge_batch_sums(spark, ledger.read_ledger(spark, at.ledger), at.sums, at.report, load_time()))
+
+
+def concurrent_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake contents after two loads at once, each with a listing of its own, and then two compactions."""
+    at = _places(spark)
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw)
+    shares = [F.pmod(F.xxhash64("path"), F.lit(3)) != k for k in range(2)]
+
+    def load(share: Column) -> None:
+        load_new_files(spark, at.raw, at.lake, at.ledger, files=files.where(share), files_per_batch=30)
+
+    def compact(_: Column) -> None:
+        compact_lake(spark, at.lake, at.ledger, fan_in=2)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(load, shares))
+        list(pool.map(compact, shares))
+    rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
+    return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
+
+
+def followed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a stream over the ledger: before and after a batch that is recorded late,
+    after a compaction the stream has not seen, and after the stream has seen it."""
+    at, checkpoint = _places(spark), scratch_path(spark, "checkpoint")
+    _write_raw_csv(spark, sf_dir, at.raw)
+    files = ledger.list_files(spark, at.raw)
+    source = F.regexp_extract("path", "source=([^/]+)", 1).cast("int")
+    load_new_files(spark, at.raw, at.lake, at.ledger, files=files.where(source <= 2), files_per_batch=20)
+    late = stored_listing(files.where(source > 2))
+    rows = lake_rows(read_trip_csv(spark, [row.path for row in late.collect()]))
+    lake.write_lake(rows, f"{at.lake}/batch_id=b-late", "overwrite")
+    reports = []
+
+    def look(step: str, follow: bool = True) -> None:
+        if follow:
+            follow_ledger(spark, at.lake, at.ledger, at.sums, checkpoint, files_per_trigger=2).awaitTermination()
+        path = scratch_path(spark, "followed")
+        followed_report(spark, at.ledger, at.sums).drop("calculated_at").write.parquet(path)
+        reports.append(spark.read.parquet(path).withColumn("step", F.lit(step)))
+
+    look("first")
+    ledger.record(at.ledger, late, "b-late", "loaded", datetime(2024, 1, 1, tzinfo=timezone.utc))
+    look("late")
+    compact_lake(spark, at.lake, at.ledger, fan_in=2)
+    remove_merged(spark, at.lake, at.ledger)
+    look("compacted", follow=False)
+    look("followed")
+    return unzoned(reduce(DataFrame.unionByName, reports))
+
+
 def dead_batch_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What batch and stream readers see of a lake in which a dead run left a batch."""
     at = _loaded(spark, sf_dir)
@@ -407,9 +481,10 @@ def dead_batch_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.write_lake(seen, f"{at.lake}/batch_id=b-dead", "overwrite")
     again = lake.read_lake(spark, at.lake, ledger=book)
     path = scratch_path(spark, "seen")
-    streamed = stream_lake(spark, at.lake, BATCH_LAKE_COLUMNS, ledger=book)
+    checkpoint = scratch_path(spark, "checkpoint")
+    streamed = stream_lake(spark, at.lake, BATCH_LAKE_COLUMNS, ledger=book, checkpoint=checkpoint)
     sink = streamed.writeStream.format("parquet").option("path", path).trigger(availableNow=True)
-    sink.option("checkpointLocation", scratch_path(spark, "checkpoint")).start().awaitTermination()
+    sink.option("checkpointLocation", checkpoint).start().awaitTermination()
     shown = [*RAW_COLUMNS, "year", "month"]
     both = [(again, "batch"), (spark.read.parquet(path), "stream")]
     one, two = (unzoned(rows).select(*shown, F.lit(via).alias("via")) for rows, via in both)
@@ -508,7 +583,6 @@ def queries() -> dict[str, Query]:
         "train_test_split": train_test_split,
         "random_split": random_split,
         "fare_model": fare_model,
-        "fare_model_by_row": fare_model,
         "fare_model_ols": fare_model_ols,
         "model_summary": model_summary,
         "model_summary_ols": model_summary_ols,
@@ -533,6 +607,9 @@ def queries() -> dict[str, Query]:
         "stream_daily_stats": stream_daily_stats,
         "stream_closed_days": stream_closed_days,
         "compacted_lake": compacted_lake,
+        "compacted_report": compacted_report,
+        "concurrent_loads": concurrent_loads,
+        "followed_ledger": followed_ledger,
         "dead_batch_hidden": dead_batch_hidden,
         "incremental_report": incremental_report,
         "daily_run": daily_run,

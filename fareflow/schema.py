@@ -46,7 +46,8 @@ PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
 # One row per file and attempt, plus one `published` row per batch once the
-# downstream jobs have covered it.
+# downstream jobs have covered it. Compaction adds a `merged` row for each batch it
+# replaces and an `origin` row for each that those had replaced; both name the new batch.
 LEDGER_COLUMNS = """
     path STRING,
     length BIGINT,
@@ -54,5 +55,19 @@ LEDGER_COLUMNS = """
     batch_id STRING,
     status STRING,
     error STRING,
-    recorded_at TIMESTAMP
+    recorded_at TIMESTAMP,
+    merged_into STRING
+"""
+
+# What the daily measures are made of, by day and batch.
+SUMS_COLUMNS = """
+    bucket TIMESTAMP,
+    trips BIGINT,
+    revenue DOUBLE,
+    miles DOUBLE,
+    minutes DOUBLE,
+    tips DOUBLE,
+    tipped BIGINT,
+    fares DOUBLE,
+    batch_id STRING
 """

@@ -127,6 +127,12 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
     return sorted(done)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """What the files below a folder add up to."""
+    system, folder = _hadoop(spark, path)
+    return system.getContentSummary(folder).getLength()
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 

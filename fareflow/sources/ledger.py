@@ -74,6 +74,13 @@ def record(
     rows.withColumns(missing).select(*have).coalesce(1).write.mode("append").parquet(ledger_root)
 
 
+def append(spark: SparkSession, ledger_root: str, rows: DataFrame) -> None:
+    """Add rows that have some of the ledger's columns, in a single file."""
+    empty = spark.createDataFrame([], LEDGER_COLUMNS)
+    whole = empty.unionByName(rows, allowMissingColumns=True)
+    whole.coalesce(1).write.mode("append").parquet(ledger_root)
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     """A frame of one row and no ledger column, for entries that are about no file."""
     return spark.range(0, 1, 1, numPartitions=1).drop("id")
@@ -95,6 +102,18 @@ def base_name(path: str = "path") -> Column:
     return F.substring_index(F.col(path), "/", -1)
 
 
+def batch_sizes(ledger: DataFrame) -> DataFrame:
+    """``batch_id``, ``bytes`` and ``published`` of every batch that readers see.
+
+    Bytes are those of the files a batch was loaded from, as recorded; unknown ones count zero.
+    """
+    bytes_ = F.sum(F.coalesce(F.when(F.col("status") == "loaded", F.col("length")), F.lit(0)))
+    known = ledger.groupBy("batch_id").agg(
+        bytes_.alias("bytes"), F.bool_or(F.col("status") == "published").alias("published")
+    )
+    return known.join(loaded_batches(ledger), "batch_id", "left_semi")
+
+
 def unpublished_batches(ledger: DataFrame) -> DataFrame:
     """Loaded batches that the downstream jobs have not covered yet."""
     published = ledger.where(F.col("status") == "published").select("batch_id")

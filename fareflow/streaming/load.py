@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
-from fareflow.sources.lake import write_lake
+from fareflow.sources.lake import stored_bytes, write_lake
 from fareflow.sources.ledger import one_row, record
 
 
@@ -38,8 +38,11 @@ def stream_to_lake(
 
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"s-{name}-{number}"
-        write_lake(batch, f"{lake_root}/batch_id={batch_id}", "overwrite")
-        record(ledger_root, one_row(batch.sparkSession), batch_id, "loaded", datetime.now(timezone.utc))
+        folder = f"{lake_root}/batch_id={batch_id}"
+        write_lake(batch, folder, "overwrite")
+        written = F.lit(stored_bytes(batch.sparkSession, folder)).cast("long")
+        entry = one_row(batch.sparkSession).withColumn("length", written)
+        record(ledger_root, entry, batch_id, "loaded", datetime.now(timezone.utc))
 
     return (
         rows.writeStream.foreachBatch(load)

@@ -17,11 +17,14 @@ def stream_lake(
     schema: str,
     files_per_trigger: int | None = 10_000,
     ledger: DataFrame | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """The lake's Parquet files as a stream.
 
-    A lake written in batches needs its ledger, and the stream then shows the batches
-    that are loaded when it starts; it is for one pass over what is there.
+    A lake written in batches needs its ledger, and the stream then shows the batches that are
+    loaded when it starts, in one pass. A second run would miss batches that were recorded late and
+    repeat merged ones, so the ``checkpoint`` must be given too, and an error is raised if it has
+    been used. For statistics that go on, see ``feed.follow_ledger``.
     """
     reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if files_per_trigger is not None:
@@ -31,13 +34,19 @@ def stream_lake(
         if _written_in_batches(spark, root):
             raise ValueError("give the schema with batch_id, and the ledger")
         return lake
-    if ledger is None:
-        raise ValueError("a lake written in batches is read through its ledger")
+    if ledger is None or checkpoint is None:
+        raise ValueError("a lake written in batches is read through its ledger, with a fresh checkpoint")
+    if _found(spark, f"{checkpoint}/offsets/*"):
+        raise ValueError(f"{checkpoint} has been used; a lake of batches is streamed in one pass")
     return lake.join(loaded_batches(ledger), "batch_id", "left_semi").drop("batch_id")
 
 
 def _written_in_batches(spark: SparkSession, root: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id=*")
+    return _found(spark, f"{root}/batch_id=*")
+
+
+def _found(spark: SparkSession, pattern: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
     return found is not None and len(found) > 0
 

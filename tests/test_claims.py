@@ -1,0 +1,72 @@
+"""One holder at a time, and what happens to those who die."""
+
+import time
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from fareflow.sources import claims
+from fareflow.sources.claims import Claim, ClaimLost, claimed
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "ledger")
+
+
+def test_only_one_holds(spark, root, monkeypatch):
+    monkeypatch.setattr(claims, "EVERY", 0.01)
+    inside, most = [], []
+
+    def work(k):
+        with claimed(spark, root, "load"):
+            inside.append(k)
+            most.append(len(inside))
+            time.sleep(0.05)
+            inside.remove(k)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(8)))
+    assert most == [1] * 8
+
+
+def test_names_are_apart(spark, root):
+    with claimed(spark, root, "load"), claimed(spark, root, "compact", wait=0):
+        pass
+
+
+def test_waiting_has_an_end(spark, root):
+    with claimed(spark, root, "load"):
+        with pytest.raises(TimeoutError):
+            with claimed(spark, root, "load", wait=0):
+                pass
+
+
+def test_dead_holder_is_replaced(spark, root):
+    dead = Claim(spark, root, "load", lasts=0.2)
+    assert dead.try_take()
+    other = Claim(spark, root, "load")
+    assert not other.try_take()
+    time.sleep(0.3)
+    assert other.try_take()
+    with pytest.raises(ClaimLost):
+        dead.check()
+    dead.release()
+    other.check()
+    assert not Claim(spark, root, "load").try_take()
+    other.release()
+    assert Claim(spark, root, "load").try_take()
+
+
+def test_a_long_hold_is_renewed(spark, root):
+    with claimed(spark, root, "load", lasts=0.4) as held:
+        time.sleep(1)
+        assert not Claim(spark, root, "load").try_take()
+        held.check()
+
+
+def test_error_releases(spark, root):
+    with pytest.raises(ZeroDivisionError):
+        with claimed(spark, root, "load"):
+            1 / 0
+    assert Claim(spark, root, "load").try_take()

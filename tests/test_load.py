@@ -1,6 +1,7 @@
 """Files in, each exactly once, whatever goes wrong on the way."""
 
 import gzip
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from pathlib import Path
 
@@ -12,9 +13,11 @@ from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.daily import Folders, run_daily
 import fareflow.sources.ledger as ledger_module
 from fareflow.plans.load import LoadError, lake_rows, load_new_files
-from fareflow.sources.lake import read_lake, write_lake
+from fareflow.plans.report import read_sums
+from fareflow.sources.lake import loaded_batches, read_lake, write_lake
 from fareflow.sources.ledger import (
     absent_files,
+    batch_sizes,
     has_new_data,
     list_files,
     new_files,
@@ -264,9 +267,102 @@ def test_compaction_keeps_rows_files_and_report(spark, at):
     run_daily(spark, to)
     put(raw, "b.csv", *[line(1 + n % 28, 0.7 + n / 10) for n in range(100)])
     before = run_daily(spark, to).report.drop("calculated_at").collect()
-    compact_lake(spark, to.lake, to.ledger)
+    assert compact_lake(spark, to.lake, to.ledger) == []
+    assert len(compact_lake(spark, to.lake, to.ledger, fan_in=2)) == 1
     remove_merged(spark, to.lake, to.ledger)
     assert lake_count(spark, to) == 200 and len(list(Path(to.lake).glob("batch_id=*"))) == 1
     again = run_daily(spark, to)
     assert again.load.loaded == 0 and again.report.drop("calculated_at").collect() == before
     assert not run_daily(spark, to).open_before
+
+
+def put_month(raw, name, rows, days=28):
+    put(raw, name, *[line(1 + n % days, 0.5 + n / 10) for n in range(rows)])
+
+
+def test_compaction_carries_sums(spark, at):
+    """A run after the compaction has nothing to do, and the report stays."""
+    raw, to = at
+    reports = []
+    for k in range(3):
+        put_month(raw, f"{k}.csv", 40 + k)
+        reports.append(run_daily(spark, to).report.drop("calculated_at").collect())
+        compact_lake(spark, to.lake, to.ledger, to.sums, fan_in=2)
+        remove_merged(spark, to.lake, to.ledger)
+        assert not run_daily(spark, to).open_before
+    put_month(raw, "last.csv", 5)
+    after = run_daily(spark, to).report
+    assert lake_count(spark, to) == 40 + 41 + 42 + 5
+    assert sum(r.total_trips for r in after.collect()) == 128
+
+
+def test_large_batches_are_neither_read_nor_written(spark, at):
+    raw, to = at
+    put_month(raw, "large.csv", 2000)
+    load(spark, to)
+    large = loaded_batches(read_ledger(spark, to.ledger)).first().batch_id
+    for k in range(2):
+        put_month(raw, f"small{k}.csv", 3)
+        load(spark, to)
+    bytes_of = {r.batch_id: r.bytes for r in batch_sizes(read_ledger(spark, to.ledger)).collect()}
+    limit = bytes_of[large]
+    assert max(v for k, v in bytes_of.items() if k != large) * 4 < limit
+    kept = {p: p.stat().st_mtime_ns for p in Path(f"{to.lake}/batch_id={large}").rglob("*")}
+    for p in Path(f"{to.lake}/batch_id={large}").rglob("*.parquet"):
+        p.chmod(0o000)
+        p.write_bytes(b"broken")  # a reader would fail
+    made = compact_lake(spark, to.lake, to.ledger, fan_in=2, smallest=limit // 4)
+    assert len(made) == 1
+    left = {r.batch_id: r.bytes for r in batch_sizes(read_ledger(spark, to.ledger)).collect()}
+    assert left == {large: limit, made[0]: sum(v for k, v in bytes_of.items() if k != large)}
+    assert set(kept) == set(Path(f"{to.lake}/batch_id={large}").rglob("*"))
+    assert compact_lake(spark, to.lake, to.ledger, fan_in=2, smallest=limit * 10, largest=limit) == []
+
+
+def test_published_and_unpublished_do_not_mix(spark, at):
+    raw, to = at
+    put_month(raw, "a.csv", 3)
+    run_daily(spark, to)
+    put_month(raw, "b.csv", 3)
+    load(spark, to)
+    assert compact_lake(spark, to.lake, to.ledger, to.sums, fan_in=2) == []
+
+
+def test_two_loads_at_once_take_every_file_once(spark, at):
+    raw, to = at
+    for k in range(6):
+        put(raw, f"{k}.csv", line(1 + k))
+    files = list_files(spark, to.raw)
+    shares = [files.where("path NOT LIKE '%/0.csv'"), files.where("path NOT LIKE '%/1.csv'")]
+    with ThreadPoolExecutor(2) as pool:
+        reports = list(pool.map(lambda share: load(spark, to, files=share, files_per_batch=2), shares))
+    assert sum(r.loaded for r in reports) == 6 and lake_count(spark, to) == 6
+    loaded = read_ledger(spark, to.ledger).where("status = 'loaded'")
+    assert loaded.count() == loaded.select("path").distinct().count() == 6
+
+
+def test_two_compactions_at_once_count_once(spark, at):
+    raw, to = at
+    for k in range(4):
+        put(raw, f"{k}.csv", line(1 + k))
+        load(spark, to)
+    with ThreadPoolExecutor(2) as pool:
+        made = list(pool.map(lambda _: compact_lake(spark, to.lake, to.ledger), range(2)))
+    assert sorted(map(len, made)) == [0, 1] and lake_count(spark, to) == 4
+
+
+def test_a_load_that_lost_its_claim_records_nothing(spark, at, monkeypatch):
+    from fareflow.sources import claims
+
+    raw, to = at
+    put(raw, "a.csv", line(1))
+
+    def lost(self):
+        raise claims.ClaimLost("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(claims.Claim, "check", lost)
+        with pytest.raises(claims.ClaimLost):
+            load(spark, to)
+    assert read_ledger(spark, to.ledger).isEmpty()
+    assert load(spark, to).loaded == 1 and lake_count(spark, to) == 1

@@ -1,6 +1,6 @@
 """The streams agree with their batch forms."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from fareflow.operators.stats import daily_stats_full
 from fareflow.operators.trips import enrich_trips
+from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.load import lake_rows
 from fareflow.plans.load import load_new_files
+from fareflow.plans.report import read_sums
 from fareflow.schema import BATCH_LAKE_COLUMNS
 from fareflow.sources.lake import read_lake, write_lake
-from fareflow.sources.ledger import read_ledger
+from fareflow.sources.ledger import one_row, read_ledger, record
 from fareflow.sources.tables import trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
+from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake, with_source_file
 from fareflow.streaming.stats import append_closed_days, finish, keep_daily_sums, stream_lake, streamed_report
+from tests.helpers import make_trips
 from tests.test_load import line, put
 
 AT = datetime(2024, 1, 1)
@@ -162,3 +166,106 @@ def test_closed_days_are_a_subset_of_batch(spark, lake, tmp_path):
     assert 0 < len(batch_rows) - len(closed_rows) <= 3
     newest = batch.agg(F.max("date")).first()[0]
     assert closed.where(F.col("date") == newest).isEmpty()
+
+
+def test_used_checkpoint_is_refused_for_batches(spark, folders, tmp_path):
+    raw, lake, _ = folders
+    load_new_files(spark, str(raw), lake, lake + "-ledger")
+    book, checkpoint = read_ledger(spark, lake + "-ledger"), str(tmp_path / "once")
+    stream = stream_lake(spark, lake, BATCH_LAKE_COLUMNS, ledger=book, checkpoint=checkpoint)
+    keep_daily_sums(stream, str(tmp_path / "sums"), checkpoint).awaitTermination()
+    with pytest.raises(ValueError, match="has been used"):
+        stream_lake(spark, lake, BATCH_LAKE_COLUMNS, ledger=book, checkpoint=checkpoint)
+
+
+class Followed:
+    """A lake of batches whose ledger a stream follows."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.lake, self.ledger, self.sums = spark, f"{folder}/l", f"{folder}/b", f"{folder}/s"
+        self.checkpoint = f"{folder}/c"
+
+    def write(self, name, days):
+        pickups = [datetime(2024, 1, d, 10) for d in days]
+        rows = make_trips(self.spark, *[
+            {"tpep_pickup_datetime": p, "tpep_dropoff_datetime": p + timedelta(minutes=10)} for p in pickups
+        ])
+        write_lake(enrich_trips(rows, AT), f"{self.lake}/batch_id={name}", "overwrite")
+
+    def enter(self, name):
+        record(self.ledger, one_row(self.spark), name, "loaded", AT)
+
+    def follow(self):
+        query = follow_ledger(self.spark, self.lake, self.ledger, self.sums, self.checkpoint, files_per_trigger=1)
+        query.awaitTermination()
+        return query
+
+    def trips(self):
+        return {r.date.day: r.total_trips for r in followed_report(self.spark, self.ledger, self.sums).collect()}
+
+
+def test_followed_ledger_counts_every_trip_once(spark, tmp_path):
+    it = Followed(spark, tmp_path)
+    it.write("b1", [1, 2])
+    it.write("b2", [2, 3])
+    it.enter("b1")
+    it.follow()
+    assert it.trips() == {1: 1, 2: 1}
+    it.enter("b2")  # recorded late
+    it.follow()
+    assert it.trips() == {1: 1, 2: 2, 3: 1}
+    it.write("b3", [9])
+    it.enter("b3")  # merged before the stream sees it
+    compact_lake(spark, it.lake, it.ledger, fan_in=3)
+    remove_merged(spark, it.lake, it.ledger)
+    assert it.trips() == {1: 1, 2: 2, 3: 1}
+    it.follow()
+    assert it.trips() == {1: 1, 2: 2, 3: 1, 9: 1}
+    it.write("b4", [9])
+    it.enter("b4")
+    compact_lake(spark, it.lake, it.ledger, fan_in=2)  # merges what a merge had made
+    assert it.trips() == {1: 1, 2: 2, 3: 1, 9: 1}
+    it.follow()
+    assert it.trips() == {1: 1, 2: 2, 3: 1, 9: 2}
+    it.follow()
+    assert it.trips() == {1: 1, 2: 2, 3: 1, 9: 2}
+
+
+def test_merge_of_a_merge_that_was_never_followed(spark, tmp_path):
+    it = Followed(spark, tmp_path)
+    for k, name in enumerate(("b1", "b2")):
+        it.write(name, [1 + k])
+        it.enter(name)
+    it.follow()
+    compact_lake(spark, it.lake, it.ledger, fan_in=2)
+    it.write("b3", [5])
+    it.enter("b3")
+    compact_lake(spark, it.lake, it.ledger, fan_in=2)
+    remove_merged(spark, it.lake, it.ledger)
+    assert it.trips() == {1: 1, 2: 1}
+    it.follow()
+    assert it.trips() == {1: 1, 2: 1, 5: 1}
+
+
+def test_merged_batch_takes_over_sums_unread(spark, tmp_path):
+    it = Followed(spark, tmp_path)
+    for name in ("b1", "b2"):
+        it.write(name, [4])
+        it.enter(name)
+    it.follow()
+    (new,) = compact_lake(spark, it.lake, it.ledger, fan_in=2)
+    for file in Path(f"{it.lake}/batch_id={new}").rglob("*.parquet"):
+        file.write_bytes(b"broken")  # a reader would fail
+    it.follow()
+    assert it.trips() == {4: 2}
+    assert read_sums(spark, it.sums).where(F.col("batch_id") == new).count() == 1
+
+
+def test_lost_sums_are_made_up_for(spark, tmp_path):
+    it = Followed(spark, tmp_path)
+    it.write("b1", [4])
+    it.enter("b1")
+    it.follow()
+    it.sums += "-elsewhere"
+    it.follow()
+    assert it.trips() == {4: 1}
