@@ -15,6 +15,7 @@ Characters outside all sections are counted by no section.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,6 +32,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 RULES = ("most", "start", "share")
 
 
+# Fixed value: the characters that the pattern counts as white space. A run of so many is a piece by
+# itself, but for the last one before other text, and the pattern's look-ahead must not walk it.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
 class Encoder:
     def __init__(self, ranks: bytes, pattern: str = PATTERN):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
@@ -39,9 +45,19 @@ class Encoder:
         for token, number in table.items():
             self.sizes[number] = len(token)
 
+    def tokens(self, text: str) -> list[int]:
+        """The tokens of a text, long white space piece by piece as the pattern would cut it."""
+        ids, done = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[done : run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start() : end])
+            done = end
+        return ids + self.encoding.encode_ordinary(text[done:])
+
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and end of every token; a token inside a character spans it whole."""
-        ids = np.array(self.encoding.encode_ordinary(text), dtype=np.int64)
+        ids = np.array(self.tokens(text), dtype=np.int64)
         end = np.cumsum(self.sizes[ids])
         data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
         character = np.cumsum((data & 0xC0) != 0x80) - 1
@@ -65,13 +81,13 @@ def allocate(
     one = first == last
     span = token_end[one] - token_start[one]
     held = np.minimum(token_end[one], ends[first[one]]) - np.maximum(token_start[one], starts[first[one]])
-    out += np.bincount(first[one], (held / span) if rule == "share" else None, len(starts))
+    out += np.bincount(first[one], (held / span) if rule == "share" else held > 0, len(starts))
     for t in np.flatnonzero(first < last):
         some = slice(first[t], last[t] + 1)
         held = np.minimum(token_end[t], ends[some]) - np.maximum(token_start[t], starts[some])
         if rule == "share":
             out[some] += held / (token_end[t] - token_start[t])
-        else:
+        elif held.max() > 0:
             out[first[t] + int(held.argmax())] += 1
     return out
 

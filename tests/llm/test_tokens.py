@@ -87,3 +87,22 @@ def test_fields(spark, encoder):
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         tokens.judge(spark.createDataFrame([], "doc_id long, text string"), rule="middle")
+
+
+def test_long_white_space_is_counted():
+    """Runs that the pattern's look-ahead cannot walk; shorter ones as ever."""
+    with open(tokens.VOCABULARY, "rb") as file:
+        encoder = tokens.Encoder(file.read())
+    plain = encoder.encoding.encode_ordinary
+    for run in (" " * 30_000, "\n" * 30_000, " \n\t" * 10_000, "\u2003" * 12_000):
+        for text in (run, f"a{run}b", f"{run}b", f"a {run}", f"a{run} b{run}c", f"{run}1{run}"):
+            assert encoder.tokens(text) == plain(text)
+    for run in (" " * 5_000_000, "\n" * 5_000_000, " \n" * 2_500_000):
+        starts, ends = encoder.offsets(f"x{run}y")
+        assert starts[0] == 0 and ends[-1] == len(run) + 2 and (starts[1:] == ends[:-1]).all()
+
+
+def test_long_white_space_beside_other_rows(spark):
+    docs = spark.createDataFrame([(1, "a" + " " * 2_000_000 + "b"), (2, "c d")], "doc_id long, text string")
+    counted = {r.doc_id: r.n_tokens for r in tokens.judge(docs).collect()}
+    assert counted[2] == 2 and counted[1] > 2
