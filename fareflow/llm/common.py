@@ -25,6 +25,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with underscores before it until no column begins with it, in whatever case."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting that holds for the block only."""

@@ -1,18 +1,17 @@
 """Quality rules: base counts, then a hashed n-gram log-likelihood ratio. Built-in expressions only.
 
-Words and word pairs fall into a fixed number of hash buckets. Two multinomials over the
-buckets, one of the trusted documents and one of all documents, give each bucket a weight, the
-log of their ratio. A document's score is the mean weight of its n-grams, so length does not
-matter, and a document stays if its score reaches a fixed threshold.
-
-A low score alone also befalls clean documents of a language or source that few labels cover.
-With an ``evidence`` bound, as the op2 query sets it, a document below the threshold goes only
-if the labels speak against its own n-grams: each bucket's share of trusted text in labelled text, drawn to the overall share by a prior of
-``PRIOR`` n-grams, over the overall share. A bucket that no labelled document holds weighs
-zero, however large the corpus.
+Words and word pairs fall into a fixed number of hash buckets. The raw multinomial is their share
+in all documents. The target multinomial is that of a corpus of trusted documents only: each
+bucket's raw share times its rate of trust, the share of trusted text in its labelled text over
+the overall share. ``PRIOR`` n-grams at the overall share, held by every bucket beforehand, draw
+the rate to one. The overall share is that by which the target shares add up to one; it weighs
+buckets as the raw corpus does. A bucket's weight is the log of its target share over its raw
+share: an n-gram that no label covers, as of a new language, weighs zero, however large the
+corpus. A document's score is the mean weight of its n-grams, so length does not matter, and a
+document stays if its score reaches a fixed threshold.
 
 Counting combines before its shuffle to at most one row per bucket and task. The weights
-are two arrays of fixed length that reach the scan as a scalar subquery; scoring reads
+are an array of fixed length that reaches the scan as a scalar subquery; scoring reads
 every row by itself, without a shuffle.
 """
 
@@ -21,16 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import stored
+from fareflow.llm.common import free_name, stored
 
 BUCKETS = 10_000
 SMOOTHING = 0.5
-# Mean log ratio per n-gram that a document must reach.
-THRESHOLD = -0.025
+# Mean log ratio per n-gram that a document must reach. Set on one half of the labels.
+THRESHOLD = -0.05
 # How many n-grams at the overall share of trusted text every bucket holds beforehand.
 PRIOR = 10.0
-# Mean log share of trusted text per n-gram below which the labels speak against a document.
-EVIDENCE = -0.03
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SPACE = r"\x20\x09-\x0D"
@@ -64,7 +61,7 @@ def bucket_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bucket_weights(labelled: DataFrame, raw: DataFrame, text: str = "text") -> DataFrame:
-    """One row, ``weights``: two arrays by bucket, log ratio and evidence of the labels.
+    """One row, ``weights``: the log ratio of target to raw share by bucket.
 
     ``labelled`` has the column ``good``. Without trusted n-grams all are zero.
     """
@@ -79,17 +76,15 @@ def bucket_weights(labelled: DataFrame, raw: DataFrame, text: str = "text") -> D
         .join(judged, "bucket", "left").join(every, "bucket", "left").na.fill(0, ["t", "l", "r"]),
         "quality_counts",
     )
-    totals = counts.agg(*[F.sum(n).alias(n) for n in ("t", "l", "r")]).first()
-    rest = SMOOTHING * BUCKETS
-    share = lambda n, total: F.log((F.col(n) + SMOOTHING) / F.lit(float(total + rest)))
-    weight, evidence = F.lit(0.0), F.lit(0.0)
-    if totals.t:
-        weight = share("t", totals.t) - share("r", totals.r)
-        overall = totals.t / totals.l
-        evidence = F.log((F.col("t") + PRIOR * overall) / ((F.col("l") + PRIOR) * overall))
-    entries = F.array_sort(F.collect_list(F.struct("bucket", weight.alias("w"), evidence.alias("e"))))
-    by = lambda name: F.transform(entries, lambda e: e[name])
-    return counts.agg(F.array(by("w"), by("e")).alias("weights"))
+    t, held = F.col("t"), F.col("l") + PRIOR
+    raw_share = F.col("r") + SMOOTHING  # up to a factor, which the ratio below loses
+    sums = counts.agg(F.sum(raw_share * t / held).alias("t"), F.sum(raw_share * F.col("l") / held).alias("l")).first()
+    weight = F.lit(0.0)
+    if sums.t:
+        overall = sums.t / sums.l
+        weight = F.log((t + PRIOR * overall) / (held * overall))
+    entries = F.array_sort(F.collect_list(F.struct("bucket", weight.alias("w"))))
+    return counts.agg(F.transform(entries, lambda e: e["w"]).alias("weights"))
 
 
 def _repeated_words(windows: Column) -> Column:
@@ -119,14 +114,10 @@ def _windows(words: Column) -> Column:
 
 
 def with_quality(
-    docs: DataFrame, weights: DataFrame, into: str, text: str = "text", threshold: float = THRESHOLD,
-    evidence: float | None = None,
+    docs: DataFrame, weights: DataFrame, into: str, text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: the base counts, the ``score`` and the verdict.
 
-    With ``evidence``, a score below the threshold counts only where the labels' mean evidence
-    is below that bound too.
-
     Null and empty texts have no words, score zero and fail. Windows are compared by their
     64-bit hash. Rows are judged one by one, so repeated rows and any other columns stay.
     """
@@ -143,10 +134,8 @@ def with_quality(
         }
     )
 
-    def mean(table: int) -> Column:
-        total = F.aggregate(at["buckets"], F.lit(0.0), lambda sum_, b: sum_ + F.get(at["table"][table], b))
-        return F.coalesce(F.try_divide(total, F.size(at["buckets"])), F.lit(0.0))
-
+    total = F.aggregate(at["buckets"], F.lit(0.0), lambda sum_, b: sum_ + F.get(at["table"], b))
+    mean = F.coalesce(F.try_divide(total, F.size(at["buckets"])), F.lit(0.0))
     n_words = F.size(at["words"]).cast("long")
     # A row number in the struct keeps Spark from copying all of this into a filter on the verdict.
     base = F.struct(
@@ -156,18 +145,14 @@ def with_quality(
         F.regexp_count(at["text"], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(at["lines"]) - F.size(F.array_distinct(at["lines"]))).cast("long").alias("n_dup_lines"),
         _repeated_words(at["windows"]).alias("n_repeat_words"),
-        mean(0).alias("score"),
-        *([] if evidence is None else [mean(1).alias("evidence")]),
+        mean.alias("score"),
     )
     counted = read.withColumn(into, base).drop(*names.values())
     got = F.col(into)
     failed = (got["n_words"] < MIN_WORDS) | (
         100 * got["n_repeat_words"] > MAX_REPEATED_PERCENT * got["n_words"]
     )
-    passed = got["score"] >= threshold
-    if evidence is not None:
-        passed = passed | (got["evidence"] >= evidence)
-    kept = ~failed & passed
+    kept = ~failed & (got["score"] >= threshold)
     return counted.withColumn(
         into, got.withField("base_failed", failed).withField("kept", kept)
     )
@@ -187,17 +172,15 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id")
     return docs.select(key, "text").join(agreed.hint("merge"), key)
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", evidence: float | None = None) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document: counts, score, ``base_failed`` and ``kept``."""
     weights = stored(bucket_weights(labelled_documents(docs, labels, key), docs), "quality_weights")
-    judged = with_quality(docs.select(key, "text"), weights, "q", evidence=evidence)
+    judged = with_quality(docs.select(key, "text"), weights, "q")
     return judged.select(key, *[f"q.{name}" for name in JUDGED])
 
 
 def good_only(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without those that fail the rules."""
-    into = "_quality"
-    while any(c.startswith(into) for c in docs.columns):
-        into = f"_{into}"
+    into = free_name(docs, "_quality")
     weights = stored(bucket_weights(labelled_documents(docs, labels, key), docs), "quality_weights")
     return with_quality(docs, weights, into).where(F.col(into)["kept"]).drop(into)

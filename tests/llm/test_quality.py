@@ -44,26 +44,31 @@ def buckets(spark, text):
     return grams
 
 
-def test_judgement_matches_a_recount(spark):
-    rows, labels = fixture()
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+def check(spark, rows, labels, got):
+    """The judged rows against a recount with dictionaries."""
     grams = sorted({g for _, t in rows for g in buckets(spark, t)})
     asked = spark.createDataFrame([(list(g),) for g in grams], "g array<string>")
     one = F.pmod(F.xxhash64(F.col("g")[0]), F.lit(quality.BUCKETS))
     two = F.pmod(F.xxhash64(F.col("g")[0], F.get("g", F.lit(1))), F.lit(quality.BUCKETS))
     where = {tuple(r.g): r.b for r in asked.select("g", F.when(F.size("g") == 1, one).otherwise(two).alias("b")).collect()}
-    bad = {k for k, q, t in labels if q != 1 or t == 1}
-    trusted = {k for k, q, t in labels if k is not None} - bad
-    raw, target = Counter(), Counter()
+    trusted = {k for k, _, _ in labels if k is not None and all(q == 1 and not t for other, q, t in labels if other == k)}
+    sure = trusted | {k for k, q, t in labels if k is not None and (t or q == 0)}
+    raw, held, target = Counter(), Counter(), Counter()
     for key, text in rows:
         found = [where[g] for g in buckets(spark, text)]
         raw.update(found)
+        if key in sure:
+            held.update(found)
         if key in trusted:
             target.update(found)
-    rest = 0.5 * quality.BUCKETS
-    weight = lambda b: (math.log((target[b] + 0.5) / (target.total() + rest))
-                        - math.log((raw[b] + 0.5) / (raw.total() + rest)))
+    whole = raw.total() + 0.5 * quality.BUCKETS
+    share = [(raw[b] + 0.5) / whole for b in range(quality.BUCKETS)]
+    covered = [share[b] / (held[b] + quality.PRIOR) for b in range(quality.BUCKETS)]
+    overall = sum(c * target[b] for b, c in enumerate(covered)) / sum(c * held[b] for b, c in enumerate(covered))
+    aim = [share[b] * (target[b] + quality.PRIOR * overall) / ((held[b] + quality.PRIOR) * overall)
+           for b in range(quality.BUCKETS)]
+    assert math.isclose(sum(aim), 1)
+    weight = lambda b: math.log(aim[b] / share[b])
     want = []
     for key, text in rows:
         found = [weight(where[g]) for g in buckets(spark, text)]
@@ -76,6 +81,19 @@ def test_judgement_matches_a_recount(spark):
     assert {r.kept for r in got} == {True, False}
 
 
+def test_judgement_matches_a_recount(spark):
+    rows, labels = fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(spark, rows, labels, quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect())
+
+
+def test_query_matches_a_recount(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    held = [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()]
+    check(spark, rows, held, registry.op2_llr_quality(spark, sf_dir).collect())
+
+
 def test_without_labels_only_the_base_rules_count(spark):
     docs = spark.createDataFrame([(1, "word " * 10 + " ".join(f"w{i}" for i in range(60)), 2), (2, "x", 3)],
                                  "doc_id long, text string, _quality int")
@@ -97,4 +115,3 @@ def test_query_keeps_clean_documents_without_labels(spark, tmp_path):
     got = registry.op2_llr_quality(spark, str(tmp_path)).collect()
     assert not any(r.base_failed for r in got)
     assert {(kind(r.doc_id), r.kept) for r in got} == {(0, True), (1, True), (2, False)}
-    assert all(r.score < quality.THRESHOLD for r in got if kind(r.doc_id) == 1)
