@@ -23,20 +23,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import small_batches
+from fareflow.llm.common import free_name, small_batches
 
 DOCS_PER_LANGUAGE = 250
 SAMPLE_CHARS = 2_000
-LANGUAGES = 64
+# Labels that one table of weights may hold; more are an error.
+MOST_LABELS = 256
 HELD_OUT_OF = 5
 UNKNOWN = "und"
 
 HASH_BITS = 17
 BLOCK = 32
 WORDS_AT_ONCE = 200_000
+CELLS_AT_ONCE = 1 << 24  # words by pairs of labels
 SEQUENCE = 32
 STRETCH = (4, 24)
 EPOCHS = 4
@@ -97,10 +99,16 @@ class Crf:
 
     def shares(self, texts: list[list[str]]) -> np.ndarray:
         """The expected share of each label among the words of each text."""
-        out = np.zeros((len(texts), len(self.labels)))
+        return self.read(texts)[0]
+
+    def read(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Each label's expected share of each text's words, and how sure the words are of theirs:
+        the mean probability of a word's likeliest label."""
+        out, sure = np.zeros((len(texts), len(self.labels))), np.zeros(len(texts))
         if not self.labels:
-            return out
-        for run in _runs([len(t) for t in texts], WORDS_AT_ONCE):
+            return out, sure
+        at_once = min(WORDS_AT_ONCE, CELLS_AT_ONCE // len(self.labels) ** 2)
+        for run in _runs([len(t) for t in texts], at_once):
             flat = [w for i in run for w in texts[i]]
             codes, kinds = pd.factorize(np.array(flat, dtype=object))
             potentials = self.emissions(list(kinds))
@@ -109,7 +117,8 @@ class Crf:
             found = marginals(potentials, codes, sizes, np.exp(self.moves))
             begin = np.cumsum(sizes) - sizes
             out[run] = np.add.reduceat(found, begin, axis=0) / sizes[:, None]
-        return out
+            sure[run] = np.add.reduceat(found.max(axis=1), begin) / sizes
+        return out, sure
 
 
 def _runs(sizes: list[int], limit: int) -> Iterator[list[int]]:
@@ -293,17 +302,20 @@ def is_held_out(key: str = "doc_id") -> Column:
 
 
 def training_sample(docs: DataFrame, key: str = "doc_id") -> list[tuple[str, str]]:
-    """About ``DOCS_PER_LANGUAGE`` stretches of text of each language, by a hash of the key.
+    """About ``DOCS_PER_LANGUAGE`` stretches of text of every language, by a hash of key and text.
 
-    At most ``LANGUAGES`` languages, the most frequent ones, are learned.
+    Rows equal in both count once, and twice that number is the most that one language brings to
+    the driver, whatever repeats. Every label is learned; more than ``MOST_LABELS`` are an error.
     """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col(key).isNotNull() & ~is_held_out(key)
     )
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} different labels")
     if not counts:
         return []
-    draw = F.xxhash64(F.lit("crf sample"), F.col(key))
+    draw = F.xxhash64(F.lit("crf sample"), F.col(key), F.col("text"))
     chosen = F.lit(False)
     for row in counts:
         below = int(2**63 * (min(1.0, DOCS_PER_LANGUAGE / row["count"]) * 2 - 1))
@@ -311,11 +323,14 @@ def training_sample(docs: DataFrame, key: str = "doc_id") -> list[tuple[str, str
         chosen = F.when(F.col("lang") == row.lang, fits).otherwise(chosen)
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     piece = F.substr("text", (F.pmod(draw, room) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    rows = usable.where(chosen).select(piece.alias("piece"), "lang").collect()
+    drawn = usable.where(chosen).select(piece.alias("piece"), "lang", draw.alias("draw"))
+    drawn = drawn.dropDuplicates(["lang", "draw"])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    rows = drawn.withColumn("nth", first).where(F.col("nth") <= 2 * DOCS_PER_LANGUAGE).collect()
     return [(row.piece, row.lang) for row in rows]
 
 
-PREDICTED = "lang_pred string, score double"
+PREDICTED = "lang_pred string, score double, sure double"
 
 
 def _predictor(shared):
@@ -323,18 +338,20 @@ def _predictor(shared):
         model = shared.value
         for texts in batches:
             words = [_spelled(words_of(text)) for text in texts]
-            shares = model.shares(words)
+            shares, sure = model.read(words)
             known = np.array([bool(w) for w in words], dtype=bool) & bool(model.labels)
             best = shares.argmax(axis=1) if model.labels else np.zeros(len(words), dtype=int)
             score = shares.max(axis=1, initial=0.0).clip(0.0, 1.0)
             names = [model.labels[b] if k else UNKNOWN for b, k in zip(best, known)]
-            yield pd.DataFrame({"lang_pred": names, "score": np.where(known, score, 0.0)})
+            sure = np.where(known, sure, 0.0).clip(0.0, 1.0)
+            yield pd.DataFrame({"lang_pred": names, "score": np.where(known, score, 0.0), "sure": sure})
 
     return F.pandas_udf(predict, PREDICTED)
 
 
 def with_language(docs: DataFrame, model: Crf, into: str, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``into``: ``lang_pred`` and ``score``, the label's share of words.
+    """``docs`` with a struct column ``into``: ``lang_pred``, ``score``, the label's share of words,
+    and ``sure``, how sure the words are of their own labels.
 
     Null texts and texts without a letter are ``und`` with score zero, as is every text under a
     model that learned nothing. Ties go to the first label in order. Only the text is read.
@@ -348,14 +365,16 @@ def judge(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document: ``held_out``, ``lang_pred``, ``score``."""
     model = fit(training_sample(docs, key))
     rows = docs.select(key, is_held_out(key).alias("held_out"), "text")
-    return with_language(rows, model, "found").select(key, "held_out", "found.*")
+    found = with_language(rows, model, "found")
+    return found.select(key, "held_out", "found.lang_pred", "found.score", "found.sure")
 
 
 def known_only(docs: DataFrame, least: float = 0.4, key: str = "doc_id") -> DataFrame:
-    """``docs`` whose words belong to one learned language by the share ``least``."""
-    into = "_language"
-    while into in docs.columns:
-        into = f"_{into}"
+    """``docs`` whose words are sure of a learned language, each of its own, to ``least`` on average.
+
+    A text that switches between languages stays, however many they are.
+    """
+    into = free_name(docs, "_language")
     found = with_language(docs, fit(training_sample(docs, key)), into)
-    clear = (F.col(into)["lang_pred"] != UNKNOWN) & (F.col(into)["score"] >= least)
+    clear = (F.col(into)["lang_pred"] != UNKNOWN) & (F.col(into)["sure"] >= least)
     return found.where(clear).drop(into)

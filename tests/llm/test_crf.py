@@ -100,3 +100,34 @@ def test_texts_without_letters_and_odd_rows(spark):
     assert crf.judge(docs.limit(0)).collect() == []
     blind = crf.judge(docs.where("lang is null"))
     assert [r.lang_pred for r in blind.collect()] == ["und"]
+
+
+def test_every_label_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k, n: letters[k % 26] * 2 + letters[k // 26] + letters[(k * 7 + n) % 26] + letters[n % 26]
+    rows = [(k * 100 + i, " ".join(word(k, (i + j) % 9) for j in range(12)), f"l{k:02d}") for k in range(70) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = crf.fit(crf.training_sample(docs))
+    assert len(model.labels) == 70
+
+
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(crf, "MOST_LABELS", 2)
+    docs = spark.createDataFrame([(k, "word", f"l{k}") for k in range(20)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="labels"):
+        crf.training_sample(docs)
+
+
+def test_repeated_rows_bring_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(crf, "DOCS_PER_LANGUAGE", 5)
+    rows = [(1, f"text {k % 400} of one key", "en") for k in range(2000)] + [(k, "autre texte", "fr") for k in range(2, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = crf.training_sample(docs)
+    assert sum(label == "en" for _, label in sample) <= 10 and any(label == "fr" for _, label in sample)
+
+
+def test_documents_of_three_languages_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IS NOT NULL AND n_chars > 600")
+    parts = [r.text[:400] for r in docs.dropDuplicates(["lang"]).select("text").collect()][:3]
+    mixed = spark.createDataFrame([(10**9, " ".join(parts), None, "m", 9)], docs.schema)
+    assert len(parts) == 3 and crf.known_only(docs.unionByName(mixed)).where("doc_id = 1000000000").count() == 1
