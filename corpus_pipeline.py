@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fareflow.llm import crf, mixing, quality, simhash, suffixes
-from fareflow.llm.common import stored, table
+from fareflow.llm.common import free_name, stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words belong to one learned language; others go."""
+    """Documents whose words are sure of a learned language; others go."""
     return crf.known_only(docs)
 
 
@@ -30,7 +30,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mix: one row per document and pass."""
-    return mixing.mix(docs, "mix")
+    return mixing.mix(docs, free_name(docs, "mix"))
 
 
 STAGES = [

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import stored
+from fareflow.llm.common import free_name, stored
 from fareflow.llm.quality import words_of
 
 BLOCKS = 1024  # per source; a power of two, so every odd step permutes them
@@ -139,12 +139,16 @@ def mix(docs: DataFrame, into: str, target: Target = Target(), key: str = "doc_i
     """One row per document and pass, with a struct column ``into``.
 
     Its fields are ``n_tokens``, ``epoch``, ``block``, ``place`` (of the block in the pass) and
-    ``position``, between 0 and 1: the order of the mix, in which every source is spread evenly.
+    ``position``, from 0 to below 1: the order of the mix, in which every source's blocks, pass after
+    pass, are spread evenly. A column ``into`` must not be there yet.
     Null texts have no tokens, a null source counts as ''. Documents of a source without tokens
     are in no pass, nor are those outside their source's budget; repeated rows go together.
     """
+    if into.lower() in [c.lower() for c in docs.columns]:
+        raise ValueError(f"there is a column {into} already")
     rule = plan(block_tokens(docs, key), target)
-    names = {n: f"{into}_{n}" for n in ("source", "block", "tokens", "budget", "full", "cutoff", "epoch")}
+    own = free_name(docs, "_mix")
+    names = {n: f"{own}_{n}" for n in ("source", "block", "tokens", "budget", "full", "cutoff", "epoch")}
     at = {n: F.col(c) for n, c in names.items()}
     rule = rule.select(*[F.col(n).alias(names[n]) for n in ("source", "tokens", "budget", "full", "cutoff")])
     rows = docs.withColumn(names["block"], block_of(key)).join(rule, source_of() == at["source"])
@@ -154,7 +158,7 @@ def mix(docs: DataFrame, into: str, target: Target = Target(), key: str = "doc_i
     rows = rows.withColumn(names["epoch"], F.explode(epochs))
     place = _place(at["source"], at["epoch"], at["block"])
     inside = F.pmod(F.xxhash64(F.lit("inside"), F.col(key), at["epoch"]), F.lit(1 << 20)) / float(1 << 20)
-    done = (at["epoch"] + (place + inside) / BLOCKS) * at["tokens"] / at["budget"]
+    done = (at["epoch"] * BLOCKS + place + inside) / (at["full"] * BLOCKS + at["cutoff"])
     described = F.struct(
         tokens_of().alias("n_tokens"), at["epoch"].alias("epoch"), at["block"].alias("block"),
         place.alias("place"), done.alias("position"),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareflow.llm.common import small_batches, stored
+from fareflow.llm.common import free_name, small_batches, stored
 from fareflow.llm.components import connected
 
 SEED = 42
@@ -176,33 +176,61 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     included. Null keys are never the smallest unless a component has no other; null and
     empty texts have fingerprint zero and link like any other; repeated rows stay repeated.
     """
-    return _components(stored(with_fingerprint(docs, key, text), "simhash_prints"), key)
+    grouped = _components(stored(with_fingerprint(docs, key, text), "simhash_prints"))
+    return grouped.select(
+        F.col("key").alias(key), hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    )
 
 
-def _components(prints: DataFrame, key: str) -> DataFrame:
+def _components(prints: DataFrame) -> DataFrame:
+    """``key``, ``fingerprint``, ``component_id`` and ``part``, the component by one of its fingerprints."""
     groups = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("key").alias("first"))
     groups = stored(groups, "simhash_groups")
     linked = connected(near_pairs(groups.select("fp")))
     known = linked.join(groups.withColumnRenamed("fp", "node"), "node")
     smallest = known.groupBy("root").agg(F.min("first").alias("least"))
-    reach = linked.join(smallest, "root").select(F.col("node").alias("fp"), "least")
+    reach = linked.join(smallest, "root").select(F.col("node").alias("fp"), "least", "root")
     named = groups.join(reach, "fp", "left").select(
-        "fp", F.coalesce("least", "first").alias("component_id")
+        "fp", F.coalesce("least", "first").alias("component_id"), F.coalesce("root", "fp").alias("part")
     )
     # Written first, so that nothing stands between the join and its shuffles: Spark then
     # splits the rows of a fingerprint that many copies share.
     named = stored(named, "simhash_named")
-    return prints.join(named, prints.fingerprint == named.fp).select(
-        F.col("key").alias(key), hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
-    )
+    return prints.join(named, prints.fingerprint == named.fp).select("key", "fingerprint", "component_id", "part")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without near copies: the document with the smallest key of each group stays.
 
-    Rows that repeat that key stay once; rows without a key cannot be told apart and all stay.
+    Of rows that share that key and lie in that group one stays, the same in every run. Rows that
+    share a key but lie in different groups are different documents. Rows without a key cannot be
+    told apart and all stay.
     """
-    named = components(docs, key, text)
-    keep = named.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    unnamed = docs.where(F.col(key).isNull())
-    return docs.join(keep, key, "left_semi").dropDuplicates([key]).unionByName(unnamed)
+    grouped = stored(_components(stored(with_fingerprint(docs, key, text), "simhash_prints")), "simhash_parts")
+    first = grouped.where(F.col("key") == F.col("component_id"))
+    spread = first.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    spread = stored(spread, "simhash_kept")
+    mark = free_name(docs, "_simhash")
+    own, print_, part = (f"{mark}_{name}" for name in ("key", "print", "part"))
+    here = docs[key]
+    whole = spread.where("low = high").select(F.col("key").alias(own))
+    kept = _one_row(docs.join(whole, here == F.col(own), "left_semi"), key)
+    kept = kept.unionByName(docs.where(here.isNull()))
+    torn = spread.where("low <> high").select(F.col("key").alias(own))
+    if torn.isEmpty():
+        return kept
+    # A key in several groups: only its rows are read for their fingerprints again.
+    some = docs.join(torn, here == F.col(own), "left_semi")
+    some = some.withColumn(mark, F.pandas_udf(_fingerprint, T.LongType())(F.col(text)))
+    parts = first.select(
+        F.col("key").alias(own), F.col("fingerprint").alias(print_), F.col("part").alias(part)
+    ).distinct()
+    met = some.join(parts, (F.col(key) == F.col(own)) & (F.col(mark) == F.col(print_)))
+    return kept.unionByName(_one_row(met.drop(own, print_, mark), key, part).drop(part))
+
+
+def _one_row(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key, the one with the smallest hash."""
+    columns = rows.columns
+    least = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")
+    return rows.groupBy(*[F.col(k).alias(f"by_{n}") for n, k in enumerate(keys)]).agg(least).select("row.*")

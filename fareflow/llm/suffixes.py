@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import small_batches, stored
+from fareflow.llm.common import free_name, small_batches, stored
 
 WINDOW = 10
 # Characters of benchmark text in one block, so what is broadcast stays below some 100 MB.
@@ -252,9 +252,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFra
 
 def clean_only(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those in which a benchmark window occurs."""
-    into = "_suffix_found"
-    while into in docs.columns:
-        into = f"_{into}"
+    into = free_name(docs, "_suffix_found")
     found = with_matches(docs, benchmark, into)
     return found.where(F.size(F.col(into)["items"]) == 0).drop(into)
 

@@ -93,3 +93,21 @@ def test_every_pass_is_a_permutation_of_the_blocks(spark):
 def test_empty_and_tokenless_tables(spark):
     docs = spark.createDataFrame([(1, None, "a")], "doc_id long, text string, source string")
     assert mixing.judge(docs).collect() == [] and mixing.judge(docs.limit(0)).collect() == []
+
+
+def test_positions_are_even_and_below_one(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = mixing.judge(docs).collect()
+    assert all(0 <= r.position < 1 for r in rows)
+    large = max({r.source for r in rows}, key=lambda s: sum(r.source == s for r in rows))
+    places = sorted(r.position for r in rows if r.source == large)
+    assert all(abs(p - k / len(places)) < 0.2 for k, p in enumerate(places))
+
+
+def test_clashing_columns(spark):
+    rows = [(k, f"word {k}", "s", 1, 2, 3, 4) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_block int, MIX_source int, _mix_tokens int, Epoch int")
+    mixed = mixing.mix(docs, "mix")
+    assert mixed.columns == [*docs.columns, "mix"] and mixed.select("mix_block", "MIX_source").distinct().count() == 1
+    with pytest.raises(ValueError, match="already"):
+        mixing.mix(docs.withColumn("MIX", docs.doc_id), "mix")

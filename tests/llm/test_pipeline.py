@@ -38,7 +38,7 @@ def test_filters_return_whole_documents(steps):
 
 def test_language_stage(steps):
     before, after = steps["language_id"]
-    want = [r.doc_id for r in crf.judge(before).collect() if r.lang_pred != "und" and r.score >= 0.4]
+    want = [r.doc_id for r in crf.judge(before).collect() if r.lang_pred != "und" and r.sure >= 0.4]
     assert ids(after) == sorted(want)
 
 
@@ -78,3 +78,15 @@ def test_stages_on_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_stages_keep_clashing_columns(spark, sf_dir):
+    names = ("_LANGUAGE", "_Quality_words", "Mix", "mix_block", "_SIMHASH", "_Suffix_Found", "fingerprint", "part", "key")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.withColumns({name: docs.doc_id for name in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf_dir)
+        assert after.columns == docs.columns, name
+        assert after.where(" OR ".join(f"NOT ({c} <=> doc_id)" for c in names)).isEmpty(), name
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert set(docs.columns) < set(mixed.columns) and not mixed.isEmpty()

@@ -118,3 +118,12 @@ def test_one_of_each_keeps_columns_and_one_document(spark):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(kept.select(F.coalesce("doc_id", F.lit(-1))).toPandas().iloc[:, 0]) == [-1, 1, 3]
+
+
+def test_rows_of_one_key_in_different_groups_both_stay(spark):
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(5, one, "x"), (5, two, "y"), (5, two, "y"), (7, one, "z"), (None, one, "n"), (9, "c d e", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, FINGERPRINT string")
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("NOT (doc_id <=> 7)").distinct().collect()))
