@@ -13,7 +13,7 @@ from fareflow.schema import BATCH_LAKE_COLUMNS
 from fareflow.session import MIB
 from fareflow.sources.claims import Claim, claimed
 from fareflow.sources.lake import write_lake
-from fareflow.sources.ledger import append, batch_sizes, read_ledger
+from fareflow.sources.ledger import append, batch_sizes, fold_ledger, read_ledger
 
 # A tier is ``FAN_IN`` times as large as the one before, and is merged once it holds as many batches.
 FAN_IN = 4
@@ -45,7 +45,8 @@ def compact_lake(
 
     One ledger file names the new batch as loaded and the old ones as merged, so readers see
     either the old batches or the new one. A claim lets only one compaction run at a time.
-    Old folders stay for readers that have begun; ``remove_merged`` deletes them.
+    Old folders stay for readers that have begun; ``remove_merged`` deletes them. A long ledger
+    is folded at the end.
     """
     if fan_in < 2:
         raise ValueError(f"fan_in must be 2 at least, not {fan_in}")
@@ -54,6 +55,7 @@ def compact_lake(
     with claimed(spark, ledger_root, "compact") as claim:
         while inputs := _next_inputs(read_ledger(spark, ledger_root), fan_in, smallest, largest):
             made.append(_merge(spark, lake_root, ledger_root, sums_root, inputs, at, claim))
+    fold_ledger(spark, ledger_root)
     return made
 
 

@@ -72,12 +72,22 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * MIB) -> dict[str
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``, else below the warehouse.
 
-    Both are places that the driver and all executors share.
+    The driver and all executors must share it. A warehouse on this machine's own disk, Spark's
+    default, is shared in local mode only; on a cluster that is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        if _is_local_disk(spark, shared) and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared.rstrip('/')}/fareflow/{spark.sparkContext.applicationId}"
 
 
+def _is_local_disk(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``scratch_root``."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"

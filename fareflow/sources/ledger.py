@@ -1,7 +1,8 @@
 """Which files there are, which are loaded, and which are left.
 
-The ledger is a Parquet table of small appends. A file counts as loaded once a row
-with status ``loaded`` names its path; a failed file stays new and is tried again.
+The ledger is a Parquet table of small appends, the log, and a folded copy of the older ones.
+A file counts as loaded once a row with status ``loaded`` names its path; a failed file stays
+new and is tried again.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fareflow.schema import LEDGER_COLUMNS
 from fareflow.session import scratch_path
+from fareflow.sources.claims import claimed
 from fareflow.sources.lake import loaded_batches
 
 # The listing's tasks, however many and however large the files are.
@@ -46,8 +48,15 @@ def with_suffix(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """The ledger; empty if there is none yet. Any other error is raised."""
+    """The ledger; empty if there is none yet. Any other error is raised.
+
+    That is the newest folded copy and the log files it does not cover.
+    """
     reader = spark.read.schema(LEDGER_COLUMNS)
+    newest = max(_folded(spark, root), default=None)
+    if newest is not None:
+        log = _log_files(spark, root, besides=_covered(spark, root, newest))
+        return reader.parquet(f"{root}/{_FOLDED}/{newest}/rows", *[f"{root}/{name}" for name in log])
     try:
         return reader.parquet(root)
     except AnalysisException as error:
@@ -56,6 +65,76 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER_COLUMNS)
 
 
+# Hidden from Spark's own listing of the log, in batch and stream.
+_FOLDED = "_folded"
+# Log files from which on ``fold_ledger`` does something.
+FOLD_AT = 100
+
+
+def fold_ledger(spark: SparkSession, root: str, least: int = FOLD_AT) -> bool:
+    """Copy the log's rows into a few files once there are ``least`` log files.
+
+    A copy counts once its list of covered files is there, which is written last. Covered log
+    files go with the next fold, so a reader that has just listed them still finds them; older
+    copies go then too. One claim lets one fold run at a time.
+    """
+    if len(_log_files(spark, root, besides=set())) < least:
+        return False
+    with claimed(spark, root, "fold"):
+        versions = sorted(_folded(spark, root))
+        covered = _covered(spark, root, versions[-1]) if versions else set()
+        log = _log_files(spark, root, besides=covered)
+        if len(log) < least:
+            return False
+        new = f"{int(versions[-1]) + 1 if versions else 1:012d}"
+        folder = f"{root}/{_FOLDED}/{new}"
+        rows = read_ledger(spark, root)
+        few = rows.repartition(1 + len(log) // (100 * least), F.coalesce("batch_id", F.lit("")))
+        few.write.mode("overwrite").parquet(f"{folder}/rows")
+        system, jvm_path = _file_system(spark, root)
+        still_there = set(_log_files(spark, root, besides=set()))
+        for name in covered & still_there:
+            system.delete(jvm_path(f"{root}/{name}"), False)
+        out = system.create(jvm_path(f"{folder}/covers"), True)
+        try:
+            out.write(bytearray("\n".join(sorted((covered & still_there) | set(log))).encode()))
+        finally:
+            out.close()
+        for old in versions[:-1]:
+            system.delete(jvm_path(f"{root}/{_FOLDED}/{old}"), True)
+    return True
+
+
+def _file_system(spark: SparkSession, root: str):
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return jvm_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
+def _folded(spark: SparkSession, root: str) -> list[str]:
+    """The complete folded copies."""
+    system, jvm_path = _file_system(spark, root)
+    found = system.globStatus(jvm_path(f"{root}/{_FOLDED}/*/covers"))
+    return [entry.getPath().getParent().getName() for entry in found or ()]
+
+
+def _covered(spark: SparkSession, root: str, version: str) -> set[str]:
+    """The log files that a folded copy holds."""
+    system, jvm_path = _file_system(spark, root)
+    source = system.open(jvm_path(f"{root}/{_FOLDED}/{version}/covers"))
+    try:
+        return set(bytes(source.readAllBytes()).decode().splitlines())
+    finally:
+        source.close()
+
+
+def _log_files(spark: SparkSession, root: str, besides: set[str]) -> list[str]:
+    system, jvm_path = _file_system(spark, root)
+    if not system.exists(jvm_path(root)):
+        return []
+    names = [e.getPath().getName() for e in system.listStatus(jvm_path(root)) if e.isFile()]
+    return sorted(n for n in names if not n.startswith(("_", ".")) and n not in besides)
+
+
 def record(
     ledger_root: str,
     files: DataFrame,

@@ -13,7 +13,7 @@ from fareflow.operators.stats import daily_stats, daily_stats_full, monthly_coun
 from fareflow.operators.trips import enrich_trips
 from fareflow.plans.report import refresh_daily_report
 from fareflow.schema import DAILY_REPORT
-from fareflow.session import object_store_conf, scale_conf, scratch_path
+from fareflow.session import object_store_conf, scale_conf, scratch_path, scratch_root
 from fareflow.sources.lake import read_lake, read_report, write_lake
 from fareflow.sources.tables import trips_from_tables
 from tests.helpers import plan_of
@@ -213,3 +213,16 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", "")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(shared)
+
+
+def test_scratch_on_a_machines_own_disk_is_refused_on_a_cluster(spark, monkeypatch):
+    shared = scratch_root(spark)
+    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn")
+    assert scratch_root(spark) == shared
+    plain = type(spark.conf).get
+    without = lambda self, key, *rest: "" if key == "spark.checkpoint.dir" else plain(self, key, *rest)
+    monkeypatch.setattr(type(spark.conf), "get", without)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(spark)
+    monkeypatch.setattr(type(spark.sparkContext), "master", "local[4]")
+    assert scratch_root(spark)
