@@ -217,12 +217,12 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 def test_scratch_on_a_machines_own_disk_is_refused_on_a_cluster(spark, monkeypatch):
     shared = scratch_root(spark)
-    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn")
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
     assert scratch_root(spark) == shared
     plain = type(spark.conf).get
     without = lambda self, key, *rest: "" if key == "spark.checkpoint.dir" else plain(self, key, *rest)
     monkeypatch.setattr(type(spark.conf), "get", without)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(spark)
-    monkeypatch.setattr(type(spark.sparkContext), "master", "local[4]")
+    monkeypatch.setattr(spark.sparkContext, "master", "local[4]")
     assert scratch_root(spark)
