@@ -24,7 +24,7 @@ from fareflow.llm.common import free_name, stored
 
 BUCKETS = 10_000
 SMOOTHING = 0.5
-# Mean log ratio per n-gram that a document must reach. Set on one half of the labels.
+# Mean log ratio per n-gram that a document must reach; the README says how it was chosen.
 THRESHOLD = -0.05
 # How many n-grams at the overall share of trusted text every bucket holds beforehand.
 PRIOR = 10.0
