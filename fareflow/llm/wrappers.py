@@ -1,13 +1,15 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page's DOM is folded into its shape: siblings with the same tag and classes become one node,
-so a shape has a node per kind of place, not per paragraph. Every host has a reference, its
+A page's DOM is folded into its shape: siblings with the same tag and classes become one node if
+all of them hold text alone, or if tags inside them agree, so a shape has a node per kind of place,
+not per paragraph, and an article is told from an advert of the same tag. Every host has a reference, its
 most frequent shape, and each other shape is aligned with it by simple tree matching. Over
 all pages of the host, a place whose text is always the same is template; a place whose text
 varies is a slot. The content region is the deepest container of the reference that holds most
 of the varying text, widened to the article or main element around it. A page's main text is
 what stands in the region, without template places and without places that are named as
 furniture (menus, adverts, forms, comments and the like), unless they hold most of the varying text.
+Inside a region below the body, headings, lists, quotations and tables stay though they repeat.
 
 Statistics are combining aggregations over places of all pages; alignment is one row per
 shape and host. Only the wrappers, one small row per shape and host, meet the pages again.
@@ -17,10 +19,13 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import product
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,13 +38,11 @@ from fareflow.llm.urls import host_and_path
 TEMPLATE_PAGES = 5
 REGION_SHARE = 0.6
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]{0,65536}\"|'[^']{0,65536}'){0,400}+)>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>",
-    re.S,
-)
-_NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+# What ends a tag, or opens a quoted value inside it.
+_STOP = re.compile(r"""[<>]|=\s*+["']""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NAMING = frozenset("class id role".split())
 _RAW = frozenset("script style textarea title iframe noscript noembed noframes xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -62,6 +65,8 @@ FURNITURE_NAMES = frozenset(
     "pagination pager copyright complementary contentinfo search".split()
 )
 _WIDE = ("article", "main")
+# What belongs to an article although its words repeat from page to page.
+_PARTS = frozenset("h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote table caption thead tbody tr td th pre".split())
 
 
 @dataclass
@@ -70,7 +75,7 @@ class Place:
 
     label: str
     parent: int
-    children: dict[str, int] = field(default_factory=dict)
+    children: dict[int, int] = field(default_factory=dict)
 
 
 @dataclass
@@ -84,10 +89,17 @@ class Page:
 
 
 def parse(page: str | None) -> Page:
-    """Shape and text blocks of a page. Broken markup is read as far as it goes."""
-    places, blocks, open_, text = [Place("", -1)], [], [("", 0)], []
-    at = 0
+    """Shape and text blocks of a page, in time linear in its length for ordinary nesting.
+
+    Broken markup is read as far as it goes. A quoted attribute value ends at its closing quote,
+    however far that is; where there is none, the tag ends at the next ``>``.
+    """
+    elements, blocks, open_, text = [("", -1)], [], [("", 0)], []
+    opened: Counter[str] = Counter()
+    at = done = 0
     page = page or ""
+    unclosed: set[int] = set()
+    closable = True
 
     def flush() -> None:
         words = entities.unescape("".join(text)).split()
@@ -95,38 +107,55 @@ def parse(page: str | None) -> Page:
             blocks.append((open_[-1][1], " ".join(words)))
         text.clear()
 
+    def cut(k: int) -> None:
+        opened.subtract(tag for tag, _ in open_[k:])
+        del open_[k:]
+
     def close(kinds: set[str]) -> None:
         """End the nearest open element of these kinds inside its scope."""
+        if not any(opened[kind] for kind in kinds):
+            return
         for k in range(len(open_) - 1, 0, -1):
             if open_[k][0] in kinds:
-                del open_[k:]
-                return
+                return cut(k)
             if open_[k][0] in _SCOPE:
                 return
 
-    while (found := _MARKUP.search(page, at)) is not None:
-        text.append(page[at : found.start()])
-        at = found.end()
-        end, tag, rest = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
-        if tag is None:
-            if found.group().startswith("<![CDATA["):
-                text.append(found.group()[9:].removesuffix("]]>"))
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        mark = page[start + 1 : start + 2]
+        if mark in ("!", "?"):
+            cdata = page.startswith("<![CDATA[", start)
+            ending = "-->" if page.startswith("<!--", start) else "]]>" if cdata else ">"
+            end = page.find(ending, start + 2) if closable or ending != ">" else -1
+            if end < 0 and ending == ">":
+                closable = False
+                continue
+            end = len(page) if end < 0 else end
+            text.append(page[done:start])
+            if cdata:
+                text.append(page[start + 9 : end])
+            at = done = min(end + len(ending), len(page))
+            continue
+        found = _TAG.match(page, start)
+        stop = _tag_end(page, found.end(), unclosed) if found else -1
+        if stop < 0:
             continue
-        tag = tag.lower()
-        if tag in _RAW and not end:
-            stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
+        text.append(page[done:start])
+        at = done = stop + 1
+        tag, rest = found[2].lower(), page[found.end() : stop]
+        if tag in _RAW and not found[1]:
+            raw_end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+            at = done = raw_end.end() if raw_end else len(page)
             continue
         if tag in _INLINE:
             if tag == "br":
                 text.append(" ")
             continue
         flush()
-        if end:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k][0] == tag:
-                    del open_[k:]
-                    break
+        if found[1]:
+            if opened[tag]:
+                cut(next(k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == tag))
             continue
         if tag in _ENDS:
             close(_ENDS[tag])
@@ -134,22 +163,75 @@ def parse(page: str | None) -> Page:
             close({"p"})
         if tag in _VOID:
             continue
-        label = _label(tag, rest)
-        parent = places[open_[-1][1]]
-        if label not in parent.children:
-            parent.children[label] = len(places)
-            places.append(Place(label, open_[-1][1]))
+        elements.append((_label(tag, rest), open_[-1][1]))
         if not rest.endswith("/"):
-            open_.append((tag, parent.children[label]))
-    text.append(page[at:])
+            open_.append((tag, len(elements) - 1))
+            opened[tag] += 1
+    text.append(page[done:])
     flush()
-    return Page(places, blocks)
+    places, place_of = _folded(elements)
+    return Page(places, [(place_of[e], words) for e, words in blocks])
+
+
+def _folded(elements: list[tuple[str, int]]) -> tuple[list[Place], list[int]]:
+    """Places of a page's elements (label, parent), and each element's place.
+
+    An element joins an earlier one of its label in the same place if neither holds
+    elements, or if a tag stands in both.
+    """
+    inner: list[set[str]] = [set() for _ in elements]
+    for label, parent in elements[1:]:
+        inner[parent].add(label.split(" ")[0])
+    places, place_of = [Place("", -1)], [0]
+    kinds: dict[tuple[int, str], list[tuple[int, set[str]]]] = {}
+    for (label, parent), tags in zip(elements[1:], inner[1:]):
+        parent = place_of[parent]
+        alike = kinds.setdefault((parent, label), [])
+        for place, known in alike:
+            if known & tags or not (known or tags):
+                known |= tags
+                break
+        else:
+            place = len(places)
+            places[parent].children[place] = place
+            places.append(Place(label, parent))
+            alike.append((place, tags))
+        place_of.append(place)
+    return places, place_of
+
+
+def _tag_end(page: str, at: int, unclosed: set[int]) -> int:
+    """Where the ``>`` of a tag stands whose name ends at ``at``; -1 if it is none.
+
+    ``unclosed`` keeps the quotes from which a search has already come to nothing, so that
+    all searches of a page together read it a bounded number of times.
+    """
+    passed, here = [], at
+    while (stop := _STOP.search(page, here)) is not None:
+        mark, quote = stop.group()[-1], stop.end() - 1
+        if mark == ">":
+            return quote
+        if mark == "<":
+            unclosed.update(passed)
+            return -1
+        passed.append(quote)
+        close = -1 if quote in unclosed else page.find(mark, quote + 1)
+        if close < 0:
+            break
+        here = close + 1
+    unclosed.update(passed)
+    plain = _PLAIN.match(page, at)
+    return plain.end() - 1 if plain else -1
+
+
+_PLAIN = re.compile(r"[^<>]*+>")
 
 
 def _label(tag: str, rest: str) -> str:
     if not rest:
         return tag
-    names = {n for m in _NAMES.findall(rest) for n in "".join(m).lower().split()}
+    values = (m for m in _ATTRIBUTE.finditer(rest) if m[1].lower() in _NAMING)
+    names = {n for m in values for n in (m[2] or m[3] or m[4] or "").lower().split()}
     return " ".join([tag, *sorted(re.sub(r"\d+", "0", n) for n in names)])
 
 
@@ -165,62 +247,146 @@ def read_shape(shape: str) -> list[Place]:
     for line in shape.split("\n"):
         parent, _, label = line.partition(" ")
         if int(parent) >= 0:
-            places[int(parent)].children[str(len(places))] = len(places)
+            places[int(parent)].children[len(places)] = len(places)
         places.append(Place(label, int(parent)))
     return places
 
 
-def _kinds(places: list[Place]) -> list[tuple[int, str]]:
-    """Depth and tag of every place."""
-    out: list[tuple[int, str]] = []
+class _Numbers:
+    """Numbers for subtrees, equal ones alike: by tags only, and by tags and names."""
+
+    def __init__(self) -> None:
+        self.known: dict[tuple, int] = {}
+        self.tags: list[str] = []
+        self.inner: list[tuple[int, ...]] = []
+
+    def of(self, places: list[Place]) -> tuple[list[int], list[int]]:
+        bare, named = [0] * len(places), [0] * len(places)
+        for i in range(len(places) - 1, -1, -1):
+            below = places[i].children.values()
+            bare[i] = self._number(places[i].label.split(" ")[0], tuple(bare[c] for c in below))
+            named[i] = self._number(places[i].label, tuple(named[c] for c in below))
+        return bare, named
+
+    def _number(self, label: str, inner: tuple[int, ...]) -> int:
+        number = self.known.setdefault((label, inner), len(self.tags))
+        if number == len(self.tags):
+            self.tags.append(label)
+            self.inner.append(inner)
+        return number
+
+
+def _depths(places: list[Place]) -> list[int]:
+    out: list[int] = []
     for p in places:
-        out.append((out[p.parent][0] + 1 if p.parent >= 0 else 0, p.label.split(" ")[0]))
+        out.append(out[p.parent] + 1 if p.parent >= 0 else 0)
     return out
 
 
+def _most(left: tuple[int, ...], right: tuple[int, ...], weight: dict[tuple[int, int], int]) -> int:
+    """The weight of the best order-keeping matching of two lists of subtree numbers."""
+    if len(left) * len(right) <= 64:
+        row = [0] * (len(right) + 1)
+        for x in left:
+            last = row
+            row = [0]
+            for j, y in enumerate(right):
+                row.append(max(last[j + 1], row[j], last[j] + weight.get((x, y), 0)))
+        return row[-1]
+    rows: dict[int, np.ndarray] = {}
+    best = np.zeros(len(right) + 1, dtype=np.int64)
+    for x in left:
+        if x not in rows:
+            rows[x] = np.array([weight.get((x, y), 0) for y in right], dtype=np.int64)
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + rows[x]))
+    return int(best[-1])
+
+
+def _pairs(gains: Callable[[int], np.ndarray], n: int, m: int) -> Iterator[tuple[int, int]]:
+    """The pairs of the best order-keeping matching of two lists, last first; a bit or two a cell are kept."""
+    best = np.zeros(m + 1)
+    taken, above = [], []
+    for i in range(n):
+        gain = gains(i)
+        cross = best[:-1] + gain
+        new = np.maximum.accumulate(np.maximum(best[1:], cross))
+        taken.append(np.packbits((gain > 0) & (new == cross)))
+        above.append(np.packbits(new == best[1:]))
+        best[1:] = new
+    i, j = n - 1, m - 1
+    while i >= 0 and j >= 0:
+        byte, bit = j >> 3, 128 >> (j & 7)
+        if taken[i][byte] & bit:
+            yield i, j
+            i, j = i - 1, j - 1
+        elif above[i][byte] & bit:
+            i -= 1
+        else:
+            j -= 1
+
+
 def align(one: list[Place], two: list[Place]) -> dict[int, int]:
     """Simple tree matching: which place of ``two`` each matched place of ``one`` stands for.
 
     Matched places have the same tag, their parents match, and order is kept; the number
-    of matches is the largest there is, same classes counting a little more.
+    of matches is the largest there is. Among equals, each pair's children are matched so that
+    most have the same names, in them and below. Subtrees of the same tags are weighed once,
+    so siblings that differ in their names only cost one row of numbers each.
     """
-
-    weight: dict[tuple[int, int], float] = {}
-
-    def table(a: int, b: int) -> list[list[float]]:
-        left, right = list(one[a].children.values()), list(two[b].children.values())
-        out = [[0.0] * (len(right) + 1) for _ in range(len(left) + 1)]
-        for i, x in enumerate(left, 1):
-            for j, y in enumerate(right, 1):
-                out[i][j] = max(out[i - 1][j], out[i][j - 1], out[i - 1][j - 1] + weight.get((x, y), 0.0))
-        return out
-
+    numbers = _Numbers()
+    (bare_one, named_one), (bare_two, named_two) = numbers.of(one), numbers.of(two)
+    levels: dict[int, dict[str, tuple[set[int], set[int]]]] = {}
+    for side, (places, bare) in enumerate(((one, bare_one), (two, bare_two))):
+        for depth, number in zip(_depths(places), bare):
+            levels.setdefault(depth, {}).setdefault(numbers.tags[number], (set(), set()))[side].add(number)
     # Only places of one depth and tag can match; the deepest come first.
-    partners: dict[tuple[int, str], list[int]] = {}
-    for b, kind in enumerate(_kinds(two)):
-        partners.setdefault(kind, []).append(b)
-    for a, kind in reversed(list(enumerate(_kinds(one)))):
-        for b in partners.get(kind, ()):
-            weight[a, b] = 1.0 + 0.01 * (one[a].label == two[b].label) + table(a, b)[-1][-1]
+    weight: dict[tuple[int, int], int] = {}
+    for depth in sorted(levels, reverse=True):
+        for xs, ys in levels[depth].values():
+            for x, y in product(xs, ys):
+                if (x, y) not in weight:
+                    weight[x, y] = 1 + _most(numbers.inner[x], numbers.inner[y], weight)
 
     found, todo = {0: 0}, [(0, 0)]
     while todo:
         a, b = todo.pop()
         left, right = list(one[a].children.values()), list(two[b].children.values())
-        got, i, j = table(a, b), len(left), len(right)
-        while i and j:
-            gain = weight.get((left[i - 1], right[j - 1]), 0.0)
-            if gain and got[i][j] == got[i - 1][j - 1] + gain:
-                i, j = i - 1, j - 1
-                found[left[i]] = right[j]
-                todo.append((left[i], right[j]))
-            elif got[i][j] == got[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
+        # Equal first and last children match each other in some best matching.
+        head = 0
+        while head < min(len(left), len(right)) and named_one[left[head]] == named_two[right[head]]:
+            head += 1
+        tail = 0
+        while tail < min(len(left), len(right)) - head and named_one[left[-1 - tail]] == named_two[right[-1 - tail]]:
+            tail += 1
+        pairs = list(zip(left[:head], right[:head])) + list(zip(left[len(left) - tail :], right[len(right) - tail :]))
+        left, right = left[head : len(left) - tail], right[head : len(right) - tail]
+        if left and right:
+            pairs += [(left[i], right[j]) for i, j in _matched(one, two, left, right, weight, bare_one, bare_two, named_one, named_two)]
+        found.update(pairs)
+        todo += pairs
     return found
 
 
+def _matched(one, two, left, right, weight, bare_one, bare_two, named_one, named_two) -> Iterator[tuple[int, int]]:
+    """Pairs of two lists of siblings, by weight and then by equal names."""
+    kinds = [bare_two[y] for y in right]
+    labels = np.array([hash(two[y].label) for y in right])
+    whole = np.array([named_two[y] for y in right])
+    # Together less than one match.
+    bonus = 0.5 / (1 + min(len(left), len(right)))
+    rows: dict[int, np.ndarray] = {}
+
+    def gains(i: int) -> np.ndarray:
+        x = left[i]
+        kind = bare_one[x]
+        if kind not in rows:
+            rows[kind] = np.array([weight.get((kind, y), 0) for y in kinds], dtype=float)
+        same = (labels == hash(one[x].label)).astype(float) + (whole == named_one[x])
+        return rows[kind] + np.where(rows[kind] > 0, bonus * same, 0.0)
+
+    return _pairs(gains, len(left), len(right))
+
+
 def furnished(places: list[Place], open_: set[int] | frozenset[int] = frozenset()) -> list[bool]:
     """Whether each place is furniture itself or stands in some. Names do not count for ``open_`` ones."""
     out: list[bool] = []
@@ -289,7 +455,15 @@ def content_places(
     inside: list[bool] = []
     for i, p in enumerate(places):
         inside.append(i in roots or (p.parent >= 0 and inside[p.parent]))
-    return [i for i in range(len(places)) if inside[i] and not skip[i] and matched.get(i, -1) not in template]
+    apart = all(places[i].label.split(" ")[0] not in ("", "html", "body") for i in roots)
+    part: list[bool] = []
+    for i, p in enumerate(places):
+        inherited = p.parent >= 0 and part[p.parent]
+        part.append(apart and inside[i] and i not in roots and (inherited or p.label.split(" ")[0] in _PARTS))
+    return [
+        i for i in range(len(places))
+        if inside[i] and not skip[i] and (part[i] or matched.get(i, -1) not in template)
+    ]
 
 
 # Spark side.
@@ -359,9 +533,10 @@ def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
     measured = pages.select(host.alias("host"), F.pandas_udf(_measure, PARSED)(F.col(html)).alias("p"))
     # Copies of a page count once: what stands only in them does not repeat on different pages.
     measured = measured.select("host", "p.page", "p.code", "p.shape", "p.places").dropDuplicates(["host", "page"])
-    # A shape's row first, with place -1, so that one pass over the pages serves both counts.
+    # A shape's row first, with place -1, so that one pass over the pages serves both counts. Only it carries the shape.
     shape_row = F.array(F.struct(F.lit(-1).alias("place"), F.lit(0).cast("long").alias("digest"), F.lit(0).cast("long").alias("chars")))
     rows = measured.select("host", "code", "shape", F.explode(F.concat(shape_row, "places")).alias("at"))
+    rows = rows.withColumn("shape", F.when(F.col("at.place") == -1, F.col("shape")))
     stats = stored(
         rows.groupBy("host", "code", "shape", "at.place").agg(
             F.count(F.lit(1)).alias("pages"), F.min("at.digest").alias("low"), F.max("at.digest").alias("high"),
@@ -375,7 +550,7 @@ def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
     aligned = stored(shapes.join(best, "host").withColumn("matched", matched), "wrapper_aligned")
     refs = aligned.select("host", "code", F.explode("matched").alias("m")).select("host", "code", "m.place", "m.ref")
     slots = (
-        stats.where("place >= 0").join(refs, ["host", "code", "place"])
+        stats.where("place >= 0").drop("shape").join(refs, ["host", "code", "place"])
         .groupBy("host", "ref").agg(
             F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"),
         )

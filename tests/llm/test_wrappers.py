@@ -4,6 +4,9 @@ import html
 import itertools
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from fareflow.llm import wrappers
 from fareflow.llm.wrappers import Place, align, parse
@@ -26,11 +29,20 @@ def test_given_pages(spark, sf_dir):
         assert (r.url, r.text) == want[r.page_id] and r.n_chars == len(r.text)
 
 
+def test_given_pages_whose_tags_say_nothing(spark, sf_dir):
+    """The article and the advert are plain ``div`` elements: only the induced region tells them apart."""
+    pages = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.01/pages.parquet")
+    want = {r.page_id: plain(r.html) for r in pages.collect()}
+    unmarked = F.regexp_replace(F.regexp_replace("html", "<(/?)article>", "<$1div>"), ' class="[^"]*"', "")
+    got = wrappers.extract(pages.withColumn("html", unmarked)).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def random_tree(rng, n):
     places = [Place("", -1)]
     for i in range(1, n):
         parent = rng.randrange(i)
-        places[parent].children[str(i)] = i
+        places[parent].children[i] = i
         places.append(Place(rng.choice("abc"), parent))
     return places
 
@@ -119,3 +131,44 @@ def test_names_do_not_drop_what_holds_the_article(spark):
         pages = [page(f"<{box}><div class=post><h2>Head {i}</h2><p>text {i} goes on</p></div>"
                       f"<div class=sidebar>side {i}</div></{tag}><p>Made by us</p>") for i in range(8)]
         assert extracted(spark, pages) == [f"Head {i}\ntext {i} goes on" for i in range(8)], box
+
+
+def test_repeated_parts_of_an_article_stay(spark):
+    dishes = [page(f"<nav>n</nav><article><h1>Dish {i}</h1><h2>Ingredients</h2><p>take {i} of it</p><ul><li>salt</ul></article>"
+                   "<p>Made by us</p>") for i in range(8)]
+    assert extracted(spark, dishes) == [f"Dish {i}\nIngredients\ntake {i} of it\nsalt" for i in range(8)]
+
+
+def test_near_copies_of_an_article_keep_their_list_and_quotation(spark):
+    others = [page(f"<article><h1>Head {i}</h1><p>text {i}</p></article>") for i in range(8)]
+    near = [page(f"<article><h1>Copy {i}</h1><p>its text</p><ul><li>its list</ul><blockquote>its quote</blockquote></article>")
+            for i in range(9)]
+    assert extracted(spark, others + near)[8:] == [f"Copy {i}\nits text\nits list\nits quote" for i in range(9)]
+
+
+def test_siblings_of_unlike_content_are_places_of_their_own():
+    labels = [(p.label, p.parent) for p in parse("<div>a</div><div><p>b</p></div><div>c</div><div><h1>d</h1><p>e</p></div>").places]
+    assert labels == [("", -1), ("div", 0), ("div", 0), ("p", 2), ("h1", 2)]
+
+
+def test_quoted_values_of_any_length():
+    value = "b a>b <p>c" * 100_000
+    assert parse(f"<p class=x title=\"{value}\" id='y>'>kept</p>").blocks == [(1, "kept")]
+    assert [text for _, text in parse("<p title='a>b'>one</p><p \">two</p><p title=\"open>three</p> end").blocks] == [
+        "one", "two", "three", "end"]
+
+
+def test_broken_markup_and_many_names_take_seconds():
+    began = time.monotonic()
+    for junk in ("<!", "<a x=\"<a x='", "<a b='", "<", "</zz>", "<figure>", "<p><td>", "<div", "<!--", "<script", "= <b = "):
+        parse(junk * (1_000_000 // len(junk)))
+    assert time.monotonic() - began < 60
+
+    def listing(names):
+        return parse("".join(f"<div id={n}><h2>x</h2><p>y</p></div>" for n in names)).places
+
+    letters = ["".join(n) for n in itertools.islice(itertools.product("abcdefghij", repeat=4), 5000)]
+    one, two = listing("p" + n for n in letters), listing("q" + n for n in letters)
+    began = time.monotonic()
+    assert align(one, two) == {i: i for i in range(15_001)}
+    assert time.monotonic() - began < 20
