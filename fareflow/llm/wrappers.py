@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -38,7 +38,8 @@ from fareflow.llm.urls import host_and_path
 TEMPLATE_PAGES = 5
 REGION_SHARE = 0.6
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+# A tag's name, and the rest of it where no attribute has a value.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)(?:([^<>=]*+)>)?")
 # What ends a tag, or opens a quoted value inside it.
 _STOP = re.compile(r"""[<>]|=\s*+["']""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -95,7 +96,7 @@ def parse(page: str | None) -> Page:
     however far that is; where there is none, the tag ends at the next ``>``.
     """
     elements, blocks, open_, text = [("", -1)], [], [("", 0)], []
-    opened: Counter[str] = Counter()
+    opened: defaultdict[str, int] = defaultdict(int)
     at = done = 0
     page = page or ""
     unclosed: set[int] = set()
@@ -108,12 +109,13 @@ def parse(page: str | None) -> Page:
         text.clear()
 
     def cut(k: int) -> None:
-        opened.subtract(tag for tag, _ in open_[k:])
+        for tag, _ in open_[k:]:
+            opened[tag] -= 1
         del open_[k:]
 
     def close(kinds: set[str]) -> None:
         """End the nearest open element of these kinds inside its scope."""
-        if not any(opened[kind] for kind in kinds):
+        if not any(map(opened.__getitem__, kinds)):
             return
         for k in range(len(open_) - 1, 0, -1):
             if open_[k][0] in kinds:
@@ -138,13 +140,21 @@ def parse(page: str | None) -> Page:
             at = done = min(end + len(ending), len(page))
             continue
         found = _TAG.match(page, start)
-        stop = _tag_end(page, found.end(), unclosed) if found else -1
-        if stop < 0:
+        if found is None:
             continue
-        text.append(page[done:start])
-        at = done = stop + 1
-        tag, rest = found[2].lower(), page[found.end() : stop]
-        if tag in _RAW and not found[1]:
+        end_mark, tag, rest = found.groups()
+        stop = found.end()
+        if rest is None:
+            named = stop
+            stop = _tag_end(page, named, unclosed) + 1
+            if not stop:
+                continue
+            rest = page[named : stop - 1]
+        if start > done:
+            text.append(page[done:start])
+        at = done = stop
+        tag = tag.lower()
+        if tag in _RAW and not end_mark:
             raw_end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = done = raw_end.end() if raw_end else len(page)
             continue
@@ -152,8 +162,9 @@ def parse(page: str | None) -> Page:
             if tag == "br":
                 text.append(" ")
             continue
-        flush()
-        if found[1]:
+        if text:
+            flush()
+        if end_mark:
             if opened[tag]:
                 cut(next(k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == tag))
             continue
@@ -181,7 +192,7 @@ def _folded(elements: list[tuple[str, int]]) -> tuple[list[Place], list[int]]:
     """
     inner: list[set[str]] = [set() for _ in elements]
     for label, parent in elements[1:]:
-        inner[parent].add(label.split(" ")[0])
+        inner[parent].add(label.split(" ", 1)[0])
     places, place_of = [Place("", -1)], [0]
     kinds: dict[tuple[int, str], list[tuple[int, set[str]]]] = {}
     for (label, parent), tags in zip(elements[1:], inner[1:]):
