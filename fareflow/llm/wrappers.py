@@ -11,8 +11,8 @@ what stands in the region, without template places and without places that are n
 furniture (menus, adverts, forms, comments and the like), unless they hold most of the varying text.
 Inside a region below the body, headings, lists, quotations and tables stay though they repeat.
 
-Statistics are combining aggregations over places of all pages; alignment is one row per
-shape and host. Only the wrappers, one small row per shape and host, meet the pages again.
+Pages are parsed once and written as blocks. Statistics are combining aggregations over places
+of all pages; alignment is one row per shape and host. Only the wrappers, one small row per shape and host, meet the pages again.
 """
 
 from __future__ import annotations
@@ -479,8 +479,10 @@ def content_places(
 
 # Spark side.
 
-PARSED = "shape string, code long, page long, places array<struct<place: int, digest: long, chars: long>>"
-READ = "code long, blocks array<struct<place: int, text: string>>"
+PARSED = (
+    "shape string, code long, page long, places array<struct<place: int, digest: long, chars: long>>, "
+    "blocks array<struct<place: int, text: string>>"
+)
 
 
 def _code(shape: str) -> int:
@@ -498,16 +500,9 @@ def _measure(pages: pd.Series) -> pd.DataFrame:
         shape = parsed.shape()
         places = [{"place": p, "digest": _code(t), "chars": len(t)} for p, t in joined.items()]
         whole = _code("\n".join([shape, *(f"{p['place']} {p['digest']}" for p in places)]))
-        rows.append((shape, _code(shape), whole, places))
-    return pd.DataFrame(rows, columns=["shape", "code", "page", "places"])
-
-
-def _blocks(pages: pd.Series) -> pd.DataFrame:
-    rows = []
-    for page in pages:
-        parsed = parse(page)
-        rows.append((_code(parsed.shape()), [{"place": p, "text": t} for p, t in parsed.blocks]))
-    return pd.DataFrame(rows, columns=["code", "blocks"])
+        blocks = [{"place": p, "text": t} for p, t in parsed.blocks]
+        rows.append((shape, _code(shape), whole, places, blocks))
+    return pd.DataFrame(rows, columns=["shape", "code", "page", "places", "blocks"])
 
 
 def _aligned(shapes: pd.Series, references: pd.Series) -> pd.Series:
@@ -538,12 +533,17 @@ def _contents(batch: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         ])
 
 
-def induce(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
-    """The wrappers: ``host``, ``code`` of a shape, and its ``content`` places."""
+def read_pages(pages: DataFrame, host: Column, html: str = "html") -> DataFrame:
+    """``pages`` parsed once and written down: ``host`` and the columns of ``PARSED`` in place of ``html``."""
     small_batches(pages.sparkSession)
-    measured = pages.select(host.alias("host"), F.pandas_udf(_measure, PARSED)(F.col(html)).alias("p"))
+    parsed = pages.select(*[c for c in pages.columns if c != html], host.alias("host"), F.pandas_udf(_measure, PARSED)(html).alias("p"))
+    return stored(parsed.select("*", "p.*").drop("p"), "wrapper_pages")
+
+
+def induce(read: DataFrame) -> DataFrame:
+    """The wrappers of ``read_pages``: ``host``, ``code`` of a shape, and its ``content`` places."""
     # Copies of a page count once: what stands only in them does not repeat on different pages.
-    measured = measured.select("host", "p.page", "p.code", "p.shape", "p.places").dropDuplicates(["host", "page"])
+    measured = read.select("host", "page", "code", "shape", "places").dropDuplicates(["host", "page"])
     # A shape's row first, with place -1, so that one pass over the pages serves both counts. Only it carries the shape.
     shape_row = F.array(F.struct(F.lit(-1).alias("place"), F.lit(0).cast("long").alias("digest"), F.lit(0).cast("long").alias("chars")))
     rows = measured.select("host", "code", "shape", F.explode(F.concat(shape_row, "places")).alias("at"))
@@ -604,13 +604,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     stay, and none is a template of the other: a place must repeat on ``TEMPLATE_PAGES`` different pages
     while the rest of the host varies.
     """
-    small_batches(pages.sparkSession)
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    host = host_and_path(F.col("url"))[0]
-    wrappers = induce(rows, host)
-    read = rows.select("page_id", "url", host.alias("host"), F.pandas_udf(_blocks, READ)("html").alias("p"))
-    read = read.select("page_id", "url", "host", "p.code", "p.blocks")
-    joined = read.join(wrappers, ["host", "code"])
+    read = read_pages(rows, host_and_path(F.col("url"))[0])
+    joined = read.select("page_id", "url", "host", "code", "blocks").join(induce(read), ["host", "code"])
     kept = F.filter("blocks", lambda b: F.array_contains("content", b["place"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
