@@ -10,15 +10,15 @@ from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
 from fareflow.session import scratch_path
 from fareflow.sources.claims import Claim, claimed
-from fareflow.sources.lake import write_lake
+from fareflow.sources.lake import stored_bytes, write_lake
 from fareflow.sources.ledger import append, list_files, new_files, read_ledger, record
-from fareflow.sources.trip_csv import read_trip_csv
+from fareflow.sources.trip_csv import MALFORMED, line_counts, read_marked_csv
 
 # What Spark says when the data of a file, rather than the job, is at fault.
 _FILE_ERRORS = ("FAILED_READ_FILE", "PATH_NOT_FOUND")
@@ -30,11 +30,15 @@ class LoadError(RuntimeError):
 
 @dataclass
 class LoadReport:
-    """Counts; which files failed and why is in the ledger, beside the first of them here."""
+    """Counts; which files failed and why is in the ledger, beside the first of them here.
+
+    ``dropped`` are the malformed lines of loaded files; the ledger has them by file.
+    """
 
     loaded: int = 0
     batches: int = 0
     failed: int = 0
+    dropped: int = 0
     first_failed: str | None = None
 
     def check(self) -> None:
@@ -51,6 +55,7 @@ def load_new_files(
     files_per_batch: int = 10_000,
     match_header: bool = False,
     files: DataFrame | None = None,
+    most_malformed: float = 1.0,
 ) -> LoadReport:
     """Load every file below ``raw_root`` the ledger does not hold as loaded.
 
@@ -64,7 +69,10 @@ def load_new_files(
     out of it. So runs at the same time, whatever each of them has listed, take turns by batch
     and load every file once.
 
-    An unreadable file is recorded as failed and its batch tried again without it. Call
+    An unreadable file is recorded as failed and its batch tried again without it, and so is a
+    file of which more than the share ``most_malformed`` of all lines does not fit the layout.
+    Such lines of other files are left out, and their number is recorded with the file. The write counts
+    them as it goes; only a batch that has some is read once more, to tell the files apart. Call
     ``check()`` on the report to raise for failed files. ``files`` may hold the listing.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
@@ -77,7 +85,7 @@ def load_new_files(
         with claimed(spark, ledger_root, "load") as claim:
             part = new_files(part, read_ledger(spark, ledger_root))
             paths = [row.path for row in part.select("path").collect()]
-            _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report, claim)
+            _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report, claim, most_malformed)
     return report
 
 
@@ -131,13 +139,14 @@ def _load_batch(
     match_header: bool,
     report: LoadReport,
     claim: Claim,
+    most_malformed: float,
 ) -> None:
     """Load the files named by ``paths``, a bounded number, setting unreadable ones apart."""
     while paths:
         batch_id = _batch_id(paths)
         try:
-            raw = read_trip_csv(files.sparkSession, [_literal(p) for p in paths], match_header=match_header)
-            write_lake(lake_rows(raw, loaded_at), f"{lake_root}/batch_id={batch_id}", "overwrite")
+            raw = read_marked_csv(files.sparkSession, [_literal(p) for p in paths], match_header=match_header)
+            dropped, too_many = _load_lines(raw, f"{lake_root}/batch_id={batch_id}", loaded_at, paths, most_malformed)
         except (Py4JJavaError, PySparkException) as error:
             reason = _file_error(error)
             if reason is None:
@@ -147,27 +156,65 @@ def _load_batch(
                 middle = len(paths) // 2
                 for part in (paths[:middle], paths[middle:]):
                     of_part = files.where(F.col("path").isin(part))
-                    _load_batch(of_part, part, lake_root, ledger_root, loaded_at, match_header, report, claim)
+                    _load_batch(
+                        of_part, part, lake_root, ledger_root, loaded_at, match_header, report, claim, most_malformed
+                    )
                 return
-            claim.check()
-            record(ledger_root, files.where(F.col("path") == bad), batch_id, "failed", loaded_at, reason)
-            report.failed += 1
-            report.first_failed = report.first_failed or bad
-            paths = [p for p in paths if p != bad]
-            files = files.where(F.col("path") != bad)
+            apart, dropped = [bad], {}
         else:
-            claim.check()
-            record(ledger_root, files, batch_id, "loaded", loaded_at)
+            apart, reason = too_many, f"more than {most_malformed:.2%} of the lines are malformed"
+        claim.check()
+        if not apart:
+            record(ledger_root, _with_dropped(files, dropped), batch_id, "loaded", loaded_at)
             report.loaded += len(paths)
             report.batches += 1
+            report.dropped += sum(dropped.values())
             return
+        failed = files.where(F.col("path").isin(apart))
+        if dropped:
+            failed = _with_dropped(failed, dropped)
+        record(ledger_root, failed, batch_id, "failed", loaded_at, reason)
+        report.failed += len(apart)
+        report.first_failed = report.first_failed or min(apart)
+        paths = [p for p in paths if p not in set(apart)]
+        files = files.where(~F.col("path").isin(apart))
+
+
+def _load_lines(
+    raw: DataFrame, folder: str, loaded_at: datetime, paths: list[str], most_malformed: float
+) -> tuple[dict[str, int], list[str]]:
+    """Write the lines that fit. Returns how many do not, by file that has such, and the files with too many."""
+    seen = Observation()
+    fitting = raw.observe(seen, F.count(MALFORMED).alias("malformed")).where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    write_lake(lake_rows(fitting, loaded_at), folder, "overwrite")
+    # Where nothing was written, Spark may have dropped the counting along with the empty plan.
+    if stored_bytes(raw.sparkSession, folder) and not seen.get["malformed"]:
+        return {}, []
+    # Spark names a file read percent-encoded, a listed one as it is.
+    named = {_one_slash(p): p for p in paths}
+    found = [r for r in line_counts(raw).collect() if r.malformed]
+    counts = [(named[_one_slash(unquote(r.file))], r.lines, r.malformed) for r in found]
+    dropped = {path: malformed for path, _, malformed in counts}
+    return dropped, [path for path, lines, malformed in counts if malformed > most_malformed * lines]
+
+
+def _with_dropped(files: DataFrame, dropped: dict[str, int]) -> DataFrame:
+    """The files with their number of dropped lines."""
+    if not dropped:
+        return files.withColumn("dropped", F.lit(0).cast("long"))
+    counts = files.sparkSession.createDataFrame(list(dropped.items()), "path string, dropped long")
+    return files.join(counts, "path", "left").fillna(0, ["dropped"])
 
 
 def _named_in(reason: str, paths: list[str]) -> str | None:
     """The path an error line names; the longest, should one be the start of another."""
+    said = _decoded(reason)
+    return max((p for p in paths if _decoded(p) in said), key=len, default=None)
+
+
+def _one_slash(text: str) -> str:
+    return re.sub(r"(\w:)/+", r"\1/", text)
 
-    def plain(text: str) -> str:
-        return unquote(re.sub(r"(\w:)/+", r"\1/", text))
 
-    said = plain(reason)
-    return max((p for p in paths if plain(p) in said), key=len, default=None)
+def _decoded(text: str) -> str:
+    return unquote(_one_slash(text))

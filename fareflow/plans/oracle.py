@@ -312,6 +312,12 @@ FROM training, model WHERE NOT in_train""",
         "csv_strict_scan": f"""WITH {TRIPS}
 SELECT {_SHOWN} FROM trips
 WHERE CAST(split_part(trip_id, '-', 1) AS BIGINT) % 13 NOT IN (1, 2, 3, 4)""",
+        "load_account": f"""WITH {TRIPS},
+numbered AS (SELECT CAST(split_part(trip_id, '-', 1) AS BIGINT) AS n FROM trips),
+placed AS (SELECT n, CASE WHEN n % 13 = 2 THEN 5 ELSE n % 5 END AS source FROM numbered)
+SELECT CAST(source AS BIGINT) AS source, CASE WHEN source = 5 THEN 'failed' ELSE 'loaded' END AS status,
+    CAST(count(*) FILTER (n % 13 IN (1, 2, 3, 4)) AS BIGINT) AS dropped
+FROM placed GROUP BY source""",
         "lake_scan": f"""WITH {TRIPS}
 SELECT year, month, count(*) AS count FROM enriched
 WHERE year * 100 + month BETWEEN 199611 AND 199903 GROUP BY year, month ORDER BY year, month""",

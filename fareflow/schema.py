@@ -45,7 +45,7 @@ DAILY_REPORT = (
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
-# One row per file and attempt, plus one `published` row per batch once the
+# One row per file and attempt, with the lines of it that did not fit the layout, plus one `published` row per batch once the
 # downstream jobs have covered it. Compaction adds a `merged` row for each batch it
 # replaces and an `origin` row for each that those had replaced; both name the new batch.
 LEDGER_COLUMNS = """
@@ -56,7 +56,8 @@ LEDGER_COLUMNS = """
     status STRING,
     error STRING,
     recorded_at TIMESTAMP,
-    merged_into STRING
+    merged_into STRING,
+    dropped BIGINT
 """
 
 # What the daily measures are made of, by day and batch.

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareflow.schema import TRIP_COLUMNS
 
+# Holds a line that does not fit the layout, as it stands in the file.
+MALFORMED = "malformed_line"
+
 
 def _strict(match_header: bool) -> dict[str, str]:
     return {
@@ -35,6 +39,29 @@ def read_trip_csv(
     return spark.read.schema(schema).options(**_strict(match_header)).csv(paths)
 
 
+def read_marked_csv(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str = TRIP_COLUMNS,
+    match_header: bool = False,
+) -> DataFrame:
+    """All lines of the files; ``malformed_line`` is null where ``read_trip_csv`` would keep the row."""
+    paths = paths if isinstance(paths, str) else list(paths)
+    options = _strict(match_header) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    return spark.read.schema(f"{schema}, {MALFORMED} STRING").options(**options).csv(paths)
+
+
+def line_counts(marked: DataFrame) -> DataFrame:
+    """``file``, ``lines``, ``malformed`` and a ``checksum`` of every file of ``read_marked_csv`` that has lines."""
+    fields = [c for c in marked.columns if c != MALFORMED]
+    # Spark parses only what a plan uses, so a checksum of all columns stays among the counts.
+    return marked.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count(MALFORMED).alias("malformed"),
+        F.bit_xor(F.xxhash64(*fields)).alias("checksum"),
+    )
+
+
 def stream_trip_csv(
     spark: SparkSession,
     root: str,

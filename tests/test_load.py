@@ -100,6 +100,39 @@ def test_loading_twice_is_loading_once(spark, at):
     assert load(spark, to).loaded == 1 and lake_count(spark, to) == 3
 
 
+def test_malformed_lines_are_counted_by_file(spark, at):
+    raw, to = at
+    put(raw, "a b%20+c.csv", line(1), "too,short", line(2) + ",9", line(3).replace("10:12:00", "noon"))
+    put(raw, "good.csv", line(4), line(5, pickup=False))
+    put(raw, "nothing.csv")
+    put(raw, "unplaced.csv", line(6, pickup=False) + ",9")
+    report = load(spark, to)
+    assert (report.loaded, report.failed, report.dropped) == (4, 0, 4) and lake_count(spark, to) == 2
+    rows = {r.path.rsplit("/", 1)[1]: (r.status, r.dropped) for r in read_ledger(spark, to.ledger).collect()}
+    assert rows == {"a b%20+c.csv": ("loaded", 3), "good.csv": ("loaded", 0), "nothing.csv": ("loaded", 0),
+                    "unplaced.csv": ("loaded", 1)}
+
+
+def test_a_batch_without_a_fitting_line_is_counted_too(spark, at):
+    raw, to = at
+    put(raw, "a.csv", "too,short", "x")
+    put(raw, "none.csv")
+    assert load(spark, to).dropped == 2
+    assert load(spark, to).loaded == 0
+
+
+def test_a_file_with_too_many_malformed_lines_fails(spark, at):
+    raw, to = at
+    put(raw, "half.csv", line(1), "too,short")
+    put(raw, "most.csv", line(2), "too,short", "x")
+    report = load(spark, to, most_malformed=0.5)
+    assert (report.loaded, report.failed, report.dropped) == (1, 1, 1) and lake_count(spark, to) == 1
+    rows = {r.path.rsplit("/", 1)[1]: (r.status, r.dropped, r.error) for r in read_ledger(spark, to.ledger).collect()}
+    assert rows["half.csv"] == ("loaded", 1, None)
+    assert rows["most.csv"][:2] == ("failed", 2) and "malformed" in rows["most.csv"][2]
+    assert load(spark, to).loaded == 1 and lake_count(spark, to) == 2
+
+
 def test_ledger_keeps_what_the_listing_says(spark, at):
     raw, to = at
     put(raw, "a.csv", line(1))
