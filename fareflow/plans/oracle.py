@@ -312,6 +312,17 @@ FROM training, model WHERE NOT in_train""",
         "csv_strict_scan": f"""WITH {TRIPS}
 SELECT {_SHOWN} FROM trips
 WHERE CAST(split_part(trip_id, '-', 1) AS BIGINT) % 13 NOT IN (1, 2, 3, 4)""",
+        "load_clock": f"""WITH {TRIPS}
+SELECT count(*) AS trips, TRUE AS one_time, TRUE AS in_time FROM enriched""",
+        "trained_fares": _model(
+            _ELASTIC_NET,
+            f"""SELECT kept, n, {_settled("rmse", 4)} AS rmse, {_settled("r2", 4)} AS r2,
+    {_settled("intercept", 4)} AS intercept, {_settled("per_mile", 4)} AS per_mile,
+    {_settled("per_passenger", 4)} AS per_passenger
+FROM model, (VALUES (TRUE), (FALSE)) AS k(kept), (
+    SELECT count(*) AS n, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / (var_pop(label) * count(*)) AS r2
+    FROM (SELECT label, label - ({_PREDICTION}) AS e FROM training, model WHERE NOT in_train))""",
+        ),
         "load_account": f"""WITH {TRIPS},
 numbered AS (SELECT CAST(split_part(trip_id, '-', 1) AS BIGINT) AS n FROM trips),
 placed AS (SELECT n, CASE WHEN n % 13 = 2 THEN 5 ELSE n % 5 END AS source FROM numbered)

@@ -18,6 +18,7 @@ from fareflow.plans.compact import compact_lake, remove_merged
 from fareflow.plans.daily import Folders, run_daily
 from fareflow.plans.load import lake_rows, load_new_files, mark_published, stored_listing
 from fareflow.plans.report import add_batch_sums, merge_batch_sums, refresh_daily_report
+from fareflow.plans.train import train_fares
 from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT, DROPOFF, TRIP_COLUMNS
 from fareflow.session import scratch_path
 from fareflow.sources import lake, ledger
@@ -243,6 +244,20 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(fares.score_vectors(test, loaded), "trip_id", digits=3)
 
 
+def trained_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job's model and its quality on the test rows, with the rows kept in memory and read anew."""
+    rows = fares_from_tables(spark, sf_dir)
+    results = []
+    for kept in (True, False):
+        done = train_fares(rows, scratch_path(spark, "model"), KEY, keep_in_memory=kept, chooser=in_split)
+        found = done.summary.asDict() | done.quality.asDict()
+        numbers = [float(found[n]) for n in ("intercept", "per_mile", "per_passenger", "rmse", "r2")]
+        results.append((kept, found["n"], *numbers))
+    layout = "kept boolean, n bigint, intercept double, per_mile double, per_passenger double, rmse double, r2 double"
+    table = spark.createDataFrame(results, layout)
+    return table.select("kept", "n", *[round_stable(F.col(c), 4).alias(c) for c in table.columns[2:]])
+
+
 # --- files, lake and streams ----------------------------------------------------
 
 
@@ -312,6 +327,20 @@ def lake_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unzoned(lake.read_lake(spark, root))
 
 
+def load_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of a lake whose load time is the clock's: one time for all rows of a load, between its start and end."""
+    root = scratch_path(spark, "lake")
+    began = datetime.now(timezone.utc)
+    lake.write_lake(lake_rows(trips_from_tables(spark, sf_dir)), root)
+    ended = datetime.now(timezone.utc)
+    at = F.col("processed_at")
+    return lake.read_lake(spark, root).agg(
+        F.count(F.lit(1)).alias("trips"),
+        (F.min(at) == F.max(at)).alias("one_time"),
+        F.bool_and(at.between(F.lit(began), F.lit(ended))).alias("in_time"),
+    )
+
+
 def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
     lake.write_lake(_enriched(spark, sf_dir), root)
@@ -609,6 +638,8 @@ def queries() -> dict[str, Query]:
         "model_roundtrip": model_roundtrip,
         "csv_strict_scan": csv_strict_scan,
         "load_account": load_account,
+        "load_clock": load_clock,
+        "trained_fares": trained_fares,
         "lake_scan": lake_scan,
         "lake_write_roundtrip": lake_write_roundtrip,
         "stats_write_roundtrip": stats_write_roundtrip,

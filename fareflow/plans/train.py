@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 
 from fareflow.functions import in_hash_split
 from fareflow.operators.fares import (
@@ -49,9 +49,12 @@ def train_fares(
     model_path: str,
     split_keys: Sequence[str] = SPLIT_KEYS,
     keep_in_memory: bool = False,
+    chooser: Callable[[Sequence[str], int], Column] = in_hash_split,
 ) -> TrainReport:
     """Fit on the train part of the lake's trips, evaluate on the rest, save the model.
 
+    ``chooser`` splits by key; ``in_split`` gives a split that other engines can repeat.
+
     The two passes read a handful of columns each, which beats storing the cleaned
     rows unless the cluster's memory holds them: then pass ``keep_in_memory``.
     """
@@ -60,14 +63,16 @@ def train_fares(
     usable = training_set(trips, keep=keys)
     names = [f"key_{name}" for name in split_keys]
     if not keep_in_memory:
-        return _train(usable, names, model_path)
+        return _train(usable, names, model_path, chooser)
     with persisted(usable) as kept:
-        return _train(kept, names, model_path)
+        return _train(kept, names, model_path, chooser)
 
 
-def _train(usable: DataFrame, keys: Sequence[str], model_path: str) -> TrainReport:
+def _train(
+    usable: DataFrame, keys: Sequence[str], model_path: str, chooser: Callable[[Sequence[str], int], Column]
+) -> TrainReport:
     spark = usable.sparkSession
-    train, test = stable_split(usable, keys, chooser=in_hash_split)
+    train, test = stable_split(usable, keys, chooser=chooser)
     model = fit_fares(train)
     model.write().overwrite().save(model_path)
     return TrainReport(
