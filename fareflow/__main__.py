@@ -20,6 +20,7 @@ from fareflow.schema import TRIP_COLUMNS
 from fareflow.session import prepare
 from fareflow.sources.lake import read_lake
 from fareflow.sources.ledger import read_ledger
+from fareflow.sources.listing import walk_folders
 from fareflow.sources.trip_csv import stream_trip_csv
 from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake
@@ -36,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
         "sums": "daily sums by batch",
         "report": "daily statistics",
         "model": "fitted fare model",
+        "listing": "index of the raw folder; with one, only folders that have changed are listed",
     }
 
     def job(name: str, text: str, *needed: str, optional: tuple[str, ...] = ()) -> None:
@@ -43,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
         for folder in (*needed, *optional):
             sub.add_argument(f"--{folder}", required=folder in needed, help=folders[folder])
 
-    job("load", "load new CSV files into the lake", "raw", "lake", "ledger")
+    job("load", "load new CSV files into the lake", "raw", "lake", "ledger", optional=("listing",))
     job("stream", "the same as a stream", "raw", "lake", "ledger", "checkpoint")
     job("follow", "daily statistics as a stream over the ledger", "lake", "ledger", "sums", "checkpoint")
     job("compact", "merge the lake's small batches", "lake", "ledger", optional=("sums",))
@@ -51,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     job("preview", "first days of the statistics and trips per month", "lake", optional=("ledger",))
     job("train", "fit and save the fare model", "lake", "model", optional=("ledger",))
     job("score", "try a saved model on a few trips", "model")
-    job("run", "load, report and train", "raw", "lake", "ledger", "report", "model")
+    job("run", "load, report and train", "raw", "lake", "ledger", "report", "model", optional=("listing",))
     return parser
 
 
@@ -73,7 +75,8 @@ def main() -> None:
     spark = prepare(SparkSession.builder.appName(f"fareflow {args.job}").getOrCreate())
     try:
         if args.job == "load":
-            report = load_new_files(spark, args.raw, args.lake, args.ledger)
+            files = walk_folders(spark, args.raw, args.listing).files if args.listing else None
+            report = load_new_files(spark, args.raw, args.lake, args.ledger, files=files)
             print(f"{report.loaded} file(s) loaded")
             report.check()
         elif args.job == "stream":
@@ -99,7 +102,7 @@ def main() -> None:
             fares.score(fares.named_trips(spark), model).show(truncate=False)
         else:
             run = run_daily(
-                spark, Folders(args.raw, args.lake, args.ledger, args.report, args.model)
+                spark, Folders(args.raw, args.lake, args.ledger, args.report, args.model, args.listing)
             )
             if run.report is None:
                 print("nothing new")

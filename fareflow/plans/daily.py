@@ -12,6 +12,7 @@ from fareflow.plans.train import TrainReport, train_fares
 from fareflow.schema import BATCH_LAKE_COLUMNS
 from fareflow.sources.lake import read_lake
 from fareflow.sources.ledger import has_new_data, list_files, read_ledger, unpublished_batches
+from fareflow.sources.listing import walk_folders
 
 
 @dataclass
@@ -21,6 +22,8 @@ class Folders:
     ledger: str
     report: str
     model: str
+    listing: str | None = None
+    """Index of ``raw``; with one, only folders that have changed are listed."""
 
     @property
     def sums(self) -> str:
@@ -49,7 +52,7 @@ def run_daily(
     the new batches only and merges their daily sums with the older ones'; the fit reads the
     lake. Unreadable files keep the gate open; ``strict`` raises for them after all else is done.
     """
-    files = list_files(spark, at.raw)
+    files = walk_folders(spark, at.raw, at.listing).files if at.listing else list_files(spark, at.raw)
     run = DailyRun(LoadReport(), open_before=has_new_data(files, read_ledger(spark, at.ledger)))
     if run.open_before:
         run.load = load_new_files(

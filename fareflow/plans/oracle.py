@@ -344,6 +344,15 @@ SELECT path, name FROM named WHERE path >= 'raw/1998'
 SELECT count(DISTINCT coalesce(passenger_count, -1)) AS sources_found, TRUE AS open_before,
     TRUE AS open_after_load, FALSE AS open_after_publish, CAST(0 AS BIGINT) AS files_left
 FROM trips""",
+        "indexed_listing": f"""WITH {TRIPS},
+parts AS (SELECT coalesce(passenger_count, -1) AS source,
+    CASE WHEN source < 2 OR (source = 2 AND CAST(split_part(trip_id, '-', 1) AS BIGINT) % 2 = 1)
+        THEN 1 ELSE 2 END AS part, tpep_pickup_datetime IS NOT NULL AS has_time FROM trips),
+steps AS (SELECT CAST(step AS BIGINT) AS step, 1 + count(DISTINCT source) FILTER (part <= step) AS folders,
+    1 + count(DISTINCT source) FILTER (part = step) AS changed, count(*) FILTER (part <= step AND has_time) AS trips
+    FROM parts, (VALUES (1), (2), (3)) AS v(step) GROUP BY ALL)
+SELECT step, folders, CASE WHEN step < 3 THEN changed ELSE 0 END AS listed, CAST(0 AS BIGINT) AS unlike, trips
+FROM steps""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
         "compacted_lake": _LAKE,

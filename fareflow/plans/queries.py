@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import partial, reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +22,7 @@ from fareflow.plans.train import train_fares
 from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT, DROPOFF, TRIP_COLUMNS
 from fareflow.session import scratch_path
 from fareflow.sources import lake, ledger
+from fareflow.sources.listing import walk_folders
 from fareflow.sources.tables import fares_from_tables, trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
 from fareflow.streaming.feed import follow_ledger, followed_report
@@ -280,10 +281,11 @@ def _raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_tables(spark, sf_dir).withColumns(more).select("trip_id", *RAW_COLUMNS)
 
 
-def _write_raw_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Raw CSV files with a header, one folder per passenger count."""
+def _write_raw_csv(spark: SparkSession, sf_dir: str, root: str, only: Column | None = None) -> None:
+    """Raw CSV files with a header, one folder per passenger count; ``only`` some trips, beside what is there."""
     rows = _raw_trips(spark, sf_dir).withColumn("source", F.coalesce("passenger_count", F.lit(-1)))
-    rows.drop("trip_id").write.option("header", True).partitionBy("source").csv(root)
+    rows = rows if only is None else rows.where(only)
+    rows.drop("trip_id").write.option("header", True).partitionBy("source").csv(root, mode="append")
 
 
 def _damaged_lines(rows: DataFrame, *beside: Column) -> DataFrame:
@@ -418,6 +420,25 @@ def new_data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def indexed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three walks by an index, each with a load of what it finds: over some folders, over those, one of
+    them grown, and new ones, and with nothing changed."""
+    at, index = _places(spark), scratch_path(spark, "index")
+    odd = F.substring_index("trip_id", "-", 1).cast("bigint") % 2 == 1
+    first = (F.col("source") < 2) | ((F.col("source") == 2) & odd)
+    results = []
+    for step, part in enumerate((first, ~first, None), 1):
+        if part is not None:
+            _write_raw_csv(spark, sf_dir, at.raw, part)
+        walk = walk_folders(spark, at.raw, index, settles=timedelta(0))
+        whole = ledger.list_files(spark, at.raw)
+        unlike = whole.exceptAll(walk.files).unionByName(walk.files.exceptAll(whole)).count()
+        load_new_files(spark, at.raw, at.lake, at.ledger, files=walk.files)
+        trips = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger)).count()
+        results.append((step, walk.folders, walk.listed, unlike, trips))
+    return spark.createDataFrame(results, "step bigint, folders bigint, listed bigint, unlike bigint, trips bigint")
+
+
 def _loaded(spark: SparkSession, sf_dir: str) -> Folders:
     """The raw folder loaded twice, in small batches."""
     at = _places(spark)
@@ -646,6 +667,7 @@ def queries() -> dict[str, Query]:
         "new_files": new_files,
         "absent_files": absent_files,
         "new_data_gate": new_data_gate,
+        "indexed_listing": indexed_listing,
         "ledger_append": ledger_append,
         "stream_ingest": stream_ingest,
         "stream_daily_stats": stream_daily_stats,
