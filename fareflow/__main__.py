@@ -19,9 +19,10 @@ from fareflow.plans.train import TrainReport, train_fares
 from fareflow.schema import TRIP_COLUMNS
 from fareflow.session import prepare
 from fareflow.sources.lake import read_lake
-from fareflow.sources.ledger import read_ledger
+from fareflow.sources.ledger import list_files, read_ledger
 from fareflow.sources.listing import walk_folders
 from fareflow.sources.trip_csv import stream_trip_csv
+from fareflow.streaming.arrivals import announce, load_arrivals
 from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake
 
@@ -34,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
         "lake": "Parquet trips",
         "ledger": "record of loaded files",
         "checkpoint": "the stream's record of what it has read",
+        "arrivals": "announcements of files to load",
         "sums": "daily sums by batch",
         "report": "daily statistics",
         "model": "fitted fare model",
@@ -47,6 +49,10 @@ def _parser() -> argparse.ArgumentParser:
 
     job("load", "load new CSV files into the lake", "raw", "lake", "ledger", optional=("listing",))
     job("stream", "the same as a stream", "raw", "lake", "ledger", "checkpoint")
+    job(
+        "arrivals", "announce new CSV files and load what is announced, as a stream",
+        "raw", "lake", "ledger", "arrivals", "checkpoint", optional=("listing",),
+    )
     job("follow", "daily statistics as a stream over the ledger", "lake", "ledger", "sums", "checkpoint")
     job("compact", "merge the lake's small batches", "lake", "ledger", optional=("sums",))
     job("report", "rebuild the daily statistics", "lake", "report", optional=("ledger",))
@@ -82,6 +88,10 @@ def main() -> None:
         elif args.job == "stream":
             raw = stream_trip_csv(spark, args.raw, TRIP_COLUMNS)
             stream_to_lake(raw, args.lake, args.ledger, args.checkpoint).awaitTermination()
+        elif args.job == "arrivals":
+            files = walk_folders(spark, args.raw, args.listing).files if args.listing else list_files(spark, args.raw)
+            print(f"{announce(files, args.ledger, args.arrivals)} file(s) announced")
+            load_arrivals(spark, args.arrivals, args.lake, args.ledger, args.checkpoint).awaitTermination()
         elif args.job == "compact":
             made = compact_lake(spark, args.lake, args.ledger, args.sums)
             print(f"{len(made)} merged batch(es) written")

@@ -355,6 +355,7 @@ SELECT step, folders, CASE WHEN step < 3 THEN changed ELSE 0 END AS listed, CAST
 FROM steps""",
         "ledger_append": _LAKE,
         "stream_ingest": _LAKE,
+        "announced_stream": _LAKE,
         "compacted_lake": _LAKE,
         "compacted_report": report,
         "concurrent_loads": _LAKE,

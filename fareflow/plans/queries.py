@@ -25,6 +25,7 @@ from fareflow.sources import lake, ledger
 from fareflow.sources.listing import walk_folders
 from fareflow.sources.tables import fares_from_tables, trips_from_tables
 from fareflow.sources.trip_csv import read_trip_csv, stream_trip_csv
+from fareflow.streaming.arrivals import announce, load_arrivals
 from fareflow.streaming.feed import follow_ledger, followed_report
 from fareflow.streaming.load import stream_to_lake
 from fareflow.streaming.stats import (
@@ -565,6 +566,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
 
 
+def announced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake contents after files came in two parts, were announced, one part twice, and loaded by a stream."""
+    at, arrivals, checkpoint = _places(spark), scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    early = F.col("source") < 3
+    for part in (early, ~early):
+        _write_raw_csv(spark, sf_dir, at.raw, part)
+        files = walk_folders(spark, at.raw, scratch_path(spark, "index")).files
+        for _ in range(2 if part is early else 1):
+            announce(files, at.ledger, arrivals)
+        load_arrivals(spark, arrivals, at.lake, at.ledger, checkpoint).awaitTermination()
+    rows = lake.read_lake(spark, at.lake, ledger=ledger.read_ledger(spark, at.ledger))
+    return unzoned(rows).select(*RAW_COLUMNS, "year", "month")
+
+
 def _lake_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None) -> DataFrame:
     root = scratch_path(spark, "lake")
     rows = _enriched(spark, sf_dir)
@@ -670,6 +685,7 @@ def queries() -> dict[str, Query]:
         "indexed_listing": indexed_listing,
         "ledger_append": ledger_append,
         "stream_ingest": stream_ingest,
+        "announced_stream": announced_stream,
         "stream_daily_stats": stream_daily_stats,
         "stream_closed_days": stream_closed_days,
         "compacted_lake": compacted_lake,

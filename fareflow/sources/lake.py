@@ -133,6 +133,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(folder).getLength()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder and those above it, unless it is there."""
+    system, folder = _hadoop(spark, path)
+    system.mkdirs(folder)
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
