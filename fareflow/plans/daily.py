@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fareflow.plans.load import LoadReport, load_new_files, mark_published, stored_listing
-from fareflow.plans.report import add_batch_sums, merge_batch_sums
+from fareflow.plans.report import add_batch_sums, update_report
 from fareflow.plans.train import TrainReport, train_fares
 from fareflow.schema import BATCH_LAKE_COLUMNS
 from fareflow.sources.lake import read_lake
@@ -35,6 +35,7 @@ class Folders:
 class DailyRun:
     load: LoadReport
     report: DataFrame | None = None
+    days_rewritten: int = 0
     training: TrainReport | None = None
     open_before: bool = False
     open_after_load: bool = False
@@ -49,8 +50,8 @@ def run_daily(
     The gate is open while there are files to load or batches the report and the model do
     not cover. Behind a closed gate nothing runs. If the report or the fit fails, its batches
     stay unpublished, so the next run tries again even without new files. The report reads
-    the new batches only and merges their daily sums with the older ones'; the fit reads the
-    lake. Unreadable files keep the gate open; ``strict`` raises for them after all else is done.
+    the new batches only and merges their days with the older sums; other days are carried over
+    from its last version. The fit reads the lake. Unreadable files keep the gate open; ``strict`` raises for them after all else is done.
     """
     files = walk_folders(spark, at.raw, at.listing).files if at.listing else list_files(spark, at.raw)
     run = DailyRun(LoadReport(), open_before=has_new_data(files, read_ledger(spark, at.ledger)))
@@ -64,7 +65,7 @@ def run_daily(
     if run.open_after_load:
         fresh = stored_listing(unpublished_batches(ledger))
         add_batch_sums(spark, at.lake, ledger, at.sums)
-        run.report = merge_batch_sums(spark, ledger, at.sums, at.report)
+        run.report, run.days_rewritten = update_report(spark, at.ledger, at.sums, at.report, fresh)
         trips = read_lake(spark, at.lake, ledger=ledger, schema=BATCH_LAKE_COLUMNS)
         run.training = train_fares(trips, at.model)
         mark_published(spark, at.ledger, fresh)

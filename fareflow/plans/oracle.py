@@ -365,6 +365,14 @@ FROM steps""",
         "dead_batch_hidden": f"""WITH {TRIPS}
 SELECT {_SHOWN}, year, month, via FROM enriched, (VALUES ('batch'), ('stream')) AS v(via)""",
         "incremental_report": report,
+        "updated_report": f"""WITH {TRIPS},
+parts AS (SELECT date_trunc('day', tpep_pickup_datetime) AS day,
+    CASE WHEN CAST(split_part(trip_id, '-', 1) AS BIGINT) % 17 = 0 THEN 3
+        ELSE year(tpep_pickup_datetime) % 2 + 1 END AS part
+    FROM valid WHERE tpep_pickup_datetime IS NOT NULL)
+SELECT CAST(step AS BIGINT) AS step, count(DISTINCT day) FILTER (part <= step) AS days,
+    count(DISTINCT day) FILTER (part = step) AS rewritten, count(*) FILTER (part <= step) AS trips
+FROM parts, (VALUES (1), (2), (3)) AS v(step) GROUP BY ALL""",
         "daily_run": f"""WITH days AS ({_daily(_REPORT)})
 SELECT count(*) AS days, CAST(sum(total_trips) AS BIGINT) AS trips, {_settled("sum(total_revenue)", 2)} AS revenue,
     CAST(1 AS BIGINT) AS files_failed, TRUE AS open_before, TRUE AS open_after_load,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from fareflow.operators.stats import added_sums, daily_stats_full, daily_sums, merged_days
 from fareflow.schema import BATCH_LAKE_COLUMNS, DAILY_REPORT, SUMS_COLUMNS
 from fareflow.session import scratch_path
+from fareflow.sources.claims import claimed
 from fareflow.sources.lake import loaded_batches, read_report, write_report
-from fareflow.sources.ledger import unpublished_batches
+from fareflow.sources.ledger import read_ledger, unpublished_batches
 
 
 def refresh_daily_report(
@@ -119,3 +120,39 @@ def merge_batch_sums(
     counted = counted_sums(read_sums(spark, sums_root), ledger)
     write_report(merged_days(counted, calculated_at).select(*DAILY_REPORT), path)
     return read_report(spark, path).orderBy("date")
+
+
+def update_report(
+    spark: SparkSession,
+    ledger_root: str,
+    sums_root: str,
+    path: str,
+    fresh: DataFrame,
+    calculated_at: Column | datetime | None = None,
+) -> tuple[DataFrame, int]:
+    """The report with the days of ``fresh`` batches merged anew, and how many days those are.
+
+    The other days are carried over from the last version as they are, with the time they were
+    calculated at; that version has to cover every published batch. Sums are looked up between
+    the first and the last of the days only. Without a last version all days are merged. Updates
+    take turns and read the ledger when it is theirs, so none loses what another has reported.
+    """
+    with claimed(spark, path, "report"):
+        sums = read_sums(spark, sums_root)
+        counted = counted_sums(sums, read_ledger(spark, ledger_root))
+        try:
+            last = read_report(spark, path)
+        except FileNotFoundError:
+            days = stored_ids(counted.select("bucket").distinct())
+            report = merged_days(counted, calculated_at).select(*DAILY_REPORT)
+        else:
+            days = stored_ids(sums.join(fresh, "batch_id", "left_semi").select("bucket").distinct())
+            ends = days.agg(F.min("bucket").alias("lowest"), F.max("bucket").alias("highest")).first()
+            # A day more at both ends, for hours that the driver's own zone has twice.
+            day = timedelta(days=1)
+            between = F.col("bucket").between(ends.lowest - day, ends.highest + day) if ends.lowest else F.lit(False)
+            merged = merged_days(counted.where(between).join(days, "bucket", "left_semi"), calculated_at)
+            carried = last.join(days.select(F.col("bucket").alias("date")), "date", "left_anti")
+            report = carried.select(*DAILY_REPORT).unionByName(merged.select(*DAILY_REPORT))
+        write_report(report, path)
+        return read_report(spark, path).orderBy("date"), days.count()
