@@ -279,6 +279,18 @@ def test_daily_run_end_to_end(spark, at):
     assert again.load.loaded == 0 and again.report is None and again.training is None
 
 
+def test_daily_run_by_an_index(spark, at, tmp_path):
+    raw, to = at
+    to.listing = str(tmp_path / "listing")
+    put(raw, "deep/a.csv", *[line(1 + n % 28, 0.5 + n / 10) for n in range(200)])
+    assert run_daily(spark, to).days_rewritten == 28
+    put(raw, "deep/b c.csv", line(3), line(4))
+    again = run_daily(spark, to)
+    assert again.load.loaded == 1 and again.days_rewritten == 2
+    assert again.report.agg(F.sum("total_trips")).first()[0] == 202
+    assert not run_daily(spark, to).open_before
+
+
 def test_daily_run_repeats_a_step_that_failed(spark, at, monkeypatch):
     raw, to = at
     put(raw, "a.csv", *[line(1 + n % 28, 0.5 + n / 10) for n in range(200)])
