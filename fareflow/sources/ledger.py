@@ -7,6 +7,7 @@ new and is tried again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -20,10 +21,17 @@ from fareflow.sources.lake import loaded_batches
 
 # The listing's tasks, however many and however large the files are.
 LISTING_TASKS = 200
+# Raw files, as they are or compressed; Spark's CSV source reads both.
+RAW_SUFFIXES = (".csv", ".csv.gz")
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
-    """Every file below ``root`` ending in ``suffix``, written down once and read back.
+def name_pattern(suffixes: str | Sequence[str]) -> str:
+    """A glob for names that end in one of the suffixes, which may hold wildcards."""
+    return f"*{suffixes}" if isinstance(suffixes, str) else f"*{{{','.join(suffixes)}}}"
+
+
+def list_files(spark: SparkSession, root: str, suffix: str | Sequence[str] = RAW_SUFFIXES) -> DataFrame:
+    """Every file below ``root`` ending in ``suffix``, or in one of several, written down once and read back.
 
     Contents are not read, but Spark deals files out by their length, so large ones would
     get a task each. A session of its own bounds the tasks without touching this one's settings.
@@ -33,7 +41,7 @@ def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFram
     files = (
         lister.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}")
+        .option("pathGlobFilter", name_pattern(suffix))
         .load(root)
     )
     found = files.select("path", "length", F.col("modificationTime").alias("modified_at"))

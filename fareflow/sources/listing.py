@@ -8,9 +8,10 @@ up. Stores that keep no times of folders (object stores) are listed whole each t
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from fareflow.session import scratch_path
 from fareflow.sources.claims import claimed
 from fareflow.sources.lake import read_report, write_report
-from fareflow.sources.ledger import LISTING_TASKS
+from fareflow.sources.ledger import LISTING_TASKS, RAW_SUFFIXES
 
 ENTRY = "folder string, path string, is_folder boolean, length bigint, modified_at timestamp"
 # A folder changed this shortly before a walk is listed again by the next one: it may have
@@ -47,9 +48,13 @@ class Walk:
 
 
 def walk_folders(
-    spark: SparkSession, root: str, index: str, suffix: str = ".csv", settles: timedelta = SETTLES
+    spark: SparkSession,
+    root: str,
+    index: str,
+    suffix: str | Sequence[str] = RAW_SUFFIXES,
+    settles: timedelta = SETTLES,
 ) -> Walk:
-    """Every file below ``root`` ending in ``suffix``, by the index of the last walk and what changed since.
+    """Every file below ``root`` ending in ``suffix``, or in one of several, by the index of the last walk and what changed since.
 
     Hidden names (``.x``, ``_x``) are left out, as Spark does. A file that is overwritten in
     place leaves its folder's time as it is, so its length and time may be old ones; a loaded file is
@@ -65,7 +70,9 @@ def walk_folders(
         entries, folders, listed = _walked(spark, _qualified(spark, root), known)
         settled = F.coalesce(F.col("modified_at") < F.lit(began - settles), F.lit(False))
         write_report(entries.withColumn("settled", settled), index, sort_by="path")
-    files = entries.where(~F.col("is_folder") & F.col("path").endswith(suffix))
+    endings = [suffix] if isinstance(suffix, str) else suffix
+    named = reduce(lambda a, b: a | b, [F.col("path").endswith(end) for end in endings])
+    files = entries.where(~F.col("is_folder") & named)
     return Walk(files.select("path", "length", "modified_at"), folders, listed)
 
 

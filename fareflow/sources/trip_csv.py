@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.schema import TRIP_COLUMNS
+from fareflow.sources.ledger import RAW_SUFFIXES, name_pattern
 
 # Holds a line that does not fit the layout, as it stands in the file.
 MALFORMED = "malformed_line"
@@ -69,7 +70,7 @@ def stream_trip_csv(
     files_per_trigger: int | None = 10_000,
     match_header: bool = False,
 ) -> DataFrame:
-    """The same rows as an incremental stream over every ``*.csv`` below ``root``.
+    """The same rows as an incremental stream over every ``*.csv`` or ``*.csv.gz`` below ``root``.
 
     ``maxFileAge`` is raised from its default of a week, past which Spark would skip
     a late file that is older than the newest one seen.
@@ -78,7 +79,7 @@ def stream_trip_csv(
         spark.readStream.schema(schema)
         .options(**_strict(match_header))
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", name_pattern(RAW_SUFFIXES))
         .option("maxFileAge", "36500d")
     )
     if files_per_trigger is not None:

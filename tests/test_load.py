@@ -364,6 +364,33 @@ def test_large_batches_are_neither_read_nor_written(spark, at):
     assert compact_lake(spark, to.lake, to.ledger, fan_in=2, smallest=limit * 10, largest=limit) == []
 
 
+def test_compressed_raw_files_are_found(spark, at, tmp_path):
+    """By the listing, the walk and the stream, without being asked for."""
+    from fareflow.sources.listing import walk_folders
+    from fareflow.sources.trip_csv import stream_trip_csv
+
+    raw, to = at
+    put(raw, "a.csv", line(1))
+    (raw / "b.csv.gz").write_bytes(gzip.compress(f"{HEADER}\n{line(2)}\n{line(3)}\n".encode()))
+    put(raw, "c.csv.bak", line(4))
+    listed, walked = list_files(spark, to.raw), walk_folders(spark, to.raw, str(tmp_path / "index")).files
+    for files in (listed, walked):
+        assert sorted(r.path.rsplit("/", 1)[1] for r in files.collect()) == ["a.csv", "b.csv.gz"]
+    sink = stream_trip_csv(spark, to.raw).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    sink.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert load(spark, to).loaded == 2 and lake_count(spark, to) == 3
+
+
+def test_queries_pack_their_raw_files(spark, tmp_path, sf_dir):
+    from fareflow.plans import queries
+
+    queries._write_raw_csv(spark, sf_dir, str(tmp_path / "packed"))
+    names = [p for p in (tmp_path / "packed").rglob("part-*")]
+    assert names and all(p.name.endswith(".csv.gz") for p in names)
+    assert 2 * sum(p.stat().st_size for p in names) < sum(len(gzip.decompress(p.read_bytes())) for p in names)
+
+
 def test_published_and_unpublished_do_not_mix(spark, at):
     raw, to = at
     put_month(raw, "a.csv", 3)
