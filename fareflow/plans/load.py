@@ -17,7 +17,7 @@ from fareflow.operators.trips import enrich_trips, normalize_columns
 from fareflow.session import scratch_path
 from fareflow.sources.claims import Claim, claimed
 from fareflow.sources.lake import stored_bytes, write_lake
-from fareflow.sources.ledger import append, list_files, new_files, read_ledger, record
+from fareflow.sources.ledger import append, ledger_files, list_files, new_files, read_ledger, record
 from fareflow.sources.trip_csv import MALFORMED, line_counts, read_marked_csv
 
 # What Spark says when the data of a file, rather than the job, is at fault.
@@ -67,7 +67,8 @@ def load_new_files(
 
     A batch is loaded under a claim on the ledger, and what the ledger holds by then is left
     out of it. So runs at the same time, whatever each of them has listed, take turns by batch
-    and load every file once.
+    and load every file once. The ledger is read for that only if it holds files this run has neither
+    seen at its start nor written.
 
     An unreadable file is recorded as failed and its batch tried again without it, and so is a
     file of which more than the share ``most_malformed`` of all lines does not fit the layout.
@@ -77,15 +78,19 @@ def load_new_files(
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
     files = list_files(spark, raw_root) if files is None else files
+    known = ledger_files(spark, ledger_root)
     pending = stored_listing(new_files(files, read_ledger(spark, ledger_root)))
     count = -(-pending.count() // files_per_batch)
     report = LoadReport()
     for k in range(count):
         part = pending.where(F.pmod(F.xxhash64("path"), F.lit(count)) == k)
         with claimed(spark, ledger_root, "load") as claim:
-            part = new_files(part, read_ledger(spark, ledger_root))
+            found = ledger_files(spark, ledger_root)
+            if not found <= known:
+                part = new_files(part, read_ledger(spark, ledger_root))
             paths = [row.path for row in part.select("path").collect()]
             _load_batch(part, paths, lake_root, ledger_root, loaded_at, match_header, report, claim, most_malformed)
+            known |= ledger_files(spark, ledger_root) - found
     return report
 
 

@@ -143,6 +143,11 @@ def _log_files(spark: SparkSession, root: str, besides: set[str]) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")) and n not in besides)
 
 
+def ledger_files(spark: SparkSession, root: str) -> set[str]:
+    """What the ledger is made of now, by name: log files and folded copies. Whatever is recorded adds a name."""
+    return {*_log_files(spark, root, besides=set()), *(f"{_FOLDED}/{version}" for version in _folded(spark, root))}
+
+
 def record(
     ledger_root: str,
     files: DataFrame,

@@ -364,6 +364,44 @@ def test_large_batches_are_neither_read_nor_written(spark, at):
     assert compact_lake(spark, to.lake, to.ledger, fan_in=2, smallest=limit * 10, largest=limit) == []
 
 
+def test_a_load_alone_reads_the_ledger_once(spark, at, monkeypatch):
+    """Whatever the number of batches; another load's entries make it look again."""
+    import fareflow.plans.load as job
+
+    raw, to = at
+    for n in range(8):
+        put(raw, f"{n}.csv", line(1 + n))
+    reads = []
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "read_ledger", lambda *a: reads.append(1) or read_ledger(*a))
+        report = load(spark, to, files_per_batch=2)
+    assert report.loaded == 8 and report.batches > 1 and len(reads) == 1
+    assert lake_count(spark, to) == 8
+
+
+def test_entries_of_another_load_count_in_every_later_batch(spark, at, monkeypatch):
+    """Another run records all that is left after the first batch."""
+    import fareflow.plans.load as job
+
+    raw, to = at
+    for n in range(8):
+        put(raw, f"{n}.csv", line(1 + n))
+    files, turns, taken, claimed = list_files(spark, to.raw), [], [], job.claimed
+
+    def after_another(*arguments):
+        turns.append(1)
+        if len(turns) == 2:
+            rest = job.stored_listing(new_files(files, read_ledger(spark, to.ledger)))
+            taken.append(rest.count())
+            ledger_module.record(to.ledger, rest, "b-other", "loaded", datetime(2024, 1, 1))
+        return claimed(*arguments)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "claimed", after_another)
+        assert load(spark, to, files=files, files_per_batch=2).loaded == 8 - taken[0]
+    assert len(turns) > 2 and taken[0] > 0
+
+
 def test_compressed_raw_files_are_found(spark, at, tmp_path):
     """By the listing, the walk and the stream, without being asked for."""
     from fareflow.sources.listing import walk_folders
