@@ -45,17 +45,29 @@ def _after(words: Column, skip: int) -> Column:
     return F.slice(words, skip + 1, F.greatest(F.size(words), F.lit(1)))
 
 
-def buckets_of(words: Column) -> Column:
+def pair_hashes(words: Column) -> Column:
+    """The hash of each word with the next; the last word's is of no pair."""
+    return F.zip_with(words, _after(words, 1), lambda a, b: F.xxhash64(a, b))
+
+
+def _first(values: Column, words: Column, fewer: int) -> Column:
+    return F.slice(values, 1, F.greatest(F.size(words) - fewer, F.lit(0)))
+
+
+def _bucket(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(BUCKETS)).cast("int")
+
+
+def buckets_of(words: Column, pairs: Column) -> Column:
     """The hash buckets of a document's words and word pairs, repeats included."""
-    pairs = F.slice(F.arrays_zip(words.alias("a"), _after(words, 1).alias("b")), 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    bucket = lambda *of: F.pmod(F.xxhash64(*of), F.lit(BUCKETS)).cast("int")
-    return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(pairs, lambda p: bucket(p["a"], p["b"])))
+    paired = F.transform(_first(pairs, words, 1), lambda p: _bucket(p))
+    return F.concat(F.transform(words, lambda w: _bucket(F.xxhash64(w))), paired)
 
 
 def bucket_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``bucket``, ``n`` over all rows."""
     words = docs.select(words_of(F.col(text)).alias("words"))
-    return words.select(F.explode(buckets_of(F.col("words"))).alias("bucket")).groupBy("bucket").agg(
+    return words.select(F.explode(buckets_of(F.col("words"), pair_hashes(F.col("words")))).alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -67,7 +79,8 @@ def bucket_weights(labelled: DataFrame, raw: DataFrame, text: str = "text") -> D
     """
     spark = raw.sparkSession
     words = labelled.select(words_of(F.col(text)).alias("words"), "good")
-    judged = words.select(F.explode(buckets_of(F.col("words"))).alias("bucket"), "good").groupBy("bucket").agg(
+    buckets = buckets_of(F.col("words"), pair_hashes(F.col("words")))
+    judged = words.select(F.explode(buckets).alias("bucket"), "good").groupBy("bucket").agg(
         F.count_if("good").alias("t"), F.count(F.lit(1)).alias("l")
     )
     every = bucket_counts(raw, text).select("bucket", F.col("n").alias("r"))
@@ -87,30 +100,30 @@ def bucket_weights(labelled: DataFrame, raw: DataFrame, text: str = "text") -> D
     return counts.agg(F.transform(entries, lambda e: e["w"]).alias("weights"))
 
 
-def _repeated_words(windows: Column) -> Column:
-    """How many words lie in windows that occur twice or more.
-
-    ``windows`` is sorted by hash, so equal ones are neighbours.
-    """
-    pairs = F.arrays_zip(windows.alias("a"), _after(windows, 1).alias("b"))
-    equal = F.filter(pairs, lambda p: p["a"]["h"] == p["b"]["h"])
-    places = F.flatten(F.transform(equal, lambda p: F.array(p["a"]["at"], p["b"]["at"])))
+def _repeated_words(hashes: Column) -> Column:
+    """How many words lie in windows that occur twice or more, by the windows' hashes in order."""
+    by_hash = F.array_sort(F.transform(hashes, lambda h, at: F.struct(h.alias("h"), at.alias("at"))))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
 
     def add(seen: Column, at: Column) -> Column:
         new = at + WINDOW - F.greatest(at, seen["end"])
         return F.struct((at + WINDOW).alias("end"), (seen["n"] + new).alias("n"))
 
-    return F.aggregate(F.array_sort(F.array_distinct(places)), start, add)["n"].cast("long")
+    def counted(windows: Column) -> Column:
+        pairs = F.arrays_zip(windows.alias("a"), _after(windows, 1).alias("b"))
+        equal = F.filter(pairs, lambda p: p["a"]["h"] == p["b"]["h"])
+        places = F.flatten(F.transform(equal, lambda p: F.array(p["a"]["at"], p["b"]["at"])))
+        return F.aggregate(F.array_sort(F.array_distinct(places)), start, add)["n"].cast("long")
 
+    # As an array of one, the sorted windows are a variable, so they are sorted once.
+    repeated = F.transform(F.array(by_hash), counted)[0]
+    # Most texts repeat no window; finding that out takes no sorting.
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(repeated)
 
-def _windows(words: Column) -> Column:
-    zipped = F.arrays_zip(words.alias("a"), _after(words, 1).alias("b"), _after(words, 2).alias("c"))
-    whole = F.slice(zipped, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
-    hashed = F.transform(
-        whole, lambda w, at: F.struct(F.xxhash64(w["a"], w["b"], w["c"]).alias("h"), at.alias("at"))
-    )
-    return F.array_sort(hashed)
+
+def _window_hashes(words: Column, pairs: Column) -> Column:
+    """A 64-bit hash of every three words in a row."""
+    return _first(F.zip_with(pairs, _after(words, 2), lambda p, c: F.xxhash64(p, c)), words, WINDOW - 1)
 
 
 def with_quality(
@@ -121,15 +134,16 @@ def with_quality(
     Null and empty texts have no words, score zero and fail. Windows are compared by their
     64-bit hash. Rows are judged one by one, so repeated rows and any other columns stay.
     """
-    names = {n: f"{into}_{n}" for n in ("text", "words", "lines", "buckets", "windows", "table")}
+    names = {n: f"{into}_{n}" for n in ("text", "words", "lines", "pairs", "buckets", "windows", "table")}
     at = {n: F.col(c) for n, c in names.items()}
     lines = F.filter(F.split(at["text"], "\n"), lambda line: F.rlike(line, F.lit(f"[^{SPACE}]")))
     read = docs.withColumn(names["text"], F.coalesce(F.col(text), F.lit("")))
     read = read.withColumns({names["words"]: words_of(at["text"]), names["lines"]: lines})
+    read = read.withColumn(names["pairs"], pair_hashes(at["words"]))
     read = read.withColumns(
         {
-            names["buckets"]: buckets_of(at["words"]),
-            names["windows"]: _windows(at["words"]),
+            names["buckets"]: buckets_of(at["words"], at["pairs"]),
+            names["windows"]: _window_hashes(at["words"], at["pairs"]),
             names["table"]: weights.scalar(),
         }
     )

@@ -115,3 +115,16 @@ def test_query_keeps_clean_documents_without_labels(spark, tmp_path):
     got = registry.op2_llr_quality(spark, str(tmp_path)).collect()
     assert not any(r.base_failed for r in got)
     assert {(kind(r.doc_id), r.kept) for r in got} == {(0, True), (1, True), (2, False)}
+
+
+def test_only_texts_that_repeat_a_window_are_sorted(spark):
+    """Sorting stands behind a test for repeats, and what is sorted is computed once."""
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c x a b c"), (3, None)], "doc_id long, text string")
+    weights = quality.bucket_weights(docs.withColumn("good", F.lit(True)), docs)
+    judged = quality.with_quality(docs, weights, "q")
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (size(array_distinct(" in plan
+    hashes = [part.split(",")[0] for part in plan.split("transform(")[1:]]
+    assert len([h for h in hashes if "q_windows" in h]) == 1
+    found = {r.doc_id: r.q.n_repeat_words for r in judged.collect()}
+    assert found == {1: 0, 2: 6, 3: 0}
