@@ -19,6 +19,7 @@ def write_lake(
     mode: str = "append",
     sort_by: str | None = PICKUP,
     rows_per_file: int = 0,
+    gather: bool = True,
 ) -> None:
     """Write trips partitioned by year and month.
 
@@ -27,12 +28,14 @@ def write_lake(
     merges small ones, so no month is ever one task. Sorting each task's rows by month
     is what the writer needs anyway; adding the pickup time gives Parquet useful
     min/max statistics. Without adaptive execution every month is spread over all
-    shuffle partitions by a hash of the row.
+    shuffle partitions by a hash of the row. Without ``gather`` rows stay in the tasks they are in,
+    for callers that have dealt months to tasks.
 
     Times are stored as ``session.prepare`` says, INT64 with statistics.
     """
     order = ["year", "month"] + ([sort_by] if sort_by else [])
-    writer = _gathered(enriched).sortWithinPartitions(*order).write
+    rows = _gathered(enriched) if gather else enriched
+    writer = rows.sortWithinPartitions(*order).write
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy("year", "month").mode(mode).parquet(root)

@@ -489,3 +489,31 @@ def test_a_load_that_lost_its_claim_records_nothing(spark, at, monkeypatch):
             load(spark, to)
     assert read_ledger(spark, to.ledger).isEmpty()
     assert load(spark, to).loaded == 1 and lake_count(spark, to) == 1
+
+
+def test_a_merge_moves_no_row_between_tasks(spark, at, monkeypatch):
+    """Batches are gathered by month already; a month stays in few files, and rows are whole in one job or several."""
+    import fareflow.plans.compact as job
+    import fareflow.sources.lake as lake_module
+
+    raw, to = at
+    gathered, whole = [], lake_module._gathered
+    monkeypatch.setattr(lake_module, "_gathered", lambda rows: gathered.append(1) or whole(rows))
+    for name, rows in (("a", 30), ("b", 20), ("c", 10)):
+        put_month(raw, f"{name}.csv", rows)
+        put(raw, f"{name}-feb.csv", *[line(3, 0.5).replace("2015-01", "2015-02")] * rows)
+        load(spark, to)
+    rows = sorted(map(str, read_lake(spark, to.lake, ledger=read_ledger(spark, to.ledger)).drop("processed_at").collect()))
+    gathered.clear()
+    made = compact_lake(spark, to.lake, to.ledger, fan_in=2)
+    assert len(made) == 1 and not gathered
+    assert len(list(Path(f"{to.lake}/batch_id={made[0]}").rglob("*.parquet"))) == 2
+    after = read_lake(spark, to.lake, ledger=read_ledger(spark, to.ledger)).drop("processed_at")
+    assert sorted(map(str, after.collect())) == rows and len(rows) == 120
+    put_month(raw, "d.csv", 5)
+    load(spark, to)
+    monkeypatch.setattr(job, "TASK_BYTES", (1, 1))
+    monkeypatch.setattr(job, "MOST_TASKS", 2)
+    made = compact_lake(spark, to.lake, to.ledger, fan_in=2)
+    assert len(made) == 1 and lake_count(spark, to) == 125
+    assert len(list(Path(f"{to.lake}/batch_id={made[0]}").rglob("*.parquet"))) == 3
