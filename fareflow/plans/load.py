@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators.trips import enrich_trips, normalize_columns
-from fareflow.session import scratch_path
+from fareflow.session import MIB, scratch_path
 from fareflow.sources.claims import Claim, claimed
 from fareflow.sources.lake import stored_bytes, write_lake
 from fareflow.sources.ledger import append, ledger_files, list_files, new_files, read_ledger, record
-from fareflow.sources.trip_csv import MALFORMED, line_counts, read_marked_csv
+from fareflow.sources.trip_csv import MALFORMED, check_headers, line_counts, read_marked_csv
 
 # What Spark says when the data of a file, rather than the job, is at fault.
 _FILE_ERRORS = ("FAILED_READ_FILE", "PATH_NOT_FOUND")
+# Mean length from which on a header is looked at before the file is read: what Spark says opening a file costs.
+LOOK_FIRST = 4 * MIB
 
 
 class LoadError(RuntimeError):
@@ -70,8 +72,10 @@ def load_new_files(
     and load every file once. The ledger is read for that only if it holds files this run has neither
     seen at its start nor written.
 
-    An unreadable file is recorded as failed and its batch tried again without it, and so is a
-    file of which more than the share ``most_malformed`` of all lines does not fit the layout.
+    An unreadable file is recorded as failed and its batch tried again without it. With ``match_header``
+    the headers of a batch of large files are looked at first, so a wrong one does not cost a read of
+    the batch. A file of which more than the share ``most_malformed`` of all lines does not fit the
+    layout is recorded as failed as well.
     Such lines of other files are left out, and their number is recorded with the file. The write counts
     them as it goes; only a batch that has some is read once more, to tell the files apart. Call
     ``check()`` on the report to raise for failed files. ``files`` may hold the listing.
@@ -149,8 +153,11 @@ def _load_batch(
     """Load the files named by ``paths``, a bounded number, setting unreadable ones apart."""
     while paths:
         batch_id = _batch_id(paths)
+        literal = [_literal(p) for p in paths]
         try:
-            raw = read_marked_csv(files.sparkSession, [_literal(p) for p in paths], match_header=match_header)
+            if match_header and _mean_length(files) >= LOOK_FIRST:
+                check_headers(files.sparkSession, literal)
+            raw = read_marked_csv(files.sparkSession, literal, match_header=match_header)
             dropped, too_many = _load_lines(raw, f"{lake_root}/batch_id={batch_id}", loaded_at, paths, most_malformed)
         except (Py4JJavaError, PySparkException) as error:
             reason = _file_error(error)
@@ -185,6 +192,11 @@ def _load_batch(
         files = files.where(~F.col("path").isin(apart))
 
 
+def _mean_length(files: DataFrame) -> float:
+    """In bytes, as listed; 0 if the listing says nothing about it."""
+    return (files.agg(F.avg("length")).first()[0] or 0.0) if "length" in files.columns else 0.0
+
+
 def _load_lines(
     raw: DataFrame, folder: str, loaded_at: datetime, paths: list[str], most_malformed: float
 ) -> tuple[dict[str, int], list[str]]:

@@ -52,6 +52,20 @@ def read_marked_csv(
     return spark.read.schema(f"{schema}, {MALFORMED} STRING").options(**options).csv(paths)
 
 
+def check_headers(spark: SparkSession, paths: Sequence[str], schema: str = TRIP_COLUMNS) -> None:
+    """Fail as a read with ``match_header`` would, with the first line or two of every file.
+
+    Each file gets a task that ends with its first row. A session of its own sets that without
+    touching this one's settings.
+    """
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.openCostInBytes", reader.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = read_marked_csv(reader, paths, schema, match_header=True)
+    # Spark checks the names of the columns that a plan uses.
+    used = [c for c in lines.columns if c != MALFORMED]
+    lines.limit(1).agg(F.bit_xor(F.xxhash64(*used))).collect()
+
+
 def line_counts(marked: DataFrame) -> DataFrame:
     """``file``, ``lines``, ``malformed`` and a ``checksum`` of every file of ``read_marked_csv`` that has lines."""
     fields = [c for c in marked.columns if c != MALFORMED]

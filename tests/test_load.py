@@ -517,3 +517,24 @@ def test_a_merge_moves_no_row_between_tasks(spark, at, monkeypatch):
     made = compact_lake(spark, to.lake, to.ledger, fan_in=2)
     assert len(made) == 1 and lake_count(spark, to) == 125
     assert len(list(Path(f"{to.lake}/batch_id={made[0]}").rglob("*.parquet"))) == 3
+
+
+def test_wrong_headers_do_not_cost_reads_of_the_batch(spark, at, monkeypatch):
+    """Files with a wrong header are found by their first lines; the rest is read once."""
+    import fareflow.plans.load as job
+
+    raw, to = at
+    put_month(raw, "a.csv", 40)
+    put(raw, "empty.csv")
+    put(raw, "malformed.csv", "x", line(4))
+    for name in ("w1.csv", "w2.csv"):
+        put(raw, name, line(1))
+        (raw / name).write_text((raw / name).read_text().replace("vendorid", "vendor"))
+    reads, load_lines = [], job._load_lines
+    monkeypatch.setattr(job, "LOOK_FIRST", 0, raising=False)
+    monkeypatch.setattr(job, "_load_lines", lambda *a: reads.append(1) or load_lines(*a))
+    report = load(spark, to, match_header=True)
+    assert (report.loaded, report.failed, report.dropped) == (3, 2, 1) and len(reads) == 1
+    assert lake_count(spark, to) == 41
+    failed = read_ledger(spark, to.ledger).where("status = 'failed'")
+    assert sorted(r.path[-6:] for r in failed.collect()) == ["w1.csv", "w2.csv"]
